@@ -711,6 +711,9 @@ def _pagerank(edges: str, rounds: int = 20, d: float = 0.85) -> str:
 
 add("customer_pagerank", _pagerank("SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) AS src, 'm' || CAST(l_suppkey AS VARCHAR) AS dst "
                                    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"), "pagerank_score")
+add("influential_customers", "SELECT customer_id, full_name AS name, ltv_tier, pagerank_score FROM (SELECT CAST(substr(id, 3) AS BIGINT) AS customer_id, "
+    "pagerank_score FROM (" + _pagerank("SELECT 'c:' || CAST(customer_id AS VARCHAR) AS src, 'm:' || CAST(merchant_id AS VARCHAR) AS dst FROM n_cm")
+    + ") WHERE starts_with(id, 'c:')) JOIN n_people USING (customer_id) ORDER BY pagerank_score DESC, customer_id LIMIT 50", "pagerank_score")
 add("location_graph", """WITH p AS (SELECT customer_id, concat_ws('|', country, city_norm) AS k FROM x_sc WHERE country IS NOT NULL OR city_norm IS NOT NULL)
 SELECT 'locations' AS part, (SELECT count(*) FROM (SELECT k FROM p UNION SELECT 'N' || CAST(s_nationkey AS VARCHAR) FROM supplier)) AS n
 UNION ALL SELECT 'lives_in', count(*) FROM p UNION ALL SELECT 'located_in', count(*) FROM supplier""")
@@ -790,7 +793,7 @@ _SERVE = ("customer_id, resolved_entity_id, customer_name, email, country, segme
           "total_order_revenue, avg_order_value, revenue_last_30d, estimated_ltv, total_risk_score, high_risk_txn_count, ever_velocity_spike, "
           "ever_amount_anomaly")
 _SERVE_NUM = "total_order_revenue avg_order_value revenue_last_30d estimated_ltv"
-add("serve_customers", f"SELECT {_SERVE} FROM x_360 WHERE ltv_tier = 'gold' ORDER BY estimated_ltv DESC, customer_id LIMIT 50 OFFSET 5", _SERVE_NUM)
+add("serve_customers", f"SELECT {_SERVE} FROM x_360 WHERE ltv_tier = 'platinum' ORDER BY estimated_ltv DESC, customer_id LIMIT 50 OFFSET 5", _SERVE_NUM)
 add("serve_customer", f"SELECT {_SERVE} FROM x_360 WHERE customer_id = 'cust_7'", _SERVE_NUM)
 add("serve_order_summary", f"""SELECT order_date, shipping_country, CAST(sum(net_revenue) AS DOUBLE) AS net_revenue, CAST(sum(order_count) AS INT) AS order_count,
  CAST(sum(unique_customers) AS INT) AS unique_customers, avg(avg_order_value) AS avg_order_value, CAST(sum(new_customers) AS INT) AS new_customers,

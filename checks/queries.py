@@ -758,7 +758,7 @@ def clustered_orders(spark, sf):
 
 @query
 def serve_customers(spark, sf):
-    return serving.customers(m_360(spark, sf), ltv_tier="gold", limit=50, offset=5)
+    return serving.customers(m_360(spark, sf), ltv_tier="platinum", limit=50, offset=5)
 
 
 @query

@@ -376,8 +376,9 @@ def influential_customers(g: Graph, k: int = 50, damping: float = 0.85, iteratio
     edges = _customer_merchants(g).select(
         F.concat(F.lit("c:"), "customer_id").alias("src"), F.concat(F.lit("m:"), "merchant_id").alias("dst"))
     scores = pagerank(undirected(edges), damping, iterations)
+    id_type = g.customers.schema["customer_id"].dataType
     people = scores.where(F.startswith("id", F.lit("c:"))) \
-        .select(F.expr("substring(id, 3)").alias("customer_id"), F.col("score").alias("pagerank_score"))
+        .select(F.expr("substring(id, 3)").cast(id_type).alias("customer_id"), F.col("score").alias("pagerank_score"))
     best = top_k(people, [F.desc("pagerank_score"), F.asc("customer_id")], k)
     tier = F.col("ltv_tier") if "ltv_tier" in g.customers.columns else F.lit(None).cast("string")
     names = g.customers.select("customer_id", F.col("full_name").alias("name"), tier.alias("ltv_tier"))

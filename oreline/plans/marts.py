@@ -145,8 +145,9 @@ def customer_order_metrics(stg: DataFrame, as_of: AsOf, method: str = "max", uni
     return _order_rates(averaged, as_of)
 
 
-def _mean(total: str, n: str) -> Column:
-    return F.try_divide(F.col(total).cast("double"), F.col(n))
+def _mean(total: str | Column, n: str | Column) -> Column:
+    """Decimal totals are divided as decimals, so the mean is the nearest double to the true one."""
+    return F.try_divide(total, n).cast("double")
 
 
 def _customer_order_metrics_distinct(stg: DataFrame, as_of: AsOf, method: str) -> DataFrame:
@@ -166,8 +167,8 @@ def _customer_order_metrics_distinct(stg: DataFrame, as_of: AsOf, method: str) -
         F.count_distinct("shipping_country").alias("distinct_shipping_countries"),
         _representative("payment_method", "order_ts", method).alias("most_recent_payment_method"),
         F.min("order_ts").alias("first_order_ts"), F.max("order_ts").alias("last_order_ts"),
-        F.avg(F.col("net_amount").cast("double")).alias("avg_order_value"),
-        F.avg(F.col("discount_pct").cast("double")).alias("avg_discount_pct"),
+        _mean(F.sum("net_amount"), F.count("net_amount")).alias("avg_order_value"),
+        _mean(F.sum("discount_pct"), F.count("discount_pct")).alias("avg_discount_pct"),
         F.avg("item_count").alias("avg_items_per_order"),
     ), as_of)
 
@@ -329,10 +330,10 @@ def daily_order_summary(stg: DataFrame, as_of: AsOf) -> DataFrame:
     return dated.groupBy(*DAILY_KEYS).agg(
         total("order_count"), F.count("customer_id").alias("unique_customers"),
         total("gross_revenue"), total("total_discounts"), total("net_revenue"),
-        F.try_divide(F.sum("net_revenue").cast("double"), F.sum("_n_value")).alias("avg_order_value"),
+        _mean(F.sum("net_revenue"), F.sum("_n_value")).alias("avg_order_value"),
         F.max("max_order_value").alias("max_order_value"),
-        total("total_items"), F.try_divide(F.sum("total_items"), F.sum("_n_items")).alias("avg_items_per_order"),
-        F.try_divide(F.sum("_sum_pct").cast("double"), F.sum("_n_pct")).alias("avg_discount_pct"),
+        total("total_items"), _mean(F.sum("total_items"), F.sum("_n_items")).alias("avg_items_per_order"),
+        _mean(F.sum("_sum_pct"), F.sum("_n_pct")).alias("avg_discount_pct"),
         total("discounted_orders"),
         F.count_if(F.col("order_date") == F.col("first_order_date")).alias("new_customers"),
         F.count_if(F.col("order_date") > F.col("first_order_date")).alias("returning_customers"),

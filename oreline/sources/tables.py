@@ -199,15 +199,15 @@ def _bounds(df: DataFrame, column: str) -> list:
     return sorted(set(cuts))
 
 
+def _bucket(value: Column, cuts: Column) -> Column:
+    """How many cut points a value reaches; NULL comes first."""
+    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
+
+
 def z_value(df: DataFrame, columns: Sequence[str]) -> Column:
     """Bits of each column's range bucket, interleaved: rows close in all columns get close values."""
-    buckets = []
-    for name in columns:
-        kind = df.schema[name].dataType
-        cuts = F.array(*[F.lit(v).cast(kind) for v in _bounds(df, name)])
-        value = F.col(name)
-        below = F.size(F.filter(cuts, lambda cut, v=value: cut <= v)) if cuts is not None else F.lit(0)
-        buckets.append(F.coalesce(below, F.lit(0)))
+    buckets = [_bucket(F.col(name), F.array(*[F.lit(v).cast(df.schema[name].dataType) for v in _bounds(df, name)]))
+               for name in columns]
     width = len(buckets)
     bits = [F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), bit * width + offset)
             for offset, bucket in enumerate(buckets) for bit in range(_BITS)]
@@ -218,13 +218,9 @@ def cluster_write(df: DataFrame, path: str, columns: Sequence[str], partition_by
                   files: int = 8, zorder: bool = True) -> None:
     """Write with rows that are close in ``columns`` in the same files, so that scans skip the others."""
     by = [F.col(c) for c in partition_by]
-    order = [z_value(df, columns).alias("_z")] if zorder else [F.col(c) for c in columns]
-    if zorder:
-        keyed = df.withColumn("_z", order[0])
-        order = [F.col("_z")]
-    else:
-        keyed = df
-    placed = keyed.repartitionByRange(files, *by, *order).sortWithinPartitions(*by, *order)
+    keyed = df.withColumn("_z", z_value(df, columns)) if zorder else df
+    order = by + ([F.col("_z")] if zorder else [F.col(c) for c in columns])
+    placed = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
     write_table(placed.drop("_z"), path, partition_by)
 
 
