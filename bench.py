@@ -23,7 +23,7 @@ HEADLINE = [
     "er_reduction_ratio", "er_matches", "er_resolved", "graph_customer_360", "fraud_rings", "product_affinity",
     "merchant_risk", "churn_contagion", "customer_pagerank", "fact_orders", "dq_suite", "serve_order_summary",
 ]
-STAGES = [Q.txn_history, Q.s_orders, Q.s_txns, Q.s_customers, Q.entity_map, Q.m_360, Q.m_daily, Q.m_fraud]
+STAGES = [Q.b_orders, Q.b_txns, Q.b_customers, Q.txn_history, Q.s_orders, Q.s_txns, Q.s_customers, Q.entity_map, Q.m_360, Q.m_daily, Q.m_fraud]
 
 
 def main() -> None:

@@ -69,22 +69,37 @@ def stored(fn):
     return read
 
 
+@stored
+def b_orders(spark, sf):
+    return X.bronze_orders(spark, sf)
+
+
+@stored
+def b_txns(spark, sf):
+    return X.bronze_transactions(spark, sf)
+
+
+@stored
+def b_customers(spark, sf):
+    return X.bronze_customers(spark, sf)
+
+
 def new_orders(spark, sf):
-    return silver.silver_orders(X.bronze_orders(spark, sf), X.ORDERS_AS_OF)
+    return silver.silver_orders(b_orders(spark, sf), X.ORDERS_AS_OF)
 
 
 def new_txns(spark, sf):
-    return silver.silver_transactions(X.bronze_transactions(spark, sf), txn_history(spark, sf), X.TXNS_AS_OF,
+    return silver.silver_transactions(b_txns(spark, sf), txn_history(spark, sf), X.TXNS_AS_OF,
                                       X.BASELINE_AS_OF, CFG)
 
 
 def new_customers(spark, sf):
-    return silver.silver_customers(X.bronze_customers(spark, sf), X.ORDERS_AS_OF)
+    return silver.silver_customers(b_customers(spark, sf), X.ORDERS_AS_OF)
 
 
 @stored
 def txn_history(spark, sf):
-    clean = V.clean_rows(silver.checked_transactions(X.bronze_transactions(spark, sf), X.TXNS_AS_OF))
+    clean = V.clean_rows(silver.checked_transactions(b_txns(spark, sf), X.TXNS_AS_OF))
     return latest_per_key(clean, ["transaction_id"], "ingest_ts")
 
 
@@ -167,26 +182,26 @@ def silver_orders(spark, sf):
 
 @query
 def orders_quarantine(spark, sf):
-    return V.quarantined_rows(silver.checked_orders(X.bronze_orders(spark, sf), X.ORDERS_AS_OF)).select(
+    return V.quarantined_rows(silver.checked_orders(b_orders(spark, sf), X.ORDERS_AS_OF)).select(
         "order_id", "customer_id", "order_status", "order_ts", "gross_amount", "item_count",
         *[V.flag_name(r) for r in silver.order_rules(X.ORDERS_AS_OF)])
 
 
 @query
 def orders_rule_counts(spark, sf):
-    return V.rule_counts(silver.checked_orders(X.bronze_orders(spark, sf), X.ORDERS_AS_OF))
+    return V.rule_counts(silver.checked_orders(b_orders(spark, sf), X.ORDERS_AS_OF))
 
 
 @query
 def orders_error_mask(spark, sf):
-    typed = silver.typed_orders(X.bronze_orders(spark, sf))
+    typed = silver.typed_orders(b_orders(spark, sf))
     return typed.select(V.error_mask(silver.order_rules(X.ORDERS_AS_OF)).alias("mask")).groupBy("mask").agg(
         F.count("*").alias("n"))
 
 
 @query
 def orders_unknown_policies(spark, sf):
-    raw = X.bronze_orders(spark, sf)
+    raw = b_orders(spark, sf)
     parts = [V.validation_counts(silver.checked_orders(raw, X.ORDERS_AS_OF, policy)).withColumn("policy", F.lit(policy))
              for policy in V.UNKNOWN_POLICIES]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -194,7 +209,7 @@ def orders_unknown_policies(spark, sf):
 
 @query
 def orders_run_metrics(spark, sf):
-    return silver.order_run_metrics(silver.checked_orders(X.bronze_orders(spark, sf), X.ORDERS_AS_OF))
+    return silver.order_run_metrics(silver.checked_orders(b_orders(spark, sf), X.ORDERS_AS_OF))
 
 
 @query
@@ -204,14 +219,14 @@ def silver_transactions_fraud(spark, sf):
 
 @query
 def silver_transactions_first_run(spark, sf):
-    return silver.silver_transactions(X.bronze_transactions(spark, sf), None, X.TXNS_AS_OF, cfg=CFG, dedupe_first=True) \
+    return silver.silver_transactions(b_txns(spark, sf), None, X.TXNS_AS_OF, cfg=CFG, dedupe_first=True) \
         .select("transaction_id", "txn_velocity_1h", "txn_count_30d", "flag_new_customer_high_value", "risk_score", "risk_tier")
 
 
 @query
 def transactions_compat(spark, sf):
     flagged = silver.flagged_transactions(
-        V.clean_rows(silver.checked_transactions(X.bronze_transactions(spark, sf), X.TXNS_AS_OF, "drop")),
+        V.clean_rows(silver.checked_transactions(b_txns(spark, sf), X.TXNS_AS_OF, "drop")),
         txn_history(spark, sf).where(F.col("transaction_ts") < cal.at_date(X.BASELINE_AS_OF)), X.BASELINE_AS_OF, CFG, True)
     return latest_per_key(flagged, ["transaction_id"], "ingest_ts").select(
         "transaction_id", "txn_count_30d", "flag_intl_high_value", "flag_new_customer_high_value", "risk_score", "risk_tier")
@@ -229,13 +244,13 @@ def txn_velocity(spark, sf):
 
 @query
 def transactions_rule_counts(spark, sf):
-    return V.rule_counts(silver.checked_transactions(X.bronze_transactions(spark, sf), X.TXNS_AS_OF))
+    return V.rule_counts(silver.checked_transactions(b_txns(spark, sf), X.TXNS_AS_OF))
 
 
 @query
 def transactions_run_metrics(spark, sf):
     return silver.transaction_run_metrics(
-        silver.checked_transactions(X.bronze_transactions(spark, sf), X.TXNS_AS_OF), s_txns(spark, sf))
+        silver.checked_transactions(b_txns(spark, sf), X.TXNS_AS_OF), s_txns(spark, sf))
 
 
 @query
@@ -252,12 +267,12 @@ def customer_block_keys(spark, sf):
 
 @query
 def customers_rule_counts(spark, sf):
-    return V.rule_counts(silver.checked_customers(X.bronze_customers(spark, sf), X.ORDERS_AS_OF))
+    return V.rule_counts(silver.checked_customers(b_customers(spark, sf), X.ORDERS_AS_OF))
 
 
 @query
 def customers_run_metrics(spark, sf):
-    checked = silver.checked_customers(X.bronze_customers(spark, sf), X.ORDERS_AS_OF)
+    checked = silver.checked_customers(b_customers(spark, sf), X.ORDERS_AS_OF)
     return silver.customer_run_metrics(checked, s_customers(spark, sf))
 
 
@@ -691,7 +706,7 @@ def dq_suite(spark, sf):
 @query
 def dq_raw_orders(spark, sf):
     """The same tests on raw rows, where they find something."""
-    typed = silver.typed_orders(X.bronze_orders(spark, sf))
+    typed = silver.typed_orders(b_orders(spark, sf))
     tests = [*Q.standard_suite()["orders"], Q.accepted_range("discount_pct", 0, 25)]
     return Q.run_suite({"orders": typed}, {"orders": tests})
 
@@ -801,7 +816,7 @@ def platform_metrics(spark, sf):
 
 def landed_events(spark, sf, root):
     """Raw transactions as JSON lines; a list becomes nested JSON and one line per fifty is cut short."""
-    raw = X.bronze_transactions(spark, sf).withColumn("event_type", F.lit("transaction"))
+    raw = b_txns(spark, sf).withColumn("event_type", F.lit("transaction"))
     line = F.to_json(F.struct(*[F.col(c) for c in raw.columns], F.array("currency", "ip_country").alias("tags")))
     broken = F.col("transaction_id").rlike("77$")
     raw.select(F.when(broken, F.substring(line, 1, 40)).otherwise(line).alias("value")).write.text(f"{root}/in")
@@ -849,7 +864,7 @@ TXN_CUTS = ["2024-01-10", "2024-01-20"]
 
 
 def _stream_rows(spark, sf):
-    typed = silver.typed_transactions(X.bronze_transactions(spark, sf))
+    typed = silver.typed_transactions(b_txns(spark, sf))
     return typed.where("transaction_ts is not null and customer_id is not null") \
         .select("transaction_id", "customer_id", "transaction_ts")
 
@@ -885,7 +900,7 @@ def stream_velocity(spark, sf):
 def stream_upsert(spark, sf):
     """Raw orders delivered in ingest order, cleaned and upserted batch by batch."""
     root = scratch_path(spark, "streamupsert")
-    _feed(X.bronze_orders(spark, sf), "ingest_ts", ["1998-01-01"], root, lambda stream: stateful.foreach_upsert(
+    _feed(b_orders(spark, sf), "ingest_ts", ["1998-01-01"], root, lambda stream: stateful.foreach_upsert(
         stream, f"{root}/silver", ["order_id"], f"{root}/ckpt", ["order_year"],
         lambda batch: silver.silver_orders(batch, X.ORDERS_AS_OF)))
     return spark.read.parquet(f"{root}/silver").select("order_id", "order_status", "updated_ts", "order_year", "net_amount")

@@ -17,19 +17,26 @@ EVENT_LAYOUTS = (ISO_MILLIS_Z, SECONDS)
 ORDER_LAYOUTS = (ISO_MILLIS_Z, SECONDS, DAY)
 BIRTH_LAYOUTS = (DAY, US_DAY, EU_DAY)
 
-# A layout can only fit text that holds this character, so the parser (which fails through an
-# exception) is not tried on the rest.
-_MARKER = {ISO_MILLIS_Z: "T", SECONDS: " ", US_DAY: "/"}
-
-
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _may_fit(text: Column, layout: str) -> Column:
+    """False only where the layout cannot fit: a failing parse is an exception and slow."""
+    if layout == ISO_MILLIS_Z:
+        return F.contains(text, F.lit("T"))
+    if layout == SECONDS:
+        return F.contains(text, F.lit(" "))
+    if layout == US_DAY:
+        return F.contains(text, F.lit("/"))
+    if layout == EU_DAY:
+        return F.substring(text, 3, 1) == "-"
+    # a year of more than four digits carries a sign
+    return (F.substring(text, 5, 1) == "-") | F.substring(text, 1, 1).isin("+", "-")
+
+
 def _attempt(text: Column, layout: str) -> Column:
-    parsed = F.try_to_timestamp(text, F.lit(layout))
-    marker = _MARKER.get(layout)
-    return F.when(F.contains(text, F.lit(marker)), parsed) if marker else parsed
+    return F.when(_may_fit(text, layout), F.try_to_timestamp(text, F.lit(layout)))
 
 
 def parse_ts(c: Column | str, layouts: Sequence[str] = (), compat: bool = False) -> Column:
@@ -59,6 +66,20 @@ def as_text(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     ])
 
 
+CORRUPT = "_corrupt"
+
+
+def decode_events(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Parsed columns next to the rest; text that is no JSON object stays in the corrupt column.
+
+    Text columns of the schema take nested values as their JSON text.
+    """
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    parsed = F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    others = [c for c in df.columns if c != value]
+    return df.withColumn("_event", parsed).select("_event.*", *others)
+
+
 def flatten_nested(df: DataFrame) -> DataFrame:
     """Structs, arrays and maps become JSON text so that the table at rest stays flat."""
     nested = (T.StructType, T.ArrayType, T.MapType)

@@ -6,10 +6,11 @@ A rule is a boolean column that is true for a bad row. A rule that is NULL (its
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 Rules = dict[str, Column]
 
@@ -47,9 +48,16 @@ def error_mask(rules: Rules) -> Column:
     return reduce(lambda a, b: a + b, bits, F.lit(0))
 
 
-def clean_rows(validated: DataFrame) -> DataFrame:
+def clean_rows(validated: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Valid rows without their flags.
+
+    The counts of ``validation_counts`` are observed on the way: ``seen`` has them after the clean rows
+    were written. Observing also keeps the filter above the parsing, which would otherwise be done a
+    second time below it.
+    """
     flags = [c for c in validated.columns if c.startswith("_err_")]
-    return validated.where(F.col(VALID)).drop(VALID, *flags)
+    watched = validated.observe(seen or f"validated-{uuid.uuid4().hex}", *_counts())
+    return watched.where(F.col(VALID)).drop(VALID, *flags)
 
 
 def quarantined_rows(validated: DataFrame) -> DataFrame:
@@ -69,12 +77,16 @@ def rule_counts(validated: DataFrame) -> DataFrame:
     ])).alias("r")).select("r.*")
 
 
-def validation_counts(validated: DataFrame) -> DataFrame:
-    """raw = clean + quarantine + unknown."""
+def _counts() -> list[Column]:
     valid = F.col(VALID)
-    return validated.agg(
-        F.count("*").alias("raw_count"),
+    return [
+        F.count(F.lit(1)).alias("raw_count"),
         F.count_if(valid).alias("clean_count"),
         F.count_if(~valid).alias("quarantine_count"),
         F.count_if(valid.isNull()).alias("unknown_count"),
-    )
+    ]
+
+
+def validation_counts(validated: DataFrame) -> DataFrame:
+    """raw = clean + quarantine + unknown."""
+    return validated.agg(*_counts())

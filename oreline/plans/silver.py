@@ -6,7 +6,7 @@ is the flagged frame from which clean rows, quarantine and counts are all taken.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import schemas as S
 from ..functions import calendar as cal, normalise as norm
@@ -87,8 +87,9 @@ def checked_orders(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass", co
     return validate(typed_orders(raw, compat), order_rules(as_of), on_unknown)
 
 
-def silver_orders(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass", compat: bool = False) -> DataFrame:
-    clean = clean_rows(checked_orders(raw, as_of, on_unknown, compat))
+def silver_orders(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass", compat: bool = False,
+                  seen: Observation | None = None) -> DataFrame:
+    clean = clean_rows(checked_orders(raw, as_of, on_unknown, compat), seen)
     latest = latest_per_key(clean, ["order_id"], "updated_ts", ["ingest_ts"])
     return with_audit(latest, as_of).select(*S.SILVER_ORDERS)
 
@@ -135,7 +136,7 @@ def flagged_transactions(clean: DataFrame, history: DataFrame | None, baseline_a
 def silver_transactions(raw: DataFrame, history: DataFrame | None, as_of: cal.AsOf,
                         baseline_as_of: cal.AsOf | None = None, cfg: FraudConfig = FraudConfig(),
                         on_unknown: str = "pass", compat: bool = False,
-                        dedupe_first: bool = False) -> DataFrame:
+                        dedupe_first: bool = False, seen: Observation | None = None) -> DataFrame:
     """``history`` is earlier silver; None is the first run.
 
     Velocity counts delivered copies as well, unless ``dedupe_first``.
@@ -143,7 +144,7 @@ def silver_transactions(raw: DataFrame, history: DataFrame | None, as_of: cal.As
     def latest(df: DataFrame) -> DataFrame:
         return latest_per_key(df, ["transaction_id"], "ingest_ts")
 
-    clean = clean_rows(checked_transactions(raw, as_of, on_unknown, compat))
+    clean = clean_rows(checked_transactions(raw, as_of, on_unknown, compat), seen)
     start = as_of if baseline_as_of is None else baseline_as_of
     if dedupe_first:
         final = flagged_transactions(latest(clean), history, start, cfg, compat)
@@ -193,8 +194,9 @@ def checked_customers(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass",
     return validate(typed_customers(raw, as_of, compat), customer_rules(as_of), on_unknown)
 
 
-def silver_customers(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass", compat: bool = False) -> DataFrame:
-    clean = clean_rows(checked_customers(raw, as_of, on_unknown, compat))
+def silver_customers(raw: DataFrame, as_of: cal.AsOf, on_unknown: str = "pass", compat: bool = False,
+                     seen: Observation | None = None) -> DataFrame:
+    clean = clean_rows(checked_customers(raw, as_of, on_unknown, compat), seen)
     latest = latest_per_key(clean, ["customer_id"], "ingest_ts")
     return with_audit(latest, as_of).withColumns({
         "resolved_entity_id": F.lit(None).cast("string"),

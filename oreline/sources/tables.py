@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.calendar import AsOf
-from ..functions.parse import as_text
+from ..functions.parse import CORRUPT, as_text, decode_events
 from ..operators.merge import insert_new, upsert
 
 
@@ -64,13 +64,11 @@ def read_prefix(spark: SparkSession, path: str, schema: T.StructType | str) -> D
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
-def read_json_events(spark: SparkSession, path: str, schema: T.StructType, corrupt: str = "_corrupt",
-                     multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(good, malformed) rows of JSON files; malformed rows keep their text."""
-    full = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt) \
-        .option("multiLine", multiline).json(path)
-    return rows.where(F.col(corrupt).isNull()).drop(corrupt), rows.where(F.col(corrupt).isNotNull()).select(corrupt)
+def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(good, malformed) rows of JSON lines; malformed rows keep their text."""
+    rows = decode_events(spark.read.text(path), schema)
+    bad = F.col(CORRUPT).isNotNull()
+    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(CORRUPT)
 
 
 def read_event_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -145,22 +143,29 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     if not has_files(spark, path):
         write_table(source, path, partition_by)
         return
-    target = spark.read.parquet(path)
-    if not partition_by:
-        merged = upsert(target, source, keys, keep)
-        spool = f"{path.rstrip('/')}__next"
-        write_table(merged, spool)
-        write_table(spark.read.parquet(spool), path)
-        _remove(spark, spool)
-        return
-    cols = list(partition_by)
-    incoming = source.select(*keys)
-    arriving = _partition_rows(source, cols)
+    # the batch is read several times below, so it is computed once and kept next to the table
+    spool = f"{path.rstrip('/')}__batch"
+    write_table(source, spool)
+    batch, target = spark.read.parquet(spool), spark.read.parquet(path)
+    if partition_by:
+        _upsert_folders(spark, path, target, batch, keys, list(partition_by), keep)
+    else:
+        merged = f"{path.rstrip('/')}__merged"
+        write_table(upsert(target, batch, keys, keep), merged)
+        write_table(spark.read.parquet(merged), path)
+        _remove(spark, merged)
+    _remove(spark, spool)
+
+
+def _upsert_folders(spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
+                    cols: list[str], keep: Sequence[str]) -> None:
+    incoming = batch.select(*keys)
+    arriving = _partition_rows(batch, cols)
     # reads keys and folder names of the target only
     holding = _partition_rows(target.select(*keys, *cols).join(incoming, list(keys), "left_semi"), cols)
     old = target.where(_in_partitions(cols, arriving | holding))
     staying = _partition_rows(old.select(*keys, *cols).join(incoming, list(keys), "left_anti"), cols)
-    upsert(old, source, keys, keep).select(*target.columns) \
+    upsert(old, batch, keys, keep).select(*target.columns) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
     for row in holding - arriving - staying:
         _remove(spark, f"{path.rstrip('/')}/{_folder(cols, row)}")

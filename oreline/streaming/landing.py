@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..catalog import DOMAIN_FOLDERS, UNKNOWN_FOLDER
-from ..functions.parse import flatten_nested  # noqa: F401  (re-exported: typed streams flatten with it)
-
-CORRUPT = "_corrupt"
+from ..functions.parse import CORRUPT, decode_events, flatten_nested  # noqa: F401  (part of this module's surface)
 
 # Flush policy of the landing job.
 FLUSH_SECONDS = 60
@@ -27,17 +25,6 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
         F.col("_metadata.file_modification_time").alias("_arrival_ts"))
 
 
-def decode_events(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Parsed columns next to the rest; text that is no JSON object stays in the corrupt column.
-
-    Text columns of the schema take nested values as their JSON text.
-    """
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    parsed = F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    others = [c for c in df.columns if c != value]
-    return df.withColumn("_event", parsed).select("_event.*", *others)
-
-
 def with_source_meta(df: DataFrame, partition_key: str = "customer_id") -> DataFrame:
     """Sequence (stable over replays), partition key and arrival time of each event."""
     body = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in df.columns if not c.startswith("_")]
