@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from oreline.operators.matching import BLOCKS
+from oreline.operators.matching import BLOCKS, threshold_signatures
 from oreline import schemas as S
 from oreline.plans.star import PAYMENT_ROWS
 
@@ -317,15 +317,19 @@ SELECT *, least(rule_score / 17.0, 1.0) AS match_probability, least(rule_score /
    coalesce(abs(age_a - age_b), 99) AS age_diff, coalesce(abs(age_a - age_b), 99) <= 2 AS age_match,
    CASE WHEN length(name_a) > 0 AND length(name_b) > 0 THEN jaro_winkler_similarity(name_a, name_b) ELSE 0.0 END AS name_similarity
   FROM x_blocked))"""
-_SURE = "email_match AND phone_match AND soundex_match AND postal_match AND country_match"
-CTE["x_ends"] = """
-SELECT email, phone, soundex, postal, country, first(source ORDER BY source, id) AS ls, first(id ORDER BY source, id) AS li,
+# the smallest field sets that decide a match, and those a match must have
+_SURE_SETS = threshold_signatures(0.75, certain=True)
+_SURE = " OR ".join("(" + " AND ".join(f"coalesce({c}_a = {c}_b, false)" for c in s) + ")" for s in _SURE_SETS)
+_REACHABLE = "(" + " OR ".join("(" + " AND ".join(f"{c}_match" for c in s) + ")" for s in threshold_signatures(0.75)) + ")"
+for _i, _set in enumerate(_SURE_SETS):
+    _keys = ", ".join(_set)
+    CTE[f"x_ends{_i}"] = f"""
+SELECT {_keys}, first(source ORDER BY source, id) AS ls, first(id ORDER BY source, id) AS li,
   first(source ORDER BY source DESC, id DESC) AS hs, first(id ORDER BY source DESC, id DESC) AS hi
-FROM x_node WHERE email IS NOT NULL AND phone IS NOT NULL AND soundex IS NOT NULL AND postal IS NOT NULL AND country IS NOT NULL
-GROUP BY ALL HAVING min(source) < max(source)"""
-CTE["x_sure"] = """
-SELECT DISTINCT least(id, other) AS id_a, greatest(id, other) AS id_b FROM (
-  SELECT id, CASE WHEN source = ls THEN hi ELSE li END AS other FROM x_node JOIN x_ends USING (email, phone, soundex, postal, country))"""
+FROM x_node WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _set)} GROUP BY {_keys} HAVING min(source) < max(source)"""
+CTE["x_sure"] = "SELECT DISTINCT least(id, other) AS id_a, greatest(id, other) AS id_b FROM (" + " UNION ALL ".join(
+    f"SELECT id, CASE WHEN source = ls THEN hi ELSE li END AS other FROM x_node JOIN x_ends{i} USING ({', '.join(c)})"
+    for i, c in enumerate(_SURE_SETS)) + ")"
 
 
 def _components(edges: str) -> tuple[str, str]:
@@ -613,7 +617,6 @@ add("er_blocking_counts", " UNION ALL ".join(
 _ALL_PAIRS = " UNION ".join(f"SELECT a.customer_id AS a, b.customer_id AS b {_block_join(k)}" for k in BLOCKS)
 _RATIO = f"SELECT (SELECT count(*) FROM x_sc) AS total_customers, (SELECT count(*) FROM ({_ALL_PAIRS})) AS candidate_pairs"
 add("er_reduction_ratio", f"SELECT *, total_customers * total_customers / 2.0 / nullif(candidate_pairs, 0) AS reduction_factor FROM ({_RATIO})", "reduction_factor")
-_REACHABLE = "((email_match AND phone_match) OR (email_match AND soundex_match AND postal_match AND country_match))"
 _SCORES = ("id_a, id_b, n_a, n_b, block_sources, block_strength, email_match, phone_match, soundex_match, postal_match, country_match, age_match, "
            "age_diff, name_similarity, rule_score, match_probability, is_match")
 _SCORE_NUM = "name_similarity rule_score match_probability"
@@ -779,7 +782,9 @@ add("sync_marts", f"SELECT \"table\", n AS rows_loaded, n AS rows_stored, '2001-
 def _gold(table: str, source: str) -> tuple[str, str, str]:
     cols = [part.strip().split(" ", 1) for part in re.split(r",\s*(?![^()]*\))", S.GOLD_DDL[table])]
     kinds = {"string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
-    body = "SELECT " + ", ".join(f"CAST({n} AS {kinds.get(t, t)}) AS {n}" for n, t in cols) + f" FROM {source}"
+    # means are doubles here: the nudge makes an exact half round up, as it does for decimals
+    shown = [(n, f"CAST({n} AS DOUBLE) + 1e-9" if t.startswith("decimal") else n, kinds.get(t, t)) for n, t in cols]
+    body = "SELECT " + ", ".join(f"CAST({value} AS {kind}) AS {n}" for n, value, kind in shown) + f" FROM {source}"
     return body, " ".join(n for n, t in cols if t.startswith("decimal")), " ".join(n for n, t in cols if t in ("timestamp", "date"))
 
 

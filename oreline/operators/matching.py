@@ -3,11 +3,12 @@
 Three facts keep pairs from growing with the square of a block:
 
 * Customers of one source with equal evidence are one *profile*; pairs are made of profiles.
-* The score is a weighted sum, so a pair below the threshold even with full marks for the fuzzy parts
-  need not be made. The smallest sets of exact fields that can still reach the threshold are the join
-  keys. At the default threshold these are (email, phone) and (email, soundex, postal, country).
-* Pairs that agree on enough exact fields match whatever the fuzzy parts say (by default all five
-  fields). Such a group is connected as a whole, so one link per profile stands for all its pairs.
+* The score is a weighted sum, so a pair below the threshold even with equal names need not be made.
+  The smallest sets of fields that can still reach the threshold are the join keys (ages join when they
+  are close). At the default threshold these are e-mail and phone with one of soundex, postal code,
+  country or age, and e-mail with all of soundex, postal code, country and age.
+* Pairs that agree on enough fields match for certain, as equal names and ages count in full. Such a
+  group is connected as a whole, so one link per profile stands for all its pairs.
 """
 
 from __future__ import annotations
@@ -77,24 +78,26 @@ def profiles(keyed: DataFrame) -> DataFrame:
     """One row per profile: its smallest customer id, its size and its evidence."""
     return keyed.groupBy("profile_key").agg(
         F.min("customer_id").alias("id"), F.count("*").alias("n"),
-        *[F.any_value(c).alias(name) for c, name in SOURCE_COLUMNS.items()])
+        *[F.any_value(c).alias(name) for c, name in SOURCE_COLUMNS.items()]
+    ).withColumn("name", F.nullif("name", F.lit("")))
 
 
 def threshold_signatures(threshold: float, weights: Weights = Weights(), certain: bool = False) -> list[tuple[str, ...]]:
-    """Smallest field sets whose equality lets a blocked pair reach ``threshold``.
+    """Smallest field sets whose agreement lets a blocked pair reach ``threshold``.
 
     Every pair that is blocked (same k1, email or phone) and scores at least the threshold agrees on
-    all fields of at least one set. With ``certain`` the sets reach it without any fuzzy evidence, so
-    every pair that agrees on one is a match.
+    all fields of at least one set, where ages agree when close. With ``certain`` the sets reach it
+    without any other evidence, so every pair that is equal in one is a match.
     """
-    spare = 0 if certain else sum(weights.fuzzy.values())
-    needed = threshold * weights.max_score - spare + (1e-9 if certain else -1e-9)
-    names = list(weights.exact)
-    enough = [frozenset(c) for size in range(len(names) + 1) for c in combinations(names, size)
-              if sum(weights.exact[n] for n in c) >= needed]
+    pool = {**weights.exact, **weights.fuzzy}
+    needed = threshold * weights.max_score + 1e-9
+    if not certain:
+        needed -= pool.pop("name") + 2e-9
+    enough = [frozenset(c) for size in range(len(pool) + 1) for c in combinations(pool, size)
+              if sum(pool[n] for n in c) >= needed]
     blocked = {chosen | {block} for chosen in enough for block in BLOCKS.values()}
     smallest = [s for s in blocked if not any(other < s for other in blocked)]
-    order = ["email", "phone", "k1", "soundex", "postal", "country"]
+    order = ["email", "phone", "k1", "name", "soundex", "postal", "country", "age"]
     return sorted((tuple(sorted(s, key=order.index)) for s in smallest), key=lambda s: (len(s), s))
 
 
@@ -102,6 +105,11 @@ def _agree(names: Iterable[str]) -> Column:
     return reduce(and_, [F.coalesce(F.col(f"{n}_a") == F.col(f"{n}_b"), F.lit(False)) for n in names])
 
 
+def _close(names: Iterable[str]) -> Column:
+    near = F.coalesce(F.abs(F.col("age_a") - F.col("age_b")) <= AGE_TOLERANCE, F.lit(False))
+    return reduce(and_, [near if n == "age" else _agree([n]) for n in names])
+
+
 def _sides(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     left, right = (nodes.select(
         F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"),
@@ -109,24 +117,49 @@ def _sides(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
+def _with_signature_keys(df: DataFrame, signatures: list[tuple[str, ...]], side: str = "", spread: bool = False) -> DataFrame:
+    """One row per signature the profile has all fields of, with their values as one key.
+
+    ``spread`` adds a row per age that is close enough, so that close ages meet in an equi-join.
+    """
+    age = F.col(f"age{side}")
+    entries = []
+    for position, signature in enumerate(signatures):
+        fixed = F.concat(*[F.concat(F.col(f"{c}{side}"), F.lit("\x1f")) for c in signature if c != "age"])
+
+        def entry(tail: Column, at: int = position, head: Column = fixed) -> Column:
+            return F.struct(F.lit(at).alias("sig"), F.concat(head, tail).alias("key"))
+
+        if "age" not in signature:
+            entries.append(F.array(entry(F.lit(""))))
+        elif not spread:
+            entries.append(F.array(entry(age.cast("string"))))
+        else:
+            entries.append(F.array(*[entry((age + step).cast("string")) for step in range(-AGE_TOLERANCE, AGE_TOLERANCE + 1)]))
+    return df.withColumn("_entry", F.explode(F.flatten(F.array(*entries)))) \
+        .where("_entry.key is not null").select("*", "_entry.sig", "_entry.key").drop("_entry")
+
+
 def candidate_pairs(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weights: Weights = Weights(),
                     skip_certain: bool = False) -> DataFrame:
     """Profile pairs of different sources that are blocked together and can reach ``threshold``.
 
-    One equi-join per signature. A pair is made under the first signature it satisfies only, so the
-    union needs no distinct. ``threshold=0`` gives plain blocking on the three keys; ``skip_certain``
-    leaves out the pairs that ``certain_links`` stands for.
+    One equi-join on (signature, key). A pair is made under the first signature it satisfies only, so
+    no distinct is needed. ``threshold=0`` gives plain blocking on the three keys; ``skip_certain``
+    leaves out, inside the join, the pairs that ``certain_links`` stands for.
     """
     signatures = threshold_signatures(threshold, weights)
     left, right = _sides(nodes)
-    known = [~_agree(s) for s in threshold_signatures(threshold, weights, certain=True)] if skip_certain else []
-    parts = []
-    for position, signature in enumerate(signatures):
-        on = [F.col(f"{c}_a") == F.col(f"{c}_b") for c in signature]
-        on += [F.col("id_a") < F.col("id_b"), F.col("source_a") != F.col("source_b")]
-        apart = [~_agree(earlier) for earlier in signatures[:position]]
-        parts.append(left.join(right, reduce(and_, on + apart + known)))
-    return with_block_sources(reduce(DataFrame.unionByName, parts))
+    left = _with_signature_keys(left, signatures, "_a", spread=True)
+    right = _with_signature_keys(right, signatures, "_b").withColumnsRenamed({"sig": "_sig", "key": "_key"})
+    on = [F.col("sig") == F.col("_sig"), F.col("key") == F.col("_key"), F.col("id_a") < F.col("id_b"),
+          F.col("source_a") != F.col("source_b")]
+    for position in range(1, len(signatures)):
+        earlier = [~_close(s) for s in signatures[:position]]
+        on.append((F.col("sig") != position) | reduce(and_, earlier))
+    if skip_certain:
+        on += [~_agree(s) for s in threshold_signatures(threshold, weights, certain=True)]
+    return with_block_sources(left.join(right, reduce(and_, on)).drop("sig", "key", "_sig", "_key"))
 
 
 def certain_links(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weights: Weights = Weights()) -> DataFrame:
@@ -137,19 +170,16 @@ def certain_links(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weights:
     per group, and each pair is a match of its own.
     """
     left, right = _sides(nodes)
-    parts = []
-    for signature in threshold_signatures(threshold, weights, certain=True):
-        keys = [F.col(c).isNotNull() for c in signature]
-        usable = nodes.where(reduce(and_, keys))
-        ends = usable.groupBy(*signature).agg(
-            F.min(F.struct("source", "id")).alias("low"), F.max(F.struct("source", "id")).alias("high"),
-        ).where(F.col("low.source") < F.col("high.source"))
-        linked = usable.join(ends, list(signature))
-        other = F.when(F.col("source") == F.col("low.source"), F.col("high.id")).otherwise(F.col("low.id"))
-        parts.append(linked.select(F.least("id", other).alias("id_a"), F.greatest("id", other).alias("id_b")))
-    if not parts:
-        return with_block_sources(left.join(right, F.lit(False)))
-    pairs = reduce(DataFrame.unionByName, parts).distinct()
+    signatures = threshold_signatures(threshold, weights, certain=True)
+    if not signatures:
+        return with_block_sources(left.where("false").join(right, F.col("id_a") == F.col("id_b")))
+    members = _with_signature_keys(nodes, signatures).select("sig", "key", "source", "id")
+    ends = members.groupBy("sig", "key").agg(
+        F.min(F.struct("source", "id")).alias("low"), F.max(F.struct("source", "id")).alias("high"),
+    ).where(F.col("low.source") < F.col("high.source"))
+    other = F.when(F.col("source") == F.col("low.source"), F.col("high.id")).otherwise(F.col("low.id"))
+    pairs = members.join(ends, ["sig", "key"]).select(
+        F.least("id", other).alias("id_a"), F.greatest("id", other).alias("id_b")).distinct()
     return with_block_sources(pairs.join(left, "id_a").join(right, "id_b"))
 
 

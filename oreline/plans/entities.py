@@ -11,6 +11,7 @@ from ..functions.calendar import AsOf, at_date, at_ts
 from ..operators import matching as M
 from ..operators.components import star_forest
 from ..operators.merge import update_columns
+from ..session import cut_lineage
 
 ENTITY_PREFIX = "ent_"
 
@@ -20,7 +21,8 @@ def match_links(customers: DataFrame, threshold: float = M.MATCH_THRESHOLD, weig
 
     All uncertain matches are here, and of the certain ones as many as connect the same profiles.
     """
-    nodes = M.profiles(M.with_profile_key(customers))
+    # read several times below: kept as a table rather than grouped again for each join
+    nodes = cut_lineage(M.profiles(M.with_profile_key(customers)))
     open_pairs = M.candidate_pairs(nodes, threshold, weights, skip_certain=True)
     sure = M.certain_links(nodes, threshold, weights)
     return M.matched(M.score_pairs(sure.unionByName(open_pairs), threshold, weights))

@@ -40,9 +40,8 @@ def velocity_stream(stream: DataFrame, out: str, state: str, checkpoint: str, ho
         second = F.col("transaction_ts").cast("timestamp").cast("long")
         batch.withColumn("second", second).join(trailing_counts(known, hours), ["customer_id", "second"], "left") \
             .drop("second").write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
-        newest = known.agg(F.max("second").alias("_newest"))
-        known.join(F.broadcast(newest), F.col("second") >= F.col("_newest") - F.lit(width)).drop("_newest") \
-            .write.mode("overwrite").parquet(f"{state.rstrip('/')}/epoch={epoch}")
+        newest = known.agg(F.max("second")).first()[0] or 0
+        known.where(F.col("second") >= newest - width).write.mode("overwrite").parquet(f"{state.rstrip('/')}/epoch={epoch}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
