@@ -81,6 +81,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read that: for input an iteration scans every round."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def is_blank(df: DataFrame) -> bool:
     """True when there is no row; stops at the first one found."""
     return df.isEmpty()
