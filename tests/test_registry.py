@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as E
 from checks.compare import TABLES, compare
+from checks.oracles import ORACLES
+from checks.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,14 +20,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
+    assert set(REGISTRY) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
     assert E.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, con, name):
-    result, _, _, _ = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+    result, _, _, _ = compare(spark, con, name, REGISTRY[name], ORACLES[name], SF)
     assert result == "ok"
