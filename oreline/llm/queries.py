@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, packing
+from . import bpe, minhash, packing
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,30 @@ def op6_byte_bpe(spark, sf):
         sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
         sha256_hex(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_minhash_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
+
+
+SQL["op8_minhash_dedup"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (SELECT x, y FROM common WHERE 100 * c >= 80 * (nx + ny - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
+"""
