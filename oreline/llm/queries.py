@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, minhash, packing
+from . import bpe, chat, language, minhash, packing
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = language.identify(docs, language.fold() != 2)
+    return found.select("doc_id", F.coalesce(language.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -43,6 +50,39 @@ def op6_byte_bpe(spark, sf):
     )
 
 
+@query
+def op7_chat_format(spark, sf):
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    done = chat.format_conversations(turns.withColumn("parts", chat.text_parts(F.col("text"))))
+    read = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("back"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.select(
+        "conv_id", F.size("back").cast("long").alias("n_turns"),
+        sha256_hex(F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), sha256_hex(F.col("loss")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op7_chat_format"] = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learnt,
+    length(role || text) + 4 * length(regexp_replace(role || text, '[^&\\[\\]]', '', 'g')) + 3 * length(regexp_replace(role || text, '[^<]', '', 'g')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  length(string_agg(learnt, '' ORDER BY turn, role, text)) AS loss_chars,
+  sha256(string_agg(learnt, '' ORDER BY turn, role, text)) AS loss_sha256,
+  3 + sum(chars + 6)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 @query
 def op8_minhash_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), k=2, percent=80)
