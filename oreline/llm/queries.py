@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, language, minhash, packing
+from . import bpe, chat, language, minhash, neighbours, packing
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op3_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op4_nearest_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
+
+
 @query
 def op6_byte_bpe(spark, sf):
     coded = bpe.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
