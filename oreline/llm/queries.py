@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, language, minhash, neighbours, packing
+from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,22 @@ reach(doc_id, other) AS (
 SELECT s.doc_id, len(s.s) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
 FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
 """
+
+
+@query
+def op9_imatch(spark, sf):
+    docs = table(spark, sf, "documents")
+    return imatch.edit_probe(docs, imatch.lexicon(docs))
+
+
+@query
+def op10_pii(spark, sf):
+    found = pii.find(table(spark, sf, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), sha256_hex(pii.span_text(F.col("base"))).alias("base_sha256"),
+        pii.span_text(F.col("base"), F.col("terms")).alias("spans"),
+    )
