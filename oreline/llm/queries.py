@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii
+from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii, secrets
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,16 @@ def op4_nearest_neighbours(spark, sf):
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query
+def op5_secret_scan(spark, sf):
+    found = secrets.learn_and_scan(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_candidates", F.size("secrets").cast("long").alias("n_secrets"),
+        F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
+        F.array_max(F.transform("secrets", lambda s: s["score"])).alias("score"), sha256_hex(F.col("redacted")).alias("redacted_sha256"),
+    )
+
+
 @query
 def op6_byte_bpe(spark, sf):
     coded = bpe.encode_texts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
