@@ -1,19 +1,58 @@
-"""Documents to packed training sequences: language, near copies, secrets, packing."""
+"""Documents to packed training sequences: language, near copies, secrets, packing.
+
+Each stage works on all its predecessor kept and returns the columns of ``documents`` (the last one returns packed pieces). Null ids,
+null texts and repeated rows are ordinary rows: a text without letters is rejected by the first stage, repeated rows are copies for
+the second. Extra columns are carried along by the first three stages.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from oreline.llm import packing
+from oreline.llm import language, minhash, packing, secret_scan
 from oreline.session import adopt, keep_table
 
+#: A prediction below this is a rejection: with four languages, hardly more than a draw.
+LEAST_SCORE = 0.3
+
+
+def columns_of(docs: DataFrame, changed: dict[str, Column], held: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of ``row``, some of them changed."""
+    return held.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; a missing label is filled in."""
+    adopt(spark)
+    model = language.learn(docs, language.fold() != 2)
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), language.predicted(spark, docs["text"], model).alias("found"))
+    kept = held.where((F.col("found.lang_pred") != language.UNKNOWN) & (F.col("found.score") >= LEAST_SCORE))
+    return columns_of(docs, {"lang": F.coalesce("row.lang", "found.lang_pred")}, kept)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest id."""
+    adopt(spark)
+    kept = minhash.near_duplicates(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    marked = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").withColumn("text_hash_", F.xxhash64("text"))
+    return marked.dropDuplicates(["doc_id", "text_hash_"]).select(*[docs[f"`{c}`"] for c in docs.columns])
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with secrets replaced in its text and its length counted anew."""
+    adopt(spark)
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    return columns_of(docs, {"text": F.col("redacted"), "n_chars": F.length("redacted").cast(docs.schema["n_chars"].dataType)}, found)
+
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences of 1024 tokens."""
+    adopt(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("pack", pack)]
+STAGES = [("language", identify_language), ("near_copies", drop_near_copies), ("secrets", redact_secrets), ("packing", pack_sequences)]
 ORACLE_SQL = None
 
 

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .columns import field, pick
+from .columns import pick
 
 #: Longest n-gram and number of cells.
 ORDER, CELLS = 4, 1 << 16
@@ -79,7 +79,6 @@ def training_sample(docs: DataFrame, allowed: Column, per_language: int, id_col:
     the driver is bounded by that number and not by the texts."""
     rows = pick(docs.where(allowed), id=id_col, text=text_col, lang=lang_col).where("lang is not null and text rlike '\\\\p{L}'")
     keyed = rows.select("lang", F.xxhash64("id", "text").alias("h"))
-    from pyspark.sql import Window
     best = keyed.distinct().withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("at") <= per_language).drop("at")
     # the sample has at most per_language rows a language: a side of known size
     texts = rows.withColumn("h", F.xxhash64("id", "text")).join(F.broadcast(best), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
@@ -97,52 +96,56 @@ def training_sample(docs: DataFrame, allowed: Column, per_language: int, id_col:
     return [(r.lang, np.frombuffer(r.cells, np.uint8)) for r in sorted(found, key=lambda r: (r.h, r.lang))]
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *keep, lang_pred, score) per row, in place: no shuffle.
+def predicted(spark: SparkSession, text: Column, model: Model) -> Column:
+    """struct(lang_pred, score) of a text column.
 
     Every n-gram of the whole text counts. ``score`` is the share of the best language in the softmax of the regression values, 0
     to 1. A text that is null or has no letter is ``und`` with score 0, as is every text if the model knows no language. Ties go
     to the first language in alphabetical order.
     """
-    rows = docs.select(*[docs[f"`{c}`"] for c in dict.fromkeys((id_col, *keep))], docs[f"`{text_col}`"].cast("string").alias("text_"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # CELLS x languages numbers
+    shared = spark.sparkContext.broadcast(model)  # CELLS x languages numbers
 
-    def scored(batches):
+    @F.arrow_udf("lang_pred string, score double")
+    def scored(texts: pa.Array) -> pa.Array:
         import regex
         known = shared.value
         letter = regex.compile(r"\p{L}").search
+        lang, score, places = [UNKNOWN] * len(texts), [0.0] * len(texts), []
         block = np.zeros((BATCH_ROWS, CELLS), np.float32)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            places = []
-            for i in range(len(texts) + 1):
-                if places and (len(places) == BATCH_ROWS or i == len(texts)):
-                    x = block[:len(places)]
-                    size = np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-                    value = (x @ known.weights) / size
-                    odds = np.exp(4 * (value - value.max(axis=1, keepdims=True)).astype(np.float64))
-                    for j, at in enumerate(places):
-                        best = int(odds[j].argmax())
-                        lang[at], score[at] = known.languages[best], float(odds[j, best] / odds[j].sum())
-                    block[:len(places)] = 0
-                    places = []
-                if i < len(texts):
-                    text = texts[i].as_py()
-                    if text and known.languages and letter(text):
-                        presence(text, block[len(places)])
-                        places.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
-
-    schema = T.StructType([*[field(rows, c) for c in rows.columns[:-1]], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(scored, schema)
-
-
-def identify(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (),
-             per_language: int = 1024, landmarks: int = 256, ridge: float = 0.1) -> DataFrame:
-    """Fit on rows where ``allowed`` holds (a sample of at most ``per_language`` rows a language) and predict all rows of ``docs``."""
-    return predict(docs, fit(training_sample(docs, allowed, per_language, id_col, text_col, lang_col), landmarks, ridge), id_col, text_col, keep)
+
+        def flush():
+            x = block[:len(places)]
+            value = (x @ known.weights) / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+            odds = np.exp(4 * (value - value.max(axis=1, keepdims=True)).astype(np.float64))
+            for j, at in enumerate(places):
+                best = int(odds[j].argmax())
+                lang[at], score[at] = known.languages[best], float(odds[j, best] / odds[j].sum())
+            x[:] = 0
+            places.clear()
+
+        for i, text in enumerate(texts):
+            text = text.as_py()
+            if text and known.languages and letter(text):
+                presence(text, block[len(places)])
+                places.append(i)
+                if len(places) == BATCH_ROWS:
+                    flush()
+        if places:
+            flush()
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+
+    return scored.asNondeterministic()(text.cast("string"))  # so that a filter on it does not run it again
+
+
+def learn(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          per_language: int = 1024, landmarks: int = 256, ridge: float = 0.1) -> Model:
+    """A model from the labelled rows where ``allowed`` holds: a sample of at most ``per_language`` rows a language."""
+    return fit(training_sample(docs, allowed, per_language, id_col, text_col, lang_col), landmarks, ridge)
+
+
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) per row of ``docs``, in place; repeated rows and null ids stay as they are."""
+    return docs.select(docs[f"`{id_col}`"], predicted(docs.sparkSession, docs[f"`{text_col}`"], model).alias("found")).select(id_col, "found.*")
 
 
 def fold(id_col: str = "doc_id") -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii, secrets
+from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii, secret_scan
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_language_id(spark, sf):
     docs = table(spark, sf, "documents")
-    found = language.identify(docs, language.fold() != 2)
+    found = language.identify(docs, language.learn(docs, language.fold() != 2))
     return found.select("doc_id", F.coalesce(language.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -47,7 +47,8 @@ def op4_nearest_neighbours(spark, sf):
 
 @query
 def op5_secret_scan(spark, sf):
-    found = secrets.learn_and_scan(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
     return found.select(
         "doc_id", "n_candidates", F.size("secrets").cast("long").alias("n_secrets"),
         F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),

@@ -168,28 +168,28 @@ def rule_findings(docs: DataFrame, words: list[str], text_col: str = "text", pat
     return c.select(features(F.col("c"), F.col("path"), words).alias("f"), rule_label(F.col("c")).alias("label")).select("f.*", "label")
 
 
-def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", keep: tuple[str, ...] = (),
-         threshold: float = 0.5) -> DataFrame:
-    """(id, *keep, n_candidates, secrets, redacted) per row, in place.
+def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", threshold: float = 0.5) -> DataFrame:
+    """(id, n_candidates, secrets, redacted, row) per row, in place.
 
     ``secrets`` lists (start, end, score) in code points for candidates that at least ``threshold`` of the trees call secrets, in
-    order; ``redacted`` is the text with each of them replaced. A null text has no candidates and stays null; a null path is an empty
-    one; repeated rows and null ids are kept as they are.
+    order; ``redacted`` is the text with each of them replaced; ``row`` holds the columns of ``docs`` as they were. A null text has no
+    candidates and stays null; a null path is an empty one; repeated rows and null ids are kept as they are.
     """
-    rows = docs.select(*[docs[f"`{c}`"] for c in dict.fromkeys((id_col, *keep))], docs[f"`{text_col}`"].cast("string").alias("text_"), docs[f"`{path_col}`"].alias("path_"))
+    rows = docs.select(docs[f"`{id_col}`"].alias("id_"), docs[f"`{text_col}`"].cast("string").alias("text_"), docs[f"`{path_col}`"].alias("path_"),
+                       F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint,score:double>>")
     judged = F.transform(F.col("found_"), lambda c: F.struct(
         c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), forest.score(features(c, F.col("path_"), forest.words)).alias("score")))
-    held = rows.withColumn("found_", candidates(F.col("text_"))).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(
-        F.array().cast("array<struct<start:bigint,end:bigint,score:double>>")))
+    held = rows.withColumn("found_", candidates(F.col("text_"))).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(none))
     kept = F.filter("judged_", lambda c: c["score"] >= threshold)
-    found = F.regexp_extract_all("text_", F.lit(CANDIDATE), F.lit(0))
-    shown = F.zip_with(found, "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
-    between = F.split("text_", CANDIDATE, -1)
-    redacted = F.when(F.size(kept) > 0, F.array_join(F.zip_with(between, shown, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")).otherwise(F.col("text_"))
-    return held.select(id_col, *[c for c in keep if c != id_col], F.size("judged_").cast("long").alias("n_candidates"), kept.alias("secrets"), redacted.alias("redacted"))
+    shown = F.zip_with(F.regexp_extract_all("text_", F.lit(CANDIDATE), F.lit(0)), "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
+    mended = F.zip_with(F.split("text_", CANDIDATE, -1), shown, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    return held.select(
+        F.col("id_").alias(id_col), F.size("judged_").cast("long").alias("n_candidates"), kept.alias("secrets"),
+        F.when(F.size(kept) > 0, F.array_join(mended, "")).otherwise(F.col("text_")).alias("redacted"), "row")
 
 
-def learn_and_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", keep: tuple[str, ...] = (), findings: DataFrame | None = None) -> DataFrame:
-    """Scan ``docs`` with a forest trained on ``findings``, or on the rule-labelled findings of ``docs`` itself."""
+def learn(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "text", path_col: str = "source") -> Forest:
+    """A forest trained on ``findings`` (columns ``FEATURES`` and ``label``), or on the rule-labelled findings of ``docs`` itself."""
     words = dictionary(docs, text_col)
-    return scan(docs, train(rule_findings(docs, words, text_col, path_col) if findings is None else findings, words), id_col, text_col, path_col, keep)
+    return train(rule_findings(docs, words, text_col, path_col) if findings is None else findings, words)
