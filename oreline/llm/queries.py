@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, imatch, language, minhash, neighbours, packing, pii, secret_scan
+from . import bpe, chat, imatch, language, licenses, minhash, neighbours, packing, pii, secret_scan
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,16 @@ def op1_language_id(spark, sf):
     return found.select("doc_id", F.coalesce(language.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_license_scan(spark, sf):
+    found = licenses.scan(table(spark, sf, "documents"))
+    shown = F.transform("licenses", lambda f: F.concat_ws(":", f["name"], f["start"].cast("string"), f["end"].cast("string")))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(shown, ",").alias("spans"),
+        F.array_max(F.transform("licenses", lambda f: f["dice"])).alias("best_dice"),
+    )
+
+
 @query
 def op3_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
