@@ -729,8 +729,9 @@ def sync_marts(spark, sf):
     root = scratch_path(spark, "sync")
     made = {"customer_360": m_360(spark, sf), "daily_order_summary": m_daily(spark, sf), "fraud_summary": m_fraud(spark, sf)}
     schemas = {name: S.gold_schema(name) for name in made}
-    loaded = publish.sync_marts(spark, made, schemas, f"{root}/export", f"{root}/store", "2001-07-20", X.ORDERS_AS_OF)
-    stored = Q.table_counts({name: spark.read.parquet(f"{root}/store/{name}") for name in made})
+    for date in ("2001-07-19", "2001-07-20", "2001-07-20"):  # an earlier date, and one date twice
+        loaded = publish.sync_marts(spark, made, schemas, f"{root}/export", f"{root}/store", date, X.ORDERS_AS_OF)
+    stored = Q.table_counts({name: io.read_part(spark, f"{root}/store/{name}") for name in made})
     return loaded.join(stored, "table").select("table", "rows_loaded", F.col("n").alias("rows_stored"), "execution_date")
 
 
@@ -758,7 +759,7 @@ def stored_upsert(spark, sf):
     parts = {"yr": F.year("o_orderdate"), "st": F.col("o_orderstatus")}
     io.write_table(stored.withColumns(parts), root, ["yr", "st"])
     io.upsert_table(spark, root, batch.withColumns(parts), ["o_orderkey"], ["yr", "st"])
-    return spark.read.parquet(root)
+    return io.read_table(spark, root)
 
 
 @query
@@ -903,7 +904,7 @@ def stream_upsert(spark, sf):
     _feed(b_orders(spark, sf), "ingest_ts", ["1998-01-01"], root, lambda stream: stateful.foreach_upsert(
         stream, f"{root}/silver", ["order_id"], f"{root}/ckpt", ["order_year"],
         lambda batch: silver.silver_orders(batch, X.ORDERS_AS_OF)))
-    return spark.read.parquet(f"{root}/silver").select("order_id", "order_status", "updated_ts", "order_year", "net_amount")
+    return io.read_table(spark, f"{root}/silver").select("order_id", "order_status", "updated_ts", "order_year", "net_amount")
 
 
 def arrivals(spark, sf):

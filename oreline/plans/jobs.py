@@ -73,7 +73,7 @@ def run_transactions(spark: SparkSession, lake: catalog.Lake, date: str, as_of:
     if raw is None:
         return NO_DATA
     path, history = lake.silver("transactions"), None
-    if io.has_files(spark, path):
+    if io.table_exists(spark, path):
         since = spark.range(1).select(F.date_sub(F.lit(date).cast("date"), cfg.baseline_days)).first()[0]
         history = io.read_silver(spark, path, "transaction_ts", since, "txn_year", "txn_month")
     seen, kept = Observation(), Observation()
@@ -115,7 +115,7 @@ def run_customers(spark: SparkSession, lake: catalog.Lake, date: str, as_of: AsO
 def run_entities(spark: SparkSession, lake: catalog.Lake, date: str, threshold: float = M.MATCH_THRESHOLD) -> dict:
     """Entity map, and the entity columns of the customers whose entity changed."""
     path = lake.silver("customers")
-    stored = adopt(spark).read.parquet(path)
+    stored = io.read_table(adopt(spark), path)
     people = M.load_er_customers(stored)
     links = cut_lineage(entities.match_links(people, threshold))
     found = cut_lineage(entities.resolve(people, date, threshold, links=links))
@@ -131,9 +131,9 @@ def run_entities(spark: SparkSession, lake: catalog.Lake, date: str, threshold:
 
 def build_marts(spark: SparkSession, lake: catalog.Lake, as_of: AsOf) -> dict[str, DataFrame]:
     """Rebuild the gold marts from silver and return the stored tables."""
-    orders = marts.stg_orders(adopt(spark).read.parquet(lake.silver("orders")))
-    txns = marts.stg_transactions(spark.read.parquet(lake.silver("transactions")))
-    people = marts.stg_customers(spark.read.parquet(lake.silver("customers")))
+    orders = marts.stg_orders(io.read_table(adopt(spark), lake.silver("orders")))
+    txns = marts.stg_transactions(io.read_table(spark, lake.silver("transactions")))
+    people = marts.stg_customers(io.read_table(spark, lake.silver("customers")))
     built = {
         "customer_360": marts.customer_360(
             people, marts.customer_order_metrics(orders, as_of), marts.customer_txn_metrics(txns, as_of), as_of),
@@ -146,7 +146,7 @@ def build_marts(spark: SparkSession, lake: catalog.Lake, as_of: AsOf) -> dict[st
 
 
 def run_quality(spark: SparkSession, lake: catalog.Lake, made: dict[str, DataFrame]) -> DataFrame:
-    tables = {d: spark.read.parquet(lake.silver(d)) for d in ("orders", "transactions", "customers")}
+    tables = {d: io.read_table(spark, lake.silver(d)) for d in ("orders", "transactions", "customers")}
     return quality.run_suite({**tables, **made}, quality.standard_suite())
 
 

@@ -10,7 +10,8 @@ from operator import or_
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.calendar import AsOf, at_ts
-from .tables import has_files, load_by_name, write_table
+from . import snapshots
+from .tables import has_files, load_by_name, replace_part, write_table
 
 LOADED_AT = "_loaded_at"
 MAX_FILE_MB = 256
@@ -29,27 +30,39 @@ def unload(df: DataFrame, path: str, date: str, max_file_mb: int = MAX_FILE_MB,
     return target
 
 
-def copy_into(spark: SparkSession, src: str, target: str, ledger: str, schema: T.StructType, as_of: AsOf,
+def copy_into(spark: SparkSession, src: str, target: str, schema: T.StructType, as_of: AsOf,
               on_error: str = "continue") -> int:
     """Append the files below ``src`` that were not loaded before; returns the rows loaded.
 
     Columns match by name without regard to case. A row with a value that does not convert is left out
-    (``continue``) or stops the load (``abort``). Sources are kept.
+    (``continue``) or stops the load (``abort``). Sources are kept. The rows and the list of files they came from become
+    current together, so a load that stops midway has loaded nothing.
     """
     if on_error not in ("continue", "abort"):
         raise ValueError("on_error must be 'continue' or 'abort'")
     if not has_files(spark, src):
         return 0
+    now = snapshots.latest(spark, target)
     rows = spark.read.option("recursiveFileLookup", True).parquet(src).withColumn("_file", F.col("_metadata.file_path"))
-    if has_files(spark, ledger):
-        rows = rows.join(spark.read.schema(LEDGER).parquet(ledger).select(F.col("file").alias("_file")), "_file", "left_anti")
-    lenient = on_error == "continue"
-    typed = _convert(rows, schema) if lenient else load_by_name(rows, schema)
+    if now:
+        known = snapshots.read_notes(spark, target, now, "ledger", LEDGER)
+        rows = rows.join(known.select(F.col("file").alias("_file")), "_file", "left_anti")
+    typed = _convert(rows, schema) if on_error == "continue" else load_by_name(rows, schema)
     seen = Observation()
     final = typed.withColumn(LOADED_AT, at_ts(as_of)).observe(seen, F.count(F.lit(1)).alias("n"))
-    write_table(final, target, mode="append")
-    write_table(rows.select(F.col("_file").alias("file")).distinct().withColumn("loaded_at", at_ts(as_of)),
-                ledger, mode="append")
+    write, names = snapshots.write_parts(final, target, ())
+    files, _ = snapshots.write_parts(rows.select(F.col("_file").alias("file")).distinct().withColumn("loaded_at", at_ts(as_of)), target, ())
+    parts = {"all": {"writes": [*(now.parts.get("all", {"writes": []})["writes"] if now else []), *([write] if names else [])], "values": {}}}
+    notes = {"ledger": [*(now.notes.get("ledger", []) if now else []), files]}
+    snapshots.commit(spark, target, snapshots.Snapshot(now.number + 1 if now else 1, now.schema if now else final.schema, parts, notes))
+    return int(seen.get["n"])
+
+
+def load_date(spark: SparkSession, src: str, target: str, schema: T.StructType, date: str, as_of: AsOf) -> int:
+    """Make the files below ``src`` the target's rows of ``date``, in place of any it had for that date; returns how many."""
+    seen = Observation()
+    rows = _convert(spark.read.parquet(src), schema).withColumn(LOADED_AT, at_ts(as_of)).observe(seen, F.count(F.lit(1)).alias("n"))
+    replace_part(spark, target, rows, date)
     return int(seen.get["n"])
 
 
@@ -77,7 +90,10 @@ RESULT = "table string, rows_loaded long, execution_date string, duration_sec do
 
 def sync_marts(spark: SparkSession, marts: dict[str, DataFrame], schemas: dict[str, T.StructType], export_root: str,
                target_root: str, date: str, as_of: AsOf, only: Sequence[str] | None = None) -> DataFrame:
-    """Unload each mart and load it into the second store; one result row per mart."""
+    """Unload each mart and load it into the second store; one result row per mart.
+
+    A date that is synced again replaces itself; ``tables.read_part`` reads the newest date, the current mart.
+    """
     unknown = set(only or ()) - set(marts)
     if unknown:
         raise ValueError(f"unknown tables: {sorted(unknown)}")
@@ -87,8 +103,7 @@ def sync_marts(spark: SparkSession, marts: dict[str, DataFrame], schemas: dict[s
             continue
         started = time.monotonic()
         exported = unload(df, f"{export_root.rstrip('/')}/{name}", date)
-        n = copy_into(spark, exported, f"{target_root.rstrip('/')}/{name}", f"{target_root.rstrip('/')}/_ledger/{name}",
-                      schemas[name], as_of)
+        n = load_date(spark, exported, f"{target_root.rstrip('/')}/{name}", schemas[name], date, as_of)
         results.append((name, n, date, round(time.monotonic() - started, 1)))
     return spark.createDataFrame(results, RESULT)
 

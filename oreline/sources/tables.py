@@ -11,38 +11,42 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.calendar import AsOf
 from ..functions.parse import CORRUPT, as_text, decode_events
 from ..operators.merge import insert_new, upsert
+from ..session import keep_table
+from . import snapshots
+from .snapshots import filesystem as _hadoop, remove as _remove
 
 
 class MissingData(Exception):
     """Required input has not arrived."""
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop(spark, path)
     return fs.exists(target)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """True as soon as one data file is found below ``path``."""
+    """True as soon as one data file is found below ``path``; hidden folders do not count."""
     fs, target = _hadoop(spark, path)
     if not fs.exists(target):
         return False
+    root = fs.makeQualified(target).toString().rstrip("/")
     listing = fs.listFiles(target, True)
     while listing.hasNext():
-        if not listing.next().getPath().getName().startswith(("_", ".")):
+        below = listing.next().getPath().toString()[len(root):].split("/")
+        if not any(part.startswith(("_", ".")) and "=" not in part for part in below):
             return True
     return False
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return snapshots.latest(spark, path) is not None or has_files(spark, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a stored table; a plain parquet folder is read as it is."""
+    now = snapshots.latest(spark, path)
+    return spark.read.parquet(path) if now is None else snapshots.read_parts(spark, path, now)
 
 
 # ---- reading --------------------------------------------------------------------------------------
@@ -79,13 +83,20 @@ def read_event_file(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_silver(spark: SparkSession, path: str, ts: str | None = None, since: AsOf | None = None,
                 year: str | None = None, month: str | None = None) -> DataFrame:
     """Stored silver rows from ``since`` on; year and month columns, if named, prune folders."""
-    df = spark.read.parquet(path)
+    now = snapshots.latest(spark, path)
     if ts is None or since is None:
-        return df
+        return read_table(spark, path)
     start = F.lit(str(since)).cast("timestamp")
-    if year and month:
-        first = int(str(since)[:4]) * 12 + int(str(since)[5:7])
-        df = df.where(F.col(year) * 12 + F.col(month) >= first)
+    first = int(str(since)[:4]) * 12 + int(str(since)[5:7])
+    if now is None:
+        df = spark.read.parquet(path)
+        if year and month:
+            df = df.where(F.col(year) * 12 + F.col(month) >= first)
+    else:
+        def recent(_, values):
+            return None in (values.get(year), values.get(month)) or int(values[year]) * 12 + int(values[month]) >= first
+
+        df = snapshots.read_parts(spark, path, now, recent)
     return df.where(F.col(ts) >= start)
 
 
@@ -118,66 +129,103 @@ def write_quarantine(df: DataFrame, path: str, date: str) -> None:
     write_table(df, f"{path.rstrip('/')}/date={date}")
 
 
-def _partition_rows(df: DataFrame, cols: Sequence[str]) -> set[tuple]:
-    # folders, not rows: as many as the batch touches
-    return {tuple(r) for r in df.select(*cols).distinct().collect()}
+def _labels(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """Folders of the rows with their values as text: as many as the batch touches."""
+    rows = df.select(snapshots.label(cols).alias("label"), *[F.col(c).cast("string").alias(c) for c in cols]).distinct().collect()
+    return {r["label"]: {c: r[c] for c in cols} for r in rows}
 
 
-def _in_partitions(cols: Sequence[str], values: set[tuple]) -> Column:
-    each = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, row)]) for row in values]
-    return reduce(or_, each, F.lit(False))
+def _checked_batch(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch, computed once; it must hold each key once and no key may be NULL."""
+    batch = keep_table(source, "batch")
+    wrong = batch.groupBy(*keys).count().where((F.col("count") > 1) | reduce(or_, [F.col(k).isNull() for k in keys]))
+    if not wrong.isEmpty():
+        raise ValueError(f"the batch holds a key twice or a NULL key: {wrong.first()}")
+    return batch
 
 
-def _folder(cols: Sequence[str], row: tuple) -> str:
-    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(cols, row))
+def _adopted(spark: SparkSession, path: str, cols: Sequence[str]) -> snapshots.Snapshot | None:
+    """The newest version; a plain parquet folder becomes version 1 first."""
+    now = snapshots.latest(spark, path)
+    if now is None and has_files(spark, path):
+        plain = spark.read.parquet(path)
+        now = _replaced(plain, path, None, cols, _labels(plain, cols))
+    return now
+
+
+def _replaced(rows: DataFrame, path: str, now: snapshots.Snapshot | None, cols: Sequence[str], touched: dict[str, dict]) -> snapshots.Snapshot:
+    """Commit a version in which the touched folders hold ``rows`` and all others what they held."""
+    write, names = snapshots.write_parts(rows, path, cols)
+    kept = {} if now is None else {k: v for k, v in now.parts.items() if k not in touched}
+    parts = kept | {name: {"writes": [write], "values": touched[name]} for name in names}
+    done = snapshots.Snapshot(1 if now is None else now.number + 1, rows.schema if now is None else now.schema, parts, {} if now is None else now.notes)
+    snapshots.commit(rows.sparkSession, path, done)
+    return done
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  partition_by: Sequence[str] = (), keep: Sequence[str] = ()) -> None:
-    """Merge ``source`` into the stored table, rewriting only the folders it touches.
+    """Merge ``source`` into the stored table, writing anew only the folders it touches.
 
     Touched are the folders of the incoming rows and those that hold an older row of the same key, so
-    a key may move between folders. A folder left without rows is removed. Running the same batch again
-    gives the same table, so a run that died midway is repaired by repeating it.
+    a key may move between folders. The merged rows become the newest version when all of them are
+    written; a run that stops before leaves the table as it was, and the same batch again gives the same
+    table. A batch with two rows of one key, or with a NULL key, is refused.
     """
-    if not has_files(spark, path):
-        write_table(source, path, partition_by)
+    cols = list(partition_by)
+    batch = _checked_batch(source, keys)
+    now = _adopted(spark, path, cols)
+    if now is None:
+        _replaced(batch, path, None, cols, _labels(batch, cols))
         return
-    # the batch is read several times below, so it is computed once and kept next to the table
-    spool = f"{path.rstrip('/')}__batch"
-    write_table(source, spool)
-    batch, target = spark.read.parquet(spool), spark.read.parquet(path)
-    if partition_by:
-        _upsert_folders(spark, path, target, batch, keys, list(partition_by), keep)
-    else:
-        merged = f"{path.rstrip('/')}__merged"
-        write_table(upsert(target, batch, keys, keep), merged)
-        write_table(spark.read.parquet(merged), path)
-        _remove(spark, merged)
-    _remove(spark, spool)
-
-
-def _upsert_folders(spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                    cols: list[str], keep: Sequence[str]) -> None:
-    incoming = batch.select(*keys)
-    arriving = _partition_rows(batch, cols)
-    # reads keys and folder names of the target only
-    holding = _partition_rows(target.select(*keys, *cols).join(incoming, list(keys), "left_semi"), cols)
-    old = target.where(_in_partitions(cols, arriving | holding))
-    staying = _partition_rows(old.select(*keys, *cols).join(incoming, list(keys), "left_anti"), cols)
-    upsert(old, batch, keys, keep).select(*target.columns) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
-    for row in holding - arriving - staying:
-        _remove(spark, f"{path.rstrip('/')}/{_folder(cols, row)}")
+    target = snapshots.read_parts(spark, path, now)
+    # reads keys and folder columns of the target only
+    holding = _labels(target.select(*dict.fromkeys([*keys, *cols])).join(batch.select(*keys), list(keys), "left_semi"), cols)
+    touched = _labels(batch, cols) | holding
+    old = snapshots.read_parts(spark, path, now, lambda name, _: name in touched)
+    _replaced(upsert(old, batch, keys, keep).select(*target.columns), path, now, cols, touched)
 
 
 def append_new(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                partition_by: Sequence[str] = ()) -> None:
-    """Append the rows whose key is not stored yet."""
-    if not has_files(spark, path):
-        write_table(source, path, partition_by)
+    """Append the rows whose key is not stored yet, as one new version."""
+    cols = list(partition_by)
+    batch = _checked_batch(source, keys)
+    now = _adopted(spark, path, cols)
+    if now is None:
+        _replaced(batch, path, None, cols, _labels(batch, cols))
         return
-    write_table(insert_new(spark.read.parquet(path), source, keys), path, partition_by, mode="append")
+    fresh = insert_new(snapshots.read_parts(spark, path, now), batch, keys)
+    fresh = now_columns(fresh, now.schema)
+    values = _labels(batch, cols)
+    write, names = snapshots.write_parts(fresh, path, cols)
+    parts = dict(now.parts)
+    for name in names:
+        held = parts.get(name, {"writes": [], "values": values[name]})
+        parts[name] = {**held, "writes": [*held["writes"], write]}
+    snapshots.commit(spark, path, snapshots.Snapshot(now.number + 1, now.schema, parts, now.notes))
+
+
+def now_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The stored columns of a batch; those it lacks are NULL."""
+    return df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def replace_part(spark: SparkSession, path: str, rows: DataFrame, name: str) -> None:
+    """Make ``rows`` the whole of the folder called ``name``, whatever it held before."""
+    now = snapshots.latest(spark, path)
+    write, _ = snapshots.write_parts(rows, path, (), named=name)
+    parts = {**(now.parts if now else {}), name: {"writes": [write], "values": {"name": name}}}
+    snapshots.commit(spark, path, snapshots.Snapshot(now.number + 1 if now else 1, rows.schema, parts, now.notes if now else {}))
+
+
+def read_part(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """One folder written by ``replace_part``; the one with the largest name by default."""
+    now = snapshots.latest(spark, path)
+    if now is None:
+        raise MissingData(f"nothing is stored in {path}")
+    chosen = name or max(now.parts)
+    return snapshots.read_parts(spark, path, now, lambda part, _: part == chosen)
 
 
 def merge_into(table: str, source: DataFrame, keys: Sequence[str], insert_only: bool = False) -> None:

@@ -44,17 +44,83 @@ def test_upsert_table_moves_rows_between_folders(spark, tmp_path, rows):
     batch = spark.createDataFrame([(1, "A", 2), (2, "B", 2), (5, "E", 4)], kind)
     for _ in range(2):
         io.upsert_table(spark, path, batch, ["id"], ["p"])
-        assert rows(spark.read.parquet(path), "id", "v", "p") == [(1, "A", 2), (2, "B", 2), (3, "c", 2), (4, "d", 3), (5, "E", 4)]
-    assert not (tmp_path / "t" / "p=1").exists()
+        assert rows(io.read_table(spark, path), "id", "v", "p") == [(1, "A", 2), (2, "B", 2), (3, "c", 2), (4, "d", 3), (5, "E", 4)]
 
 
 def test_unpartitioned_upsert_and_append(spark, tmp_path, rows):
     path = str(tmp_path / "u")
     for batch in ([(1, "a")], [(1, "b"), (2, "c")]):
         io.upsert_table(spark, path, spark.createDataFrame(batch, "id int, v string"), ["id"])
-    assert rows(spark.read.parquet(path)) == [(1, "b"), (2, "c")]
+    assert rows(io.read_table(spark, path)) == [(1, "b"), (2, "c")]
     io.append_new(spark, path, spark.createDataFrame([(2, "z"), (3, "d")], "id int, v string"), ["id"])
-    assert rows(spark.read.parquet(path)) == [(1, "b"), (2, "c"), (3, "d")]
+    assert rows(io.read_table(spark, path)) == [(1, "b"), (2, "c"), (3, "d")]
+
+
+COUNTRIES = "key string, country string"
+
+
+def test_upsert_keeps_odd_folder_values(spark, tmp_path, rows):
+    def run(name, stored, batch):
+        path = str(tmp_path / name)
+        io.upsert_table(spark, path, spark.createDataFrame(stored, COUNTRIES), ["key"], ["country"])
+        io.upsert_table(spark, path, spark.createDataFrame(batch, COUNTRIES), ["key"], ["country"])
+        return rows(io.read_table(spark, path), "key", "country")
+
+    assert run("blank", [("a", None), ("b", "US"), ("c", None)], [("d", "")]) == [("a", None), ("b", "US"), ("c", None), ("d", "")]
+    assert run("moved", [("a", "N/A"), ("b", "x=y/z")], [("a", "US")]) == [("a", "US"), ("b", "x=y/z")]
+    assert run("digits", [("a", "007"), ("b", "012")], [("c", "012"), ("b", "012")]) == [("a", "007"), ("b", "012"), ("c", "012")]
+
+
+def test_stopped_upsert_loses_nothing(spark, tmp_path, rows, monkeypatch):
+    path, batch = str(tmp_path / "s"), spark.createDataFrame([("b", "DE")], COUNTRIES)
+    io.upsert_table(spark, path, spark.createDataFrame([("a", "US"), ("b", "US")], COUNTRIES), ["key"])
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(io.snapshots, "commit", stop)
+        with pytest.raises(RuntimeError):
+            io.upsert_table(spark, path, batch, ["key"])
+    assert rows(io.read_table(spark, path)) == [("a", "US"), ("b", "US")]
+    io.upsert_table(spark, path, batch, ["key"])
+    assert rows(io.read_table(spark, path)) == [("a", "US"), ("b", "DE")]
+
+
+def test_upsert_refuses_doubled_and_null_keys(spark, tmp_path):
+    for batch in ([("a", "US"), ("a", "DE")], [(None, "US")]):
+        with pytest.raises(ValueError, match="key"):
+            io.upsert_table(spark, str(tmp_path / "d"), spark.createDataFrame(batch, COUNTRIES), ["key"])
+    assert not io.table_exists(spark, str(tmp_path / "d"))
+
+
+def test_versions_are_pruned_and_conflicts_found(spark, tmp_path, rows):
+    path = str(tmp_path / "v")
+    for i in range(6):
+        io.upsert_table(spark, path, spark.createDataFrame([("a", str(i)), (f"k{i}", "x")], COUNTRIES), ["key"])
+    assert len(list((tmp_path / "v" / "_snapshots").glob("*.json"))) == 3 and len(list((tmp_path / "v" / "_data").iterdir())) == 3
+    assert len(rows(io.read_table(spark, path))) == 7
+    with pytest.raises(io.snapshots.Conflict):
+        io.snapshots.commit(spark, path, io.snapshots.latest(spark, path))
+
+
+def test_load_is_once_and_a_date_replaces_itself(spark, tmp_path, monkeypatch):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    spark.range(3).write.parquet(src)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish.snapshots, "commit", stop)
+        with pytest.raises(RuntimeError):
+            publish.copy_into(spark, src, dst, spark.range(0).schema, "2024-01-01")
+    assert publish.copy_into(spark, src, dst, spark.range(0).schema, "2024-01-01") == 3
+    assert io.read_table(spark, dst).count() == 3
+    marts, schemas = {"m": spark.range(2)}, {"m": spark.range(0).schema}
+    for date in ("2024-01-01", "2024-01-01", "2024-01-02"):
+        publish.sync_marts(spark, marts, schemas, str(tmp_path / "e"), str(tmp_path / "t"), date, date)
+    assert io.read_part(spark, str(tmp_path / "t" / "m")).count() == 2 and io.read_table(spark, str(tmp_path / "t" / "m")).count() == 4
 
 
 def test_cluster_write_narrows_files(spark, tmp_path):
@@ -66,14 +132,14 @@ def test_cluster_write_narrows_files(spark, tmp_path):
 
 
 def test_copy_into_loads_once_and_skips_bad_rows(spark, tmp_path):
-    src, dst, led = (str(tmp_path / n) for n in ("src", "dst", "led"))
+    src, dst = (str(tmp_path / n) for n in ("src", "dst"))
     spark.createDataFrame([("1", "x"), ("bad", "y")], "ID string, Name string").write.parquet(src)
     schema = spark.createDataFrame([], "id int, name string, extra double").schema
-    assert publish.copy_into(spark, src, dst, led, schema, "2024-01-01") == 1
-    assert publish.copy_into(spark, src, dst, led, schema, "2024-01-01") == 0
-    assert spark.read.parquet(dst).select("id", "name", "extra").collect() == [(1, "x", None)]
+    assert publish.copy_into(spark, src, dst, schema, "2024-01-01") == 1
+    assert publish.copy_into(spark, src, dst, schema, "2024-01-01") == 0
+    assert io.read_table(spark, dst).select("id", "name", "extra").collect() == [(1, "x", None)]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        publish.copy_into(spark, src, str(tmp_path / "d2"), str(tmp_path / "l2"), schema, "2024-01-01", on_error="abort")
+        publish.copy_into(spark, src, str(tmp_path / "d2"), schema, "2024-01-01", on_error="abort")
 
 
 def test_unload_caps_rows_and_replaces_day(spark, tmp_path):
@@ -188,9 +254,9 @@ def test_two_days(spark, tmp_path):
     land(spark, lake, "transactions", "2024-02-02", [txn, {**txn, "transaction_id": "t2", "transaction_ts": "2024-02-02 09:00:00", "amount": "600"}])
     land(spark, lake, "customers", "2024-02-02", [{**person, "segment": "vip"}])
     second = jobs.run_day(spark, lake, "2024-02-02", "2024-02-03")
-    orders = spark.read.parquet(lake.silver("orders")).collect()
+    orders = io.read_table(spark, lake.silver("orders")).collect()
     assert [(r.order_id, r.order_status, r.order_month) for r in orders] == [("o1", "delivered", 2)]
-    assert spark.read.parquet(lake.silver("transactions")).count() == 2
-    kept = spark.read.parquet(lake.silver("customers")).where("customer_id = 'c1'").first()
+    assert io.read_table(spark, lake.silver("transactions")).count() == 2
+    kept = io.read_table(spark, lake.silver("customers")).where("customer_id = 'c1'").first()
     assert (kept.segment, kept.resolved_entity_id) == ("vip", "ent_c1")
     assert second["transactions"]["flagged_count"] == 1
