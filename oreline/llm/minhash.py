@@ -1,8 +1,8 @@
 """Near copies by circulant MinHash, banding and exact Jaccard similarity.
 
 Two permutations serve a whole signature: every shingle is placed by the first, and coordinate k is the smallest value the second,
-shifted by k places around the circle, gives to any of them. Bands of coordinates make candidates; a sketch of one bit per
-coordinate and the set sizes drop most false ones inside the join; the full shingle sets decide.
+shifted by k places around the circle, gives to any of them. Bands of coordinates make candidates; set sizes, a
+sketch of one bit per coordinate and a parity table drop most false ones inside the join; the full shingle sets decide.
 
 Texts with equal sets are one class, so copies are never paired. Classes of a bucket are not paired all with all either: each is
 compared with the bucket's hub (eight orders choose hubs, so a class meets several), components are formed, and then only pairs
@@ -27,6 +27,9 @@ COORDINATES = 192
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 32 = 3e-6.
 BANDS, ROWS = 32, 5
 ORDERS = 8
+#: Cells of the parity table.
+CELLS = 1024
+LONGS = (COORDINATES + CELLS) // 64
 _PLACE, _VALUE = np.uint32(0x9E3779B1), (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,9 +117,17 @@ def bands_of(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch_of(sig: np.ndarray) -> np.ndarray:
+    """The last bit of every coordinate."""
     return np.packbits((sig & np.uint32(1)).astype(np.uint8)).view(np.int64)
 
 
+def parity_of(hashes: np.ndarray) -> np.ndarray:
+    """One bit per cell: whether an odd number of shingles fall there. Common shingles cancel out between two sets, so the
+    bits in which two sets differ are never more than the shingles in which they do."""
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def most_different_bits(percent: int) -> int:
     """Bits in which sketches of a pair at the threshold differ at most: mean and five deviations."""
     p = (1 - percent / 100) / 2
@@ -139,7 +150,7 @@ def sets_by_row(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
                 out["cls"].append(None if sig is None else hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 out["n_shingles"].append(len(found))
                 out["bands"].append(None if sig is None else bands_of(sig))
-                out["sketch"].append(None if sig is None else sketch_of(sig))
+                out["sketch"].append(None if sig is None else np.concatenate([sketch_of(sig), parity_of(found)]))
             types = (pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, t) for v, t in zip(out.values(), types)]], names=[id_col, *out])
 
@@ -150,10 +161,13 @@ def sets_by_row(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
-    """Size bound (certain) and sketch distance (five deviations) of two sides of a join."""
-    different = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(COORDINATES // 64)), F.lit(0))
-    small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return (100 * small >= percent * large) & (different <= most_different_bits(percent))
+    """What a pair must meet, without its sets: a size bound and a bound on the parity bits that differ (both certain), and one on
+    the signature bits that differ (five deviations)."""
+    bits = [F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(LONGS)]
+    signs, odd = bits[:COORDINATES // 64], bits[COORDINATES // 64:]
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return (100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")) \
+        & (sum(signs[1:], signs[0]) <= most_different_bits(percent)) & ((100 + percent) * sum(odd[1:], odd[0]) <= (100 - percent) * both)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -191,11 +205,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
             F.min(id_col).alias("least"), F.first("text_key").alias("text_key"), F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    buckets = classes.select(
-        "node", "n", *[F.col("sketch")[i].alias(f"s{i}") for i in range(COORDINATES // 64)], F.posexplode("bands").alias("band", "key")) \
-        .withColumn("turn", F.xxhash64("node", F.col("band") % ORDERS)).drop("band")
-    shared = buckets.groupBy("key").agg(F.min("turn").alias("first_turn"), F.count("*").alias("size")).where("size > 1")
-    members = keep_table(buckets.join(shared, "key").drop("size"), "buckets")
+    buckets = classes.select("node", F.posexplode("bands").alias("band", "key")).withColumn("turn", F.xxhash64("node", F.col("band") % ORDERS)).drop("band")
+    shared = buckets.groupBy("key").agg(F.min("turn").alias("first_turn"), F.count("*").alias("size")).where("size > 1").drop("size")
+    members = keep_table(buckets.join(shared, "key").join(classes.select("node", "n", "sketch"), "node"), "buckets")
 
     m, h = members.alias("m"), members.where("turn = first_turn").alias("h")
     first = keep_table(m.join(h, (F.col("m.key") == F.col("h.key")) & (F.col("m.node") != F.col("h.node")) & may_link("m", "h", percent))
@@ -208,7 +220,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     forest = star_forest(links)
     label = F.coalesce("dst", "node").alias("label")
     labelled = members.join(forest.withColumnRenamed("src", "node"), "node", "left") \
-        .select("key", "node", "n", *[f"s{i}" for i in range(COORDINATES // 64)], label)
+        .select("key", "node", "n", "sketch", label)
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     open_members = keep_table(labelled.join(mixed, "key"), "open")
     a, b = open_members.alias("a"), open_members.alias("b")
