@@ -10,16 +10,20 @@ Each place is entered and left a bounded number of times: the work is linear in
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import pick
 
 #: Characters of memoised pieces and remembered pairs at most; both memories start anew beyond.
-MEMO_CHARS = 24_000_000
-MEMO_PAIRS = 2_000_000
+MEMO_CHARS = 16_000_000
+MEMO_PAIRS = 1_000_000
+#: Rows turned into Python texts at a time.
+ROWS = 128
 
 
 class Odd(Exception):
@@ -41,55 +45,71 @@ class ByteBpe:
         for text, i in self.rank.items():
             self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
+        #: the longest token that is a proper prefix of a token, -1 for none
         self.shorter = [self._longest_proper_prefix(b.decode("latin-1")) for b in self.bytes]
-        self.agrees: dict[tuple[int, int], bool] = {}
-
-    def _longest_proper_prefix(self, text: str) -> int | None:
-        return next((self.rank[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.rank), None)
-
-    def merged(self, text: str) -> list[int]:
-        """The merge rule itself, the lowest rank first and leftmost: for two tokens' bytes at a time."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = min((self.rank.get(a + b, len(self.bytes)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if best == len(self.bytes):
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.rank[p] for p in parts]
+        self.agrees: dict[int, bool] = {}
+
+    def _longest_proper_prefix(self, text: str) -> int:
+        return next((self.rank[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.rank), -1)
 
     def fits(self, left: int, right: int) -> bool:
-        known = self.agrees.get((left, right))
-        if known is None:
-            if len(self.agrees) >= MEMO_PAIRS:
-                self.agrees.clear()
-            known = self.merged((self.bytes[left] + self.bytes[right]).decode("latin-1")) == [left, right]
-            self.agrees[left, right] = known
+        """Whether merging both tokens' bytes, the lowest rank first and leftmost, never joins across their border."""
+        if len(self.agrees) >= MEMO_PAIRS:
+            self.agrees.clear()
+        known = self.agrees[left * len(self.bytes) + right] = self._apart(self.bytes[left].decode("latin-1"), self.bytes[right].decode("latin-1"))
         return known
 
+    def _apart(self, left: str, right: str) -> bool:
+        rank, never = self.rank.get, len(self.bytes)
+        parts, border = [*left, *right], len(left) - 1  # the pair that reaches over the border
+        ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while (best := min(ranks)) < never:
+            at = ranks.index(best)
+            if at == border:
+                return False
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < border:
+                border -= 1
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], never)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], never)
+        return True
+
     def piece(self, raw: bytes) -> list[int]:
         """Ids of one piece that the split pattern made."""
         text = raw.decode("latin-1")
-        if text in self.rank:
-            return [self.rank[text]]
-        longest = [0] * len(text)
-        for end, (token, size) in self.automaton.iter(text):
-            longest[end - size + 1] = token  # matches that end later are longer
+        whole = self.rank.get(text)
+        if whole is not None:
+            return [whole]
+        size, shorter, agrees, vocabulary, n = self.size, self.shorter, self.agrees, len(self.bytes), len(text)
+        longest = [0] * n
+        for end, (token, length) in self.automaton.iter(text):
+            longest[end - length + 1] = token  # matches that end later are longer
         ids: list[int] = []
-        closed = bytearray(len(text) + 1)
-        at, token = 0, longest[0]
-        while at < len(text):
-            end = at + self.size[token]
-            if not closed[end] and (not ids or self.fits(ids[-1], token)):
+        closed: set[int] = set()
+        at, last, token = 0, -1, longest[0]
+        while True:
+            end = at + size[token]
+            fits = end not in closed
+            if fits and last >= 0:
+                fits = agrees.get(last * vocabulary + token)
+                if fits is None:
+                    fits = self.fits(last, token)
+            if fits:
                 ids.append(token)
-                at = end
-                token = longest[at] if at < len(text) else 0
-            elif self.shorter[token] is not None:
-                token = self.shorter[token]
-            else:
-                closed[at] = 1
+                if end == n:
+                    return ids
+                at, last, token = end, token, longest[end]
+                continue
+            token = shorter[token]
+            while token < 0:  # nothing fits here
+                closed.add(at)
                 token = ids.pop()
-                at -= self.size[token]
-        return ids
+                at -= size[token]
+                last = ids[-1] if ids else -1
+                token = shorter[token]
 
 
 class TextBpe:
@@ -100,22 +120,28 @@ class TextBpe:
         import regex
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
+        self.lengths = np.array(bpe.size, np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(bpe.bytes), np.uint8)
         self.chars = 0
         self.known: dict[str, bytes] = {}
         self.spaced = _Spaced(self)
 
     def plain(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit numbers, piece by piece."""
-        out, known = [], self.known
-        for piece in self.find(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = b"".join([i.to_bytes(4, "little") for i in self.bpe.piece(piece.encode())])
-                if len(piece) <= 64:
-                    self.note(piece)
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        """Ids of a text as 32-bit numbers, piece by piece."""
+        return b"".join([self.piece(p) for p in self.find(text)])
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.spaced.get(piece[1:]) if piece[0] == " " else self.known.get(piece)
+        if ids is None:
+            ids = array("i", self.bpe.piece(piece.encode())).tobytes()
+            if len(piece) <= 64:
+                self.note(piece)
+                if piece[0] != " ":
+                    self.known[piece] = ids
+                elif len(piece) > 1 and not piece[1].isspace():
+                    self.spaced[piece[1:]] = ids
+        return ids
 
     def note(self, piece: str) -> None:
         self.chars += len(piece) + 24
@@ -135,6 +161,14 @@ class TextBpe:
         except Odd:
             return self.plain(text)
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The tokens' bytes, gathered at once. An id that the rank file lacks is an error."""
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        place = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        place += np.arange(len(place))
+        return self.letters[place].tobytes()
+
 
 class _Spaced(dict):
     """Ids of a space and what follows it."""
@@ -144,11 +178,14 @@ class _Spaced(dict):
         self.owner = owner
 
     def __missing__(self, chunk: str) -> bytes:
+        owner = self.owner
+        if chunk.isalpha():
+            return owner.piece(" " + chunk)
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise Odd  # white space next to the space: the pattern may join them
-        ids = self.owner.plain(" " + chunk)
-        if len(chunk) <= 64:
-            self.owner.note(chunk)
+        ids = owner.plain(" " + chunk)
+        if len(chunk) <= 64 and chunk not in self:
+            owner.note(chunk)
             self[chunk] = ids
         return ids
 
@@ -173,13 +210,14 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        import numpy as np
-
         encoder = text_bpe(path, pattern)
-        found = [encoder.encode(t) for t in texts.to_pylist()]
-        ends = np.zeros(len(found) + 1, dtype=np.int32)
-        np.cumsum([len(b) // 4 for b in found], out=ends[1:])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
+        parts = []
+        for at in range(0, max(1, len(texts)), ROWS):
+            found = [encoder.encode(t) for t in texts.slice(at, ROWS).to_pylist()]
+            ends = np.zeros(len(found) + 1, dtype=np.int32)
+            np.cumsum([len(b) // 4 for b in found], out=ends[1:])
+            parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype="<i4"))))
+        return pa.concat_arrays(parts)
 
     return ids(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -189,13 +227,8 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf("binary")
     def decoded(batch: pa.Array) -> pa.Array:
-        table = text_bpe(path, pattern).bpe.bytes
-        values = batch.flatten().to_numpy(zero_copy_only=False).tolist()
-        out, at = [], 0
-        for n in batch.value_lengths().to_pylist():
-            out.append(None if n is None else b"".join(map(table.__getitem__, values[at:at + n])))
-            at += n or 0
-        return pa.array(out, type=pa.binary())
+        decode_one = text_bpe(path, pattern).decode
+        return pa.array([None if not row.is_valid else decode_one(row.values.to_numpy()) for row in batch], type=pa.binary())
 
     return decoded(ids)
 
