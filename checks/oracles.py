@@ -674,8 +674,13 @@ add("graph_constraints", _suite(
     [_unique(t, _VERTICES[t], k, "product_id" if t == "products" else None) for t, k in _KEYS.items()]
     + [_failing("customers", "x_emap", "resolved_entity_id", "not_null", "resolved_entity_id IS NULL")]))
 add("same_as_edges", f"SELECT component AS id_a, customer_id AS id_b, er_confidence AS confidence FROM {_STAR}", "confidence")
-add("same_as_edges_cross_source", """SELECT a.component AS id_a, a.customer_id AS id_b, a.er_confidence AS confidence FROM x_emap a
-JOIN x_emap r ON r.customer_id = a.component AND r.source_system <> a.source_system WHERE a.cluster_size > 1""", "confidence")
+add("same_as_edges_cross_source", """WITH RECURSIVE links AS (
+ SELECT a.customer_id AS x, b.customer_id AS y, a.resolved_entity_id AS e FROM x_emap a
+ JOIN x_emap b ON a.resolved_entity_id = b.resolved_entity_id AND a.source_system <> b.source_system),
+reach(id, other) AS (SELECT DISTINCT x, x FROM links UNION SELECT r.id, l.y FROM reach r JOIN links l ON l.x = r.other),
+counted AS (SELECT e, count(*) // 2 AS pairs FROM links GROUP BY e)
+SELECT id AS customer_id, min(other) AS component, any_value(pairs) AS pairs FROM reach
+JOIN (SELECT DISTINCT x, e FROM links) ON x = id JOIN counted USING (e) GROUP BY id""")
 add("fraud_rings", """
 WITH t AS (SELECT event_id, user_id AS c, event_id % 50 AS m, CAST(ts AS DATE) AS d FROM events WHERE value * 20 > 2000),
 n AS (SELECT m, c, count(*) AS n_all, count(CASE WHEN d >= DATE '2024-01-30' - INTERVAL 10 DAY THEN 1 END) AS n_recent FROM t GROUP BY ALL),
@@ -687,7 +692,7 @@ add("product_affinity", """SELECT product_1, p1.p_name AS product_1_name, produc
  SELECT a.product_id AS product_1, b.product_id AS product_2, count(*) AS co_purchases
  FROM x_contains a JOIN x_contains b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2 HAVING count(*) >= 2
  ORDER BY 3 DESC, 1, 2 LIMIT 100) JOIN part p1 ON p1.p_partkey = product_1 JOIN part p2 ON p2.p_partkey = product_2""")
-add("merchant_risk", """SELECT merchant_id, merchant_category AS category, risky_customers, avg_customer_risk FROM (
+add("merchant_risk", """SELECT merchant_id, CAST(NULL AS VARCHAR) AS merchant_name, merchant_category AS category, risky_customers, avg_customer_risk FROM (
  SELECT merchant_id, count(DISTINCT customer_id) AS risky_customers, avg(total_risk_score) AS avg_customer_risk
  FROM x_placed JOIN x_paid USING (order_id) JOIN x_360 USING (customer_id) WHERE high_risk_txn_count > 0 GROUP BY merchant_id
  HAVING count(DISTINCT customer_id) >= 2 ORDER BY risky_customers DESC, merchant_id LIMIT 20) JOIN x_merch USING (merchant_id)""", "avg_customer_risk")
@@ -793,7 +798,7 @@ _body, _nums, _text = _gold("daily_order_summary", "x_md")
 add("autoload_daily", f"SELECT *, {OAS} AS _loaded_at FROM ({_body})", _nums, _text + " _loaded_at")
 add("stored_upsert", f"""SELECT *, year(o_orderdate) AS yr, o_orderstatus AS st FROM (
  SELECT * REPLACE (CASE WHEN {_CHANGED} THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders)""", "o_totalprice", "o_orderdate")
-add("clustered_orders", "SELECT * FROM orders", "o_totalprice", "o_orderdate")
+add("clustered_orders", "SELECT * FROM orders WHERE o_custkey < 100 AND o_orderdate >= TIMESTAMP '1996-01-01'", "o_totalprice", "o_orderdate")
 _SERVE = ("customer_id, resolved_entity_id, customer_name, email, country, segment, loyalty_tier, ltv_tier, churn_status, total_orders, "
           "total_order_revenue, avg_order_value, revenue_last_30d, estimated_ltv, total_risk_score, high_risk_txn_count, ever_velocity_spike, "
           "ever_amount_anomaly")
@@ -809,7 +814,7 @@ add("serve_fraud_summary", f"""SELECT txn_date, risk_tier, merchant_category, CA
  CAST(sum(amount_at_risk) AS DOUBLE) AS amount_at_risk FROM x_mf WHERE txn_date >= {TDAY} - INTERVAL 20 DAY AND risk_tier = 'MEDIUM' GROUP BY ALL
 ORDER BY txn_date DESC, high_risk_count DESC, risk_tier, merchant_category LIMIT 200""", "flag_rate_pct amount_at_risk", "txn_date")
 add("serve_top_ltv", "SELECT customer_id, customer_name, country, estimated_ltv, ltv_tier FROM x_360 ORDER BY estimated_ltv DESC, customer_id LIMIT 10", "estimated_ltv")
-add("serve_safe_sql", "SELECT ltv_tier, churn_status, count(*) AS n, sum(estimated_ltv) AS ltv FROM x_360 GROUP BY ALL", "ltv")
+add("serve_safe_sql", "SELECT ltv_tier, churn_status, strftime(max(last_order_ts), '%Y-%m-%dT%H:%M:%S') AS newest, count(*) AS n, sum(estimated_ltv) AS ltv FROM x_360 GROUP BY ALL", "ltv")
 add("platform_metrics", f"""SELECT (SELECT count(*) FROM x_sc) AS total_customers, (SELECT count(*) FROM x_so) AS total_orders,
  (SELECT count(*) FROM x_st) AS total_transactions, (SELECT count(DISTINCT component) FROM x_emap) AS total_entity_clusters,
  CAST((SELECT sum(n) FROM ({_counts({k: v for k, v in _EDGES.items() if k != 'contains'}, 'label')})) AS BIGINT) AS graph_relationships, 12 AS sync_lag_minutes""")
@@ -826,7 +831,7 @@ _STREAM = "(SELECT * FROM x_tt WHERE transaction_ts IS NOT NULL AND customer_id
 add("stream_dedup", f"SELECT DISTINCT transaction_id, customer_id, transaction_ts FROM {_STREAM}", "", "transaction_ts")
 add("stream_velocity_window", f"""SELECT customer_id, w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(*) AS n FROM (
  SELECT customer_id, unnest([time_bucket(INTERVAL 30 MINUTE, transaction_ts), time_bucket(INTERVAL 30 MINUTE, transaction_ts) - INTERVAL 30 MINUTE]) AS w
- FROM {_STREAM}) WHERE w + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-25' GROUP BY 1, 2""", "", "window_start window_end")
+ FROM {_STREAM}) WHERE w + INTERVAL 1 HOUR <= (SELECT max(transaction_ts) FROM {_STREAM}) GROUP BY 1, 2""", "", "window_start window_end")
 add("stream_velocity", f"SELECT transaction_id, customer_id, transaction_ts, {_velocity(6 * 3600)} AS txn_velocity_1h FROM {_STREAM}", "", "transaction_ts")
 add("stream_upsert", "SELECT order_id, order_status, updated_ts, order_year, net_amount FROM x_so", "net_amount", "updated_ts")
 add("file_manifest", "SELECT path, execution_date, hour, domain, file_name, CASE WHEN reason IS NULL THEN 'ready' ELSE 'skipped' END AS status, reason FROM a_manifest")

@@ -536,7 +536,12 @@ def same_as_edges(spark, sf):
 
 @query
 def same_as_edges_cross_source(spark, sf):
-    return G.same_as_edges(entity_map(spark, sf), cross_source=True)
+    """Members that the links join, with the pairs of different sources in their cluster."""
+    found = entity_map(spark, sf)
+    edges = G.same_as_edges(found, cross_source=True)
+    ids = edges.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    joined = connected_components(ids, edges.select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")))
+    return joined.join(G.cross_source_pairs(found), "component").select(F.col("id").alias("customer_id"), "component", "pairs")
 
 
 def txn_network(spark, sf, min_amount=2000):
@@ -559,7 +564,7 @@ def fraud_rings(spark, sf):
 def product_affinity(spark, sf):
     t = X.tables(spark, sf)
     names = t["part"].select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"))
-    return G.product_affinity(G.product_edges(t["lineitem"], "l_orderkey", "l_partkey"), names, min_count=2, large=6)
+    return G.product_affinity(G.product_edges(t["lineitem"], "l_orderkey", "l_partkey"), names, min_count=2)
 
 
 @query
@@ -764,10 +769,10 @@ def stored_upsert(spark, sf):
 
 @query
 def clustered_orders(spark, sf):
-    """Orders written in z-order and read back with a predicate on both clustering columns."""
+    """Orders written in z-order and read back with a predicate on both clustering columns, which skips files."""
     root = scratch_path(spark, "zorder")
     io.cluster_write(X.tables(spark, sf)["orders"], root, ["o_custkey", "o_orderdate"])
-    return spark.read.parquet(root)
+    return spark.read.parquet(root).where("o_custkey < 100 AND o_orderdate >= TIMESTAMP '1996-01-01'")
 
 
 # ---- serving --------------------------------------------------------------------------------------
@@ -799,7 +804,7 @@ def serve_top_ltv(spark, sf):
 
 @query
 def serve_safe_sql(spark, sf):
-    sql = ("SELECT ltv_tier, churn_status, count(*) AS n, sum(estimated_ltv) AS ltv FROM mart_customer_360 "
+    sql = ("SELECT ltv_tier, churn_status, max(last_order_ts) AS newest, count(*) AS n, sum(estimated_ltv) AS ltv FROM mart_customer_360 "
            "GROUP BY ltv_tier, churn_status")
     return serving.safe_sql(spark, sql, {"mart_customer_360": m_360(spark, sf)})
 
@@ -884,16 +889,18 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_velocity_window(spark, sf):
-    """Hourly windows every half hour; those the watermark has closed are out."""
-    done = _drained(spark, sf, "windows", lambda s: stateful.velocity_windows(s, "0 seconds", "1 hour", "30 minutes"))
-    return done.where("window_end <= timestamp'2024-01-25'")
+    """Hourly windows every half hour: all that the watermark, the newest time, has closed."""
+    return _drained(spark, sf, "windows", lambda s: stateful.velocity_windows(s, "0 seconds", "1 hour", "30 minutes"))
 
 
 @query
 def stream_velocity(spark, sf):
+    """Delivered out of order: each row up to two days after its time."""
     root = scratch_path(spark, "velocity")
-    _feed(_stream_rows(spark, sf), "transaction_ts", TXN_CUTS, root, lambda stream: stateful.velocity_stream(
-        stream, f"{root}/out", f"{root}/state", f"{root}/ckpt", hours=6))
+    rows = _stream_rows(spark, sf).withColumn("arrival", F.timestamp_add("HOUR", F.pmod(F.crc32(F.col("transaction_id")), F.lit(48)).cast("int"), F.col("transaction_ts")))
+    _feed(rows, "arrival", TXN_CUTS, root, lambda stream: stateful.velocity_stream(
+        stream, f"{root}/out", f"{root}/state", f"{root}/ckpt", hours=6, delay_seconds=48 * 3600))
+    stateful.velocity_close(spark, f"{root}/out", f"{root}/state", hours=6)
     return spark.read.parquet(f"{root}/out").select("transaction_id", "customer_id", "transaction_ts", "txn_velocity_1h")
 
 

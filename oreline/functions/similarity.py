@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-_ROWS = 4096  # rows per dense block, bounds the working memory of one task
+_CELLS = 1 << 21  # characters of a dense block, bounds the working memory of one task
 
 
 def _codes(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,12 +53,18 @@ def jaro_winkler_batch(left: pd.Series, right: pd.Series) -> pd.Series:
     b = right.fillna("").to_numpy(dtype=object)
     out = np.zeros(len(a), dtype=np.float64)
     usable = np.flatnonzero([bool(x) and bool(y) for x, y in zip(a, b)])
-    # similar lengths share a block, so that one long name does not widen all the others
+    # only similar lengths share a block: a long name widens no other and a block costs what its own names cost
     size = np.fromiter((max(len(a[i]), len(b[i])) for i in usable), dtype=np.int64, count=len(usable))
-    usable = usable[np.argsort(size, kind="stable")]
-    for start in range(0, len(usable), _ROWS):
-        part = usable[start : start + _ROWS]
+    order = np.argsort(size, kind="stable")
+    usable, size = usable[order], size[order]
+    start = 0
+    while start < len(usable):
+        widest = max(16, int(size[start]) * 5 // 4)
+        stop = int(np.searchsorted(size, widest, side="right"))
+        stop = min(stop, start + max(1, _CELLS // widest))
+        part = usable[start:stop]
         out[part] = _block(a[part], b[part])
+        start = stop
     return pd.Series(out)
 
 

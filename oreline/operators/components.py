@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 
-MAX_ROUNDS = 50
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of node and neighbours."""
@@ -38,13 +36,12 @@ def star_forest(edges: DataFrame) -> DataFrame:
         F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
     current = cut_lineage(current)
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         current = cut_lineage(_small_star(_large_star(current)).distinct())
         mark = current.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
         if tuple(mark) == seen:
             return current
         seen = tuple(mark)
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:

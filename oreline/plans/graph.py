@@ -100,19 +100,30 @@ def merge_merchants(left: DataFrame, right: DataFrame) -> DataFrame:
 def same_as_edges(entity_map: DataFrame, cross_source: bool = False) -> DataFrame:
     """(id_a, id_b, confidence): each member of a multi-member cluster to the cluster's smallest id.
 
-    ``cross_source`` keeps members that differ in source from the smallest.
+    ``cross_source`` links members of different sources only: those of another source than the smallest id's to it, and those of
+    its own source to the smallest id of another one. That joins the same members as all pairs of different sources would.
     """
     multi = entity_map.where("cluster_size > 1")
     root = F.col("component")
     members = multi.where(F.col("customer_id") != root)
+    other = root
     if cross_source:
-        roots = multi.where(F.col("customer_id") == root).select(
-            F.col("component"), F.col("source_system").alias("_root_source"))
-        members = members.join(roots, "component").where(F.col("source_system") != F.col("_root_source"))
-    return members.select(root.alias("id_a"), F.col("customer_id").alias("id_b"),
+        roots = multi.where(F.col("customer_id") == root).select("component", F.col("source_system").alias("_root_source"))
+        members = members.join(roots, "component")
+        apart = F.col("source_system") != F.col("_root_source")
+        first = members.where(apart).groupBy("component").agg(F.min("customer_id").alias("_first"))
+        members = members.where("source_system IS NOT NULL").join(first, "component")
+        other = F.when(apart, root).otherwise(F.col("_first"))
+    return members.select(F.least(other, F.col("customer_id")).alias("id_a"), F.greatest(other, F.col("customer_id")).alias("id_b"),
                           F.col("er_confidence").alias("confidence"))
 
 
+def cross_source_pairs(entity_map: DataFrame) -> DataFrame:
+    """(component, pairs): pairs of members of different sources, counted from the sources' sizes."""
+    sizes = entity_map.where("cluster_size > 1 AND source_system IS NOT NULL").groupBy("component", "source_system").agg(F.count("*").alias("n"))
+    return sizes.groupBy("component").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("long").alias("pairs")).where("pairs > 0")
+
+
 def product_edges(lines: DataFrame, order: str, product: str) -> DataFrame:
     return lines.select(F.col(order).alias("order_id"), F.col(product).alias("product_id")).distinct()
 
@@ -288,12 +299,11 @@ def fraud_rings(g: Graph, as_of: AsOf, min_shared: int = 3, k: int = 50, days: i
                 F.col("merchant_category").alias("category"), "shared_risk_events")
 
 
-def product_affinity(contains: DataFrame, products: DataFrame | None = None, min_count: int = 10, k: int = 100,
-                     large: int = 1000) -> DataFrame:
+def product_affinity(contains: DataFrame, products: DataFrame | None = None, min_count: int = 10, k: int = 100) -> DataFrame:
     """The k product pairs bought together in most orders, at least ``min_count``.
 
     Products in fewer than ``min_count`` orders cannot be in such a pair and go first. The pairs of the
-    largest baskets (fewer than ``min_count`` of them, each above ``large`` products) are not made: a
+    ``min_count`` - 1 largest baskets are not made: a
     pair found only there is too rare, and one found elsewhere gets these baskets added by looking up
     which of them hold both products.
     """
@@ -302,7 +312,7 @@ def product_affinity(contains: DataFrame, products: DataFrame | None = None, min
     kept = lines.join(common.select("product_id"), "product_id", "left_semi")
     sizes = kept.groupBy("order_id").agg(F.count("*").alias("n"))
     # at most min_count - 1 rows, so broadcasting it is safe
-    huge = F.broadcast(top_k(sizes.where(F.col("n") > large), [F.desc("n"), F.asc("order_id")],
+    huge = F.broadcast(top_k(sizes, [F.desc("n"), F.asc("order_id")],
                              max(min_count - 1, 0)).select("order_id"))
     usual = kept.join(huge, "order_id", "left_anti")
     left = usual.select("order_id", F.col("product_id").alias("product_1"))
@@ -341,8 +351,10 @@ def merchant_risk(g: Graph, min_customers: int = 5, k: int = 20) -> DataFrame:
         F.try_divide(F.sum(F.col("n") * F.col("total_risk_score")), F.sum("n")).alias("avg_customer_risk"))
     best = top_k(totals.where(F.col("risky_customers") >= min_customers),
                  [F.desc("risky_customers"), F.asc("merchant_id")], k)
-    return best.join(g.merchants.select("merchant_id", F.col("merchant_category").alias("category")),
-                     "merchant_id", "left").select("merchant_id", "category", "risky_customers", "avg_customer_risk")
+    # no raw source carries merchant names; a merchant table that has them is used
+    name = F.col("merchant_name") if "merchant_name" in g.merchants.columns else F.lit(None).cast("string")
+    shown = g.merchants.select("merchant_id", name.alias("merchant_name"), F.col("merchant_category").alias("category"))
+    return best.join(shown, "merchant_id", "left").select("merchant_id", "merchant_name", "category", "risky_customers", "avg_customer_risk")
 
 
 def churn_contagion(g: Graph, as_of: AsOf, min_churned: int = 2, k: int = 100, days: int = 30,

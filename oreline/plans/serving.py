@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import AsOf, at_ts
 from ..operators.filters import check_range, filter_optional, last_days, page, top_k
 
-CUSTOMER_COLUMNS = (
-    "customer_id resolved_entity_id customer_name email country segment loyalty_tier ltv_tier churn_status "
-    "total_orders total_order_revenue avg_order_value revenue_last_30d estimated_ltv total_risk_score "
-    "high_risk_txn_count ever_velocity_spike ever_amount_anomaly"
-).split()
+# Columns that customer queries return.
+CUSTOMER_COLUMNS = [
+    "customer_id", "resolved_entity_id", "customer_name", "email", "country", "segment", "loyalty_tier", "ltv_tier", "churn_status",
+    "total_orders", "total_order_revenue", "avg_order_value", "revenue_last_30d", "estimated_ltv", "total_risk_score",
+    "high_risk_txn_count", "ever_velocity_spike", "ever_amount_anomaly",
+]
 
 ORDER_ROWS = 500
 FRAUD_ROWS = 200
@@ -80,14 +82,49 @@ def is_safe(sql: str | None, compat: bool = False) -> bool:
     return statement.split(None, 1)[0:1] in (["SELECT"], ["WITH"]) and ";" not in statement and not words & set(FORBIDDEN)
 
 
+# Functions that call Java methods.
+JAVA_FUNCTIONS = ("REFLECT", "JAVA_METHOD", "TRY_REFLECT")
+
+
+def check_references(spark: SparkSession, sql: str, tables: Collection[str]) -> None:
+    """Raise unless the parsed statement reads named tables only and calls no Java method.
+
+    Files, catalog tables, computed identifiers and table functions are refused, in subqueries too.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    own = {name.strip().lower() for names in re.findall(r"CTE \[(.*?)\]", plan) for name in names.split(",")}
+    read = {name.lower() for name in re.findall(r"UnresolvedRelation \[(.*?)\]", plan)}
+    outside = read - own - {t.lower() for t in tables}
+    if outside or re.search("UnresolvedTableValuedFunction|UnresolvedTVF|UnresolvedIdentifier|TableFunction", plan):
+        raise ValueError(f"only the given tables may be read: {sorted(outside)}")
+    text = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).upper()
+    if set(re.findall(r"[A-Z_][A-Z0-9_]*", text)) & set(JAVA_FUNCTIONS):
+        raise ValueError("functions that call Java methods are not allowed")
+
+
 def safe_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame], max_rows: int = 100) -> DataFrame:
-    """Run a read query over the given tables; at most ``max_rows`` rows, times as ISO text."""
+    """Run a read query over the given tables and nothing else; at most ``max_rows`` rows, times as ISO text.
+
+    The names are views only while the statement is analysed; views of the caller with the same names come back after it.
+    """
     check_range("max_rows", max_rows, 1, 100)
     if not is_safe(sql):
         raise ValueError("only a single read query is allowed")
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return iso_times(spark.sql(sql.strip().rstrip(";")).limit(max_rows))
+    statement = sql.strip().rstrip(";")
+    check_references(spark, statement, tables)
+    hidden = {name: spark.table(name) for name in tables if any(t.name == name.lower() and t.isTemporary for t in spark.catalog.listTables())}
+    files = spark.conf.get("spark.sql.runSQLOnFiles")
+    try:
+        spark.conf.set("spark.sql.runSQLOnFiles", "false")
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return iso_times(spark.sql(statement).limit(max_rows))
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", files)
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
 
 
 def iso_times(df: DataFrame) -> DataFrame:

@@ -95,7 +95,8 @@ GOLD_DDL = {
         "ever_velocity_spike boolean, ever_amount_anomaly boolean, mart_updated_at timestamp"
     ),
     "daily_order_summary": (
-        "order_date date, shipping_country string, currency string, order_status string, "
+        "order_date date, order_year decimal(4,0), order_month decimal(2,0), is_weekend boolean, "
+        "shipping_country string, currency string, order_status string, "
         "order_count decimal(10,0), unique_customers decimal(10,0), "
         "gross_revenue decimal(18,2), total_discounts decimal(18,2), net_revenue decimal(18,2), "
         "avg_order_value decimal(18,2), new_customers decimal(10,0), "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
@@ -76,7 +77,7 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType) -> tu
 
 
 def read_event_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file holding one JSON array of events."""
+    """A file holding one JSON array of events; such a file cannot be split, so one task reads it."""
     return spark.read.option("multiLine", True).schema(schema).json(path)
 
 
@@ -239,42 +240,45 @@ def merge_into(table: str, source: DataFrame, keys: Sequence[str], insert_only:
 
 # ---- clustering -----------------------------------------------------------------------------------
 
-_BITS = 6
-_SAMPLE = 8192
-
-
-def _bounds(df: DataFrame, column: str) -> list:
-    """Cut points of a column from a random sample of fixed size."""
-    sample = df.select(column).where(F.col(column).isNotNull()).orderBy(F.rand(17)).limit(_SAMPLE).orderBy(column)
-    values = [r[0] for r in sample.collect()]
-    cells = 1 << _BITS
-    cuts = [values[len(values) * i // cells] for i in range(1, cells)] if values else []
-    return sorted(set(cuts))
-
-
-def _bucket(value: Column, cuts: Column) -> Column:
-    """How many cut points a value reaches; NULL comes first."""
-    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
-
-
-def z_value(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Bits of each column's range bucket, interleaved: rows close in all columns get close values."""
-    buckets = [_bucket(F.col(name), F.array(*[F.lit(v).cast(df.schema[name].dataType) for v in _bounds(df, name)]))
-               for name in columns]
-    width = len(buckets)
-    bits = [F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), bit * width + offset)
-            for offset, bucket in enumerate(buckets) for bit in range(_BITS)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _ordinal(df: DataFrame, name: str) -> Column:
+    """A number that grows with the value: numbers and times themselves, of anything else the first seven bytes of its text."""
+    c = F.col(f"`{name}`")
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return c.cast("timestamp").cast("double")
+    return F.conv(F.rpad(F.left(F.hex(c.cast("string").cast("binary")), F.lit(14)), 14, "0"), 16, 10).cast("double")
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
+    """Bits of each column's range bucket (2 ** bits of them, by approximate quantiles), interleaved: rows close in all columns
+    get close values. NULL comes first."""
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = df.agg(*[F.percentile_approx(_ordinal(df, name), shares, 4 << bits).alias(f"c{i}") for i, name in enumerate(columns)]).first()
+    parts = []
+    for offset, name in enumerate(columns):
+        cuts = F.lit(sorted(set(found[f"c{offset}"] or [])) or [0.0])
+        bucket = F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= _ordinal(df, name))), F.lit(0)).cast("long")
+        parts += [F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + offset) for bit in range(bits)]
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
 def cluster_write(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = (),
-                  files: int = 8, zorder: bool = True) -> None:
-    """Write with rows that are close in ``columns`` in the same files, so that scans skip the others."""
+                  files: int | None = None, zorder: bool = True) -> None:
+    """Write with rows that are close in ``columns`` in the same files, so that scans skip the others.
+
+    The number of files is that of the shuffle, which adaptive execution fits to the size, unless ``files`` is given; there are at least
+    sixteen times as many cells as shuffle partitions. The last sort key is a hash of the row, so rows of one cell, such as those
+    of a hot customer, can be spread over files too.
+    """
     by = [F.col(c) for c in partition_by]
-    keyed = df.withColumn("_z", z_value(df, columns)) if zorder else df
-    order = by + ([F.col("_z")] if zorder else [F.col(c) for c in columns])
-    placed = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    write_table(placed.drop("_z"), path, partition_by)
+    wanted = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(2, -(-math.ceil(math.log2(16 * wanted)) // len(columns)))
+    keyed = df.withColumn("_z", z_value(df, columns, bits)) if zorder else df
+    order = by + ([F.col("_z")] if zorder else [F.col(f"`{c}`") for c in columns]) + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    placed = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    write_table(placed.sortWithinPartitions(*order).drop("_z"), path, partition_by)
 
 
 def analyze(spark: SparkSession, table: str) -> None:

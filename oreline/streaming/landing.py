@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..catalog import DOMAIN_FOLDERS, UNKNOWN_FOLDER
-from ..functions.parse import CORRUPT, decode_events, flatten_nested  # noqa: F401  (part of this module's surface)
+from ..functions.parse import CORRUPT, decode_events  # noqa: F401  (decode_events is part of this module's surface)
 
 # Flush policy of the landing job.
 FLUSH_SECONDS = 60
-FLUSH_RECORDS = 10_000
+# about 128 MB of raw events
+FLUSH_RECORDS = 500_000
 
 # Event type to domain.
 EVENT_DOMAINS = {"order": "orders", "transaction": "transactions", "click": "clickstream"}

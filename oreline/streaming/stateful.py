@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.fraud import per_second_counts, trailing_counts
+from ..sources.snapshots import folder_names, remove
 from ..sources.tables import has_files, upsert_table
 
 
@@ -22,31 +23,69 @@ def velocity_windows(df: DataFrame, delay: str = "10 minutes", width: str = "1 h
         .select("customer_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n")
 
 
-def velocity_stream(stream: DataFrame, out: str, state: str, checkpoint: str, hours: int = 1, available_now: bool = True):
-    """Exact trailing count for every transaction, as long as batches arrive in time order.
+def _state(spark, state: str, epoch: int, name: str) -> DataFrame | None:
+    path = f"{state.rstrip('/')}/epoch={epoch}/{name}"
+    return spark.read.parquet(path) if has_files(spark, path) else None
 
-    State is the per-second counts of the last window, one folder per batch in shared storage: small,
-    even over customers, and rewritten as a whole when a batch is replayed.
+
+def _with_counts(rows: DataFrame, counts: DataFrame, hours: int) -> DataFrame:
+    second = F.col("transaction_ts").cast("timestamp").cast("long")
+    return rows.withColumn("second", second).join(trailing_counts(counts, hours), ["customer_id", "second"], "left").drop("second")
+
+
+def velocity_stream(stream: DataFrame, out: str, state: str, checkpoint: str, hours: int = 1, delay_seconds: int = 0,
+                    late: str | None = None, available_now: bool = True):
+    """Exact trailing count for every transaction, by event time.
+
+    A row waits until the watermark (the newest time seen less ``delay_seconds``) has passed it, so rows may come in any order
+    within the delay. Rows that come after the watermark has passed them go to ``late`` (by default next to ``out``), in one folder per
+    batch, and change no count. State is the waiting rows and the per-second counts that later rows can still need, one folder
+    per batch in shared storage; the last two are kept, and a batch that is replayed writes its own anew.
+    ``velocity_close`` gives out what still waits when a stream has ended.
     """
     width = hours * 3600
+    late = late or f"{out.rstrip('/')}__late"
 
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        fresh = per_second_counts(batch)
-        earlier = f"{state.rstrip('/')}/epoch={epoch - 1}"
-        known = fresh
-        if epoch > 0 and has_files(spark, earlier):
-            known = fresh.unionByName(spark.read.parquet(earlier)).groupBy("customer_id", "second").agg(F.sum("n").alias("n"))
+        here = f"{state.rstrip('/')}/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(f"{here}/incoming")
+        incoming = spark.read.schema(batch.schema).parquet(f"{here}/incoming")
         second = F.col("transaction_ts").cast("timestamp").cast("long")
-        batch.withColumn("second", second).join(trailing_counts(known, hours), ["customer_id", "second"], "left") \
-            .drop("second").write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
-        newest = known.agg(F.max("second")).first()[0] or 0
-        known.where(F.col("second") >= newest - width).write.mode("overwrite").parquet(f"{state.rstrip('/')}/epoch={epoch}")
+        known, waiting, mark = (_state(spark, state, epoch - 1, name) for name in ("counts", "waiting", "mark"))
+        passed = None if mark is None else mark.first()["newest"]
+        on_time = F.lit(True) if passed is None else second.isNull() | (second > passed - delay_seconds)
+        incoming.where(~on_time).write.mode("overwrite").parquet(f"{late.rstrip('/')}/epoch={epoch}")
+        accepted = incoming.where(on_time)
+        newest = max((x for x in (passed, accepted.agg(F.max(second)).first()[0]) if x is not None), default=None)
+        counts = per_second_counts(accepted)
+        if known is not None:
+            counts = counts.unionByName(known).groupBy("customer_id", "second").agg(F.sum("n").alias("n"))
+        rows = accepted if waiting is None else accepted.unionByName(waiting)
+        ready = second.isNull() if newest is None else second.isNull() | (second <= newest - delay_seconds)
+        _with_counts(rows.where(ready), counts, hours).write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
+        rows.where(~ready).write.mode("overwrite").parquet(f"{here}/waiting")
+        kept = counts if newest is None else counts.where(F.col("second") >= newest - delay_seconds - width)
+        kept.write.mode("overwrite").parquet(f"{here}/counts")
+        if newest is not None:
+            spark.range(1).select(F.lit(newest).cast("long").alias("newest")).write.mode("overwrite").parquet(f"{here}/mark")
+        remove(spark, f"{here}/incoming")
+        remove(spark, f"{state.rstrip('/')}/epoch={epoch - 2}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def velocity_close(spark: SparkSession, out: str, state: str, hours: int = 1) -> None:
+    """Give out the rows that wait for a watermark which no further row will move; running it again changes nothing."""
+    epochs = [int(n.removeprefix("epoch=")) for n in folder_names(spark, state) if n.startswith("epoch=")]
+    if not epochs:
+        return
+    waiting, counts = _state(spark, state, max(epochs), "waiting"), _state(spark, state, max(epochs), "counts")
+    if waiting is not None and counts is not None:
+        _with_counts(waiting, counts, hours).write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch=closing")
+
+
 def foreach_upsert(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
                    partition_by: Sequence[str] = (), prepare: Callable[[DataFrame], DataFrame] | None = None,
                    available_now: bool = True):

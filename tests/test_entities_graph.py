@@ -229,7 +229,8 @@ def test_same_as_star_and_hops(spark, rows):
     g = G.Graph(customers=G.customer_vertices(em), same_as=G.same_as_edges(em))
     assert rows(g.same_as, "id_a", "id_b") == [("a", "b"), ("a", "c"), ("d", "e")]
     assert G.same_as_pairs(g.same_as).first().pairs == 4
-    assert rows(G.same_as_edges(em, cross_source=True), "id_a", "id_b") == [("a", "b"), ("d", "e")]
+    assert rows(G.same_as_edges(em, cross_source=True), "id_a", "id_b") == [("a", "b"), ("b", "c"), ("d", "e")]
+    assert rows(G.cross_source_pairs(em)) == [("a", 2), ("d", 1)]
     assert rows(G.twin_counts(g.same_as)) == [("a", 2), ("b", 2), ("c", 2), ("d", 1), ("e", 1)]
     assert rows(G.entity_profiles(g, hops=3), "customer_id", "linked_profiles") == [("a", 3), ("b", 3), ("c", 3), ("d", 1), ("e", 1), ("f", 0)]
     assert rows(G.linked_profiles(g, "b")) == [("a",), ("c",)]
@@ -257,3 +258,11 @@ def test_search(spark):
     df = spark.createDataFrame([("1", "ann lee", "a@x.org"), ("2", "bo", "lee@y.com"), ("3", "zed", None)],
                                "customer_id string, full_name string, email_normalised string")
     assert [r.customer_id for r in G.search_customers(df, ["Lee", "ann"]).collect()] == ["1", "2"]
+
+
+def test_components_of_a_long_chain(spark):
+    from oreline.operators.components import connected_components
+    n = 300
+    edges = spark.range(n - 1).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    got = connected_components(spark.range(n), edges)
+    assert got.select("component").distinct().collect()[0].component == 0 and got.count() == n

@@ -103,3 +103,19 @@ def test_jaro_winkler_column(spark):
     df = spark.createDataFrame([("ann", "ann"), ("ann", None), ("", ""), ("martha", "marhta")], "a string, b string")
     got = [round(r[0], 4) for r in df.select(jaro_winkler(F.col("a"), F.col("b"))).collect()]
     assert got == [1.0, 0.0, 0.0, 0.9611]
+
+
+def test_one_long_name_costs_only_itself():
+    import time
+
+    import numpy as np
+    import pandas as pd
+
+    from oreline.functions.similarity import jaro_winkler_batch
+    rng = np.random.default_rng(0)
+    names = ["".join(rng.choice(list("abcdefg"), rng.integers(3, 20))) for _ in range(1000)]
+    other = names[::-1]
+    plain = jaro_winkler_batch(pd.Series(names), pd.Series(other))
+    start = time.perf_counter()
+    got = jaro_winkler_batch(pd.Series([*names, "x" * 2000]), pd.Series([*other, "xy" * 1000]))
+    assert time.perf_counter() - start < 2 and np.allclose(got[:1000], plain) and 0 < got[1000] < 1

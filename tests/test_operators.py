@@ -212,6 +212,26 @@ def test_safe_sql_limits_and_iso(spark):
         serving.safe_sql(spark, "SELECT 1", {}, 1000)
 
 
+def test_safe_sql_reads_nothing_else(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    spark.range(1).createOrReplaceTempView("outsider")
+    mine = spark.range(7)
+    mine.createOrReplaceTempView("guarded")
+    tables = {"guarded": spark.range(2)}
+    for sql in (f"SELECT * FROM parquet.`{tmp_path}/other`", "SELECT reflect('java.lang.System', 'getProperty', 'user.name')",
+                "SELECT `java_method`('java.lang.System', 'getProperty', 'user.name') FROM guarded", "SELECT * FROM range(5)",
+                "SELECT * FROM outsider", "SELECT (SELECT max(id) FROM outsider) FROM guarded", "SELECT * FROM IDENTIFIER('outsider')",
+                "WITH c AS (SELECT * FROM outsider) SELECT * FROM c", "SELECT * FROM guarded WHERE id IN (SELECT id FROM outsider)"):
+        with pytest.raises(ValueError):
+            serving.safe_sql(spark, sql, tables)
+    assert serving.safe_sql(spark, "WITH c AS (SELECT id FROM guarded) SELECT 'reflect' AS r, id FROM c", tables).count() == 2
+    assert spark.table("guarded").count() == 7
+    assert serving.safe_sql(spark, "SELECT * FROM fresh", {"fresh": mine}).count() == 7
+    assert not spark.catalog.tableExists("fresh")
+    spark.catalog.dropTempView("guarded")
+    spark.catalog.dropTempView("outsider")
+
+
 def test_request_bounds(spark):
     df = spark.createDataFrame([], "order_date date")
     for bad in (0, 366):

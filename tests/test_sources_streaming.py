@@ -131,6 +131,19 @@ def test_cluster_write_narrows_files(spark, tmp_path):
     assert back.count() == 4096 and all(r.dx < 48 or r.dy < 48 for r in spans)
 
 
+def test_clustered_files_are_skipped_at_any_size(spark, tmp_path):
+    for n, files in ((4096, 16), (65536, 64)):
+        df = spark.range(n).select((F.col("id") % 64).alias("x"), F.concat(F.lit("k"), F.lpad((F.col("id") / 64).cast("int").cast("string"), 5, "0")).alias("y"))
+        io.cluster_write(df, str(tmp_path / f"z{n}"), ["x", "y"], files=files)
+        spans = spark.read.parquet(str(tmp_path / f"z{n}")).groupBy(F.input_file_name().alias("f")).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"))
+        touched = spans.where("x0 <= 5 AND x1 >= 3 AND y0 <= 'k00010'").count()
+        assert spans.count() >= files // 2 and touched <= max(4, spans.count() // 4)
+    hot = spark.range(20_000).select(F.lit(1).alias("x"), F.lit("a").alias("y"), "id")
+    io.cluster_write(hot, str(tmp_path / "hot"), ["x", "y"], files=8)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "hot")).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 5000
+
+
 def test_copy_into_loads_once_and_skips_bad_rows(spark, tmp_path):
     src, dst = (str(tmp_path / n) for n in ("src", "dst"))
     spark.createDataFrame([("1", "x"), ("bad", "y")], "ID string, Name string").write.parquet(src)
@@ -204,6 +217,24 @@ def test_stream_velocity_equals_batch(spark, tmp_path, rows):
     assert rows(got) == rows(want)
 
 
+def test_stream_velocity_out_of_order(spark, tmp_path, rows):
+    times = [0, 1000, 5000, 2000, 3000, 4000, 9000, 1500]
+    df = spark.createDataFrame([(f"t{i}", "c", t) for i, t in enumerate(times)], "transaction_id string, customer_id string, s int") \
+        .withColumn("transaction_ts", F.timestamp_seconds("s")).drop("s")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for part in (["t0", "t1", "t2"], ["t3", "t4", "t5"], ["t6"], ["t7"]):
+        df.where(F.col("transaction_id").isin(part)).write.mode("append").parquet(str(tmp_path / "in"))
+        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), out, state, str(tmp_path / "ck"),
+                                 delay_seconds=5000).awaitTermination()
+    for _ in range(2):
+        stateful.velocity_close(spark, out, state)
+    got = spark.read.parquet(out).select("transaction_id", "txn_velocity_1h")
+    want = fraud.with_signals(df.where("transaction_id <> 't7'")).select("transaction_id", "txn_velocity_1h")
+    assert rows(got) == rows(want)
+    assert rows(spark.read.parquet(f"{out}__late"), "transaction_id") == [("t7",)]
+    assert len(list((tmp_path / "state").iterdir())) == 2
+
+
 def test_dimension_lookup_by_time(spark, rows):
     dim = spark.createDataFrame([("m", "2024-01-01", "2024-02-01", "k1"), ("m", "2024-02-01", None, "k2")], "merchant_id string, f string, t string, merchant_sk string") \
         .select("merchant_id", F.to_timestamp("f").alias("valid_from"), F.to_timestamp("t").alias("valid_to"), "merchant_sk")
