@@ -51,14 +51,15 @@ def customer_vertices(entity_map: DataFrame) -> DataFrame:
         "email_normalised", "country", "er_confidence", "cluster_size")
 
 
-ORDER_COLUMNS = (
-    "order_id customer_id merchant_id order_status order_ts order_date net_amount item_count currency "
-    "payment_method shipping_country"
-).split()
-TRANSACTION_COLUMNS = (
-    "transaction_id customer_id merchant_id transaction_ts txn_date amount currency transaction_type status "
-    "risk_score risk_tier is_international device_type merchant_category"
-).split()
+# Columns of order and transaction vertices.
+ORDER_COLUMNS = [
+    "order_id", "customer_id", "merchant_id", "order_status", "order_ts", "order_date", "net_amount", "item_count",
+    "currency", "payment_method", "shipping_country",
+]
+TRANSACTION_COLUMNS = [
+    "transaction_id", "customer_id", "merchant_id", "transaction_ts", "txn_date", "amount", "currency",
+    "transaction_type", "status", "risk_score", "risk_tier", "is_international", "device_type", "merchant_category",
+]
 
 
 def _known(edges: DataFrame, customers: DataFrame) -> DataFrame:

@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Raw columns in landing order; every one is text at rest.
-ORDER_FIELDS = (
-    "order_id customer_id merchant_id order_status order_ts updated_ts currency gross_amount "
-    "discount_amount item_count payment_method shipping_country source_system ingest_ts"
-).split()
-TRANSACTION_FIELDS = (
-    "transaction_id order_id customer_id merchant_id transaction_ts amount currency transaction_type "
-    "payment_method status card_bin card_last4 ip_country device_type merchant_category "
-    "is_international source_system ingest_ts"
-).split()
-CUSTOMER_FIELDS = (
-    "customer_id source_system first_name last_name email phone date_of_birth gender address_line1 "
-    "address_line2 city state_province postal_code country registration_ts is_active segment "
-    "loyalty_tier ingest_ts"
-).split()
-CLICK_FIELDS = (
-    "event_type session_id customer_id page product_id device_type country event_ts source_system"
-).split()
+ORDER_FIELDS = [
+    "order_id", "customer_id", "merchant_id", "order_status", "order_ts", "updated_ts", "currency", "gross_amount",
+    "discount_amount", "item_count", "payment_method", "shipping_country", "source_system", "ingest_ts",
+]
+TRANSACTION_FIELDS = [
+    "transaction_id", "order_id", "customer_id", "merchant_id", "transaction_ts", "amount", "currency",
+    "transaction_type", "payment_method", "status", "card_bin", "card_last4", "ip_country", "device_type",
+    "merchant_category", "is_international", "source_system", "ingest_ts",
+]
+CUSTOMER_FIELDS = [
+    "customer_id", "source_system", "first_name", "last_name", "email", "phone", "date_of_birth", "gender",
+    "address_line1", "address_line2", "city", "state_province", "postal_code", "country", "registration_ts",
+    "is_active", "segment", "loyalty_tier", "ingest_ts",
+]
+CLICK_FIELDS = [
+    "event_type", "session_id", "customer_id", "page", "product_id", "device_type", "country", "event_ts",
+    "source_system",
+]
 
 RAW_FIELDS = {
     "orders": ORDER_FIELDS,
@@ -46,27 +47,28 @@ LTV_TIERS = ["platinum", "gold", "silver", "bronze", "new"]
 CHURN_STATUSES = ["loyal", "active", "at_risk", "churned"]
 
 # Silver column order.
-SILVER_ORDERS = (
-    "order_id customer_id merchant_id order_status order_ts updated_ts order_date order_year "
-    "order_month order_dow is_weekend currency gross_amount discount_amount discount_pct net_amount "
-    "item_count payment_method shipping_country source_system ingest_ts pipeline_version silver_ts"
-).split()
-SILVER_TRANSACTIONS = (
-    "transaction_id order_id customer_id merchant_id transaction_ts transaction_type status amount "
-    "currency payment_method card_bin card_last4 is_international ip_country device_type "
-    "merchant_category txn_velocity_1h avg_amount_30d stddev_amount_30d txn_count_30d "
-    "flag_high_value flag_velocity_spike flag_amount_anomaly flag_intl_high_value "
-    "flag_new_customer_high_value risk_score risk_tier source_system ingest_ts txn_date txn_year "
-    "txn_month pipeline_version silver_ts"
-).split()
-SILVER_CUSTOMERS = (
-    "customer_id source_system first_name last_name email phone date_of_birth gender "
-    "first_name_norm last_name_norm full_name_norm email_normalised phone_normalised "
-    "last_name_soundex address_line1 address_line2 city city_norm state_province postal_code "
-    "postal_code_norm country block_key_1 block_key_2 block_key_3 email_domain age age_band "
-    "days_since_registration customer_tenure_band segment loyalty_tier is_active registration_ts "
-    "ingest_ts pipeline_version silver_ts resolved_entity_id er_confidence"
-).split()
+SILVER_ORDERS = [
+    "order_id", "customer_id", "merchant_id", "order_status", "order_ts", "updated_ts", "order_date", "order_year",
+    "order_month", "order_dow", "is_weekend", "currency", "gross_amount", "discount_amount", "discount_pct",
+    "net_amount", "item_count", "payment_method", "shipping_country", "source_system", "ingest_ts",
+    "pipeline_version", "silver_ts",
+]
+SILVER_TRANSACTIONS = [
+    "transaction_id", "order_id", "customer_id", "merchant_id", "transaction_ts", "transaction_type", "status",
+    "amount", "currency", "payment_method", "card_bin", "card_last4", "is_international", "ip_country", "device_type",
+    "merchant_category", "txn_velocity_1h", "avg_amount_30d", "stddev_amount_30d", "txn_count_30d", "flag_high_value",
+    "flag_velocity_spike", "flag_amount_anomaly", "flag_intl_high_value", "flag_new_customer_high_value",
+    "risk_score", "risk_tier", "source_system", "ingest_ts", "txn_date", "txn_year", "txn_month", "pipeline_version",
+    "silver_ts",
+]
+SILVER_CUSTOMERS = [
+    "customer_id", "source_system", "first_name", "last_name", "email", "phone", "date_of_birth", "gender",
+    "first_name_norm", "last_name_norm", "full_name_norm", "email_normalised", "phone_normalised",
+    "last_name_soundex", "address_line1", "address_line2", "city", "city_norm", "state_province", "postal_code",
+    "postal_code_norm", "country", "block_key_1", "block_key_2", "block_key_3", "email_domain", "age", "age_band",
+    "days_since_registration", "customer_tenure_band", "segment", "loyalty_tier", "is_active", "registration_ts",
+    "ingest_ts", "pipeline_version", "silver_ts", "resolved_entity_id", "er_confidence",
+]
 
 MONEY = T.DecimalType(18, 2)
 
