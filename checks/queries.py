@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -58,6 +59,7 @@ _STORED: dict[tuple[str, str, str], str] = {}
 
 
 def stored(fn):
+    @wraps(fn)
     def read(spark, sf):
         key = (spark.sparkContext.applicationId, sf, fn.__name__)
         if key not in _STORED:
