@@ -1,3 +1,5 @@
+from functools import lru_cache
+
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -10,11 +12,16 @@ from .helpers import LONG, documents
 PATH, PATTERN = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
-@pytest.fixture(scope="module")
-def oracle():
+@lru_cache
+def merge_rule():
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
 
 
+@pytest.fixture
+def oracle():
+    return merge_rule()
+
+
 def ids(text):
     import numpy as np
     return np.frombuffer(bpe.text_bpe(PATH, PATTERN).encode(text), "<i4").tolist()
@@ -24,10 +31,7 @@ def ids(text):
 @given(st.one_of(st.text(max_size=60), st.text(alphabet="ab ,.'s\n\té́世🙂", max_size=80), st.lists(st.sampled_from(
     ["the", " ", "  ", "\n", "don't", "aaaaaaaa", "ééé", " 12", "<|endoftext|>", "\x1c", "\xa0", "==="]), max_size=25).map("".join)))
 def test_same_ids_as_the_merge_rule(text):
-    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={}) if not hasattr(test_same_ids_as_the_merge_rule, "o") \
-        else test_same_ids_as_the_merge_rule.o
-    test_same_ids_as_the_merge_rule.o = own
-    assert ids(text) == own.encode_ordinary(text)
+    assert ids(text) == merge_rule().encode_ordinary(text)
 
 
 def test_long_runs_and_small_memory(oracle, monkeypatch):

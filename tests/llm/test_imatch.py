@@ -46,11 +46,6 @@ def test_survives_small_edits(spark):
     assert np.mean(near) > 0.7 and np.mean(far) < 0.1
 
 
-def brute(rows):
-    """The next document by descending id, repeated ids by hash, null ids last."""
-    return rows
-
-
 def test_edit_probe_over_ranges(spark):
     rng = np.random.default_rng(9)
     rows = [(int(i), " ".join(rng.choice(["aé", "b🙂", "cc", "d\n"], rng.integers(0, 30)))) for i in rng.permutation(500)]
@@ -77,7 +72,7 @@ def test_odd_tables(spark):
     assert imatch.edit_probe(empty, imatch.lexicon(empty)).collect() == [] and imatch.fingerprints(empty, imatch.lexicon(empty)).collect() == []
     one = documents(spark, [(5, "only one here")])
     r = imatch.edit_probe(one, imatch.lexicon(one)).first()
-    assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"only one" + b"only"  + b"").hexdigest() or r.n_chars == 13
+    assert (r.near_next, r.n_chars, r.edited_sha256) == (1.0, 13, hashlib.sha256(b"only one " + b"only").hexdigest())
     odd = documents(spark, [(1, "a b"), (1, "a b"), (1, "c d"), (None, "e f"), (None, "e f"), (2, None)])
     assert Counter(r.doc_id for r in imatch.edit_probe(odd, imatch.lexicon(odd)).collect()) == {1: 3, None: 2, 2: 1}
     nulls = documents(spark, [(None, "x y z"), (None, "p q")])

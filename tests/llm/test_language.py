@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 
 from oreline.llm import language
@@ -26,28 +28,23 @@ def test_presence_does_not_depend_on_the_cut(monkeypatch):
 
 def test_learns_and_handles_odd_rows(spark):
     rows = corpus() + [(100, None, "en", "s"), (101, "", "de", "s"), (102, "123 !? ...", "fr", "s"), (None, "und nicht über die straße", None, None),
-                       (103, " ".join(SAY["fr"] * 4000), None, None), (0, rows_text := corpus()[0][1], "en", "s")]
+                       (103, " ".join(SAY["fr"] * 4000), None, None), corpus()[0]]
     df = documents(spark, rows)
     model = language.learn(df, language.fold() != 2)
     got = {(r.doc_id, r.lang_pred) for r in language.identify(df, model).collect()}
     assert {(i, lang) for i, _, lang, _ in corpus()} <= got
     assert {(100, "und"), (101, "und"), (102, "und"), (None, "de"), (103, "fr")} <= got
     scores = [r.score for r in language.identify(df, model).collect()]
-    assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores) and rows_text
+    assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores)
 
 
 def test_held_out_rows_are_not_learnt(spark):
     rows = corpus()
-    poisoned = [(i, t, "xx" if language_fold(i) == 2 else lang, s) for i, t, lang, s in rows]
+    poisoned = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang, s) for i, t, lang, s in rows]
     model = language.learn(documents(spark, poisoned), language.fold() != 2)
     assert model.languages == ["de", "en", "fr"]
 
 
-def language_fold(i):
-    import zlib
-    return zlib.crc32(str(i).encode()) % 4
-
-
 def test_weights_equal_the_kernel_form(spark):
     rows = corpus(30)
     df = documents(spark, rows)

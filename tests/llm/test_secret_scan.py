@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from oreline.llm import secret_scan as S
 
 from .helpers import documents
@@ -18,17 +20,15 @@ def labelled(spark, n=40):
 
 def test_candidates_have_their_places(spark):
     text = f"é {HEX} x=ABCDEFGHIJKLMNOP1, abcdefghijklmnopqrstuvwxyz a1b2 🙂{'9' * 16}"
-    got = documents(spark, [(1, text)]).select(S.candidates(__import__("pyspark.sql.functions", fromlist=["col"]).col("text")).alias("c")).first().c
+    got = documents(spark, [(1, text)]).select(S.candidates(F.col("text")).alias("c")).first().c
     assert [(c.start, c.candidate) for c in got] == [(m.start(), m.group()) for m in re.finditer(r"[A-Za-z0-9_+/=-]{16,}", text) if re.search("[0-9]", m.group())]
     assert got[0].before == "é " and got[1].before.endswith(" ") and got[-1].after == ""
 
 
 def test_labels(spark):
-    from pyspark.sql import functions as F
     rows = {f'token = "{HEX}"': 1.0, f"password: '{HEX}'": 1.0, "GITHUB_TOKEN=ghp_" + "a1B2" * 9: None, f"commit {HEX}": 0.0, "4111111111111111": 0.0, f"hash of {HEX}": None}
     df = documents(spark, list(enumerate(rows)))
-    got = \
-        {r.text: r.label for r in df.select("text", F.explode(S.candidates(F.col("text"))).alias("c")).select("text", S.rule_label(F.col("c")).alias("label")).collect()}
+    got = {r.text: r.label for r in df.select("text", F.explode(S.candidates(F.col("text"))).alias("c")).select("text", S.rule_label(F.col("c")).alias("label")).collect()}
     assert got == rows
 
 
@@ -52,7 +52,6 @@ def test_forest_tells_secrets_from_others(spark):
 def test_forest_expression_equals_the_trained_model(spark):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.sql import functions as F
     df = labelled(spark)
     words = S.dictionary(df, "text")
     findings = S.rule_findings(df, words).where("label is not null").cache()
