@@ -264,9 +264,8 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def cluster_write(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = (),
-                  files: int | None = None, zorder: bool = True) -> None:
-    """Write with rows that are close in ``columns`` in the same files, so that scans skip the others.
+def clustered(df: DataFrame, columns: Sequence[str], partition_by: Sequence[str] = (), files: int | None = None, zorder: bool = True) -> DataFrame:
+    """The rows laid out so that those close in ``columns`` are written to the same files and scans skip the others.
 
     The number of files is that of the shuffle, which adaptive execution fits to the size, unless ``files`` is given; there are at least
     sixteen times as many cells as shuffle partitions. The last sort key is a hash of the row, so rows of one cell, such as those
@@ -278,7 +277,21 @@ def cluster_write(df: DataFrame, path: str, columns: Sequence[str], partition_by
     keyed = df.withColumn("_z", z_value(df, columns, bits)) if zorder else df
     order = by + ([F.col("_z")] if zorder else [F.col(f"`{c}`") for c in columns]) + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     placed = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
-    write_table(placed.sortWithinPartitions(*order).drop("_z"), path, partition_by)
+    return placed.sortWithinPartitions(*order).drop("_z")
+
+
+def cluster_write(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = (),
+                  files: int | None = None, zorder: bool = True) -> None:
+    """Write a plain table clustered by ``columns``."""
+    write_table(clustered(df, columns, partition_by, files, zorder), path, partition_by)
+
+
+def recluster(spark: SparkSession, path: str, columns: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+    """Write a stored table anew, clustered, as its next version; readers keep the version they began with."""
+    now = _adopted(spark, path, list(partition_by))
+    if now is not None:
+        rows = clustered(snapshots.read_parts(spark, path, now), columns, partition_by)
+        _replaced(rows, path, now, list(partition_by), {name: part["values"] for name, part in now.parts.items()})
 
 
 def analyze(spark: SparkSession, table: str) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from oreline import catalog, schemas as S
 from oreline.operators import fraud
-from oreline.plans import jobs, star
+from oreline.plans import graph, jobs, star
 from oreline.sources import manifest, publish, tables as io
 from oreline.streaming import landing, stateful
 
@@ -291,3 +291,9 @@ def test_two_days(spark, tmp_path):
     kept = io.read_table(spark, lake.silver("customers")).where("customer_id = 'c1'").first()
     assert (kept.segment, kept.resolved_entity_id) == ("vip", "ent_c1")
     assert second["transactions"]["flagged_count"] == 1
+    assert {r.part: r.n for r in second["graph"].collect()} == {r.part: r.n for r in graph.load_counts(jobs.read_graph(spark, lake)).collect()}
+    assert {r.table: r.n for r in second["star"].collect()} == {"dim_customer": 3, "dim_merchant": 1, "fact_orders": 1, "fact_transactions": 2}
+    daily = {name: df.drop("mart_updated_at").collect() for name, df in jobs.build_marts(spark, lake, "2024-02-02", "2024-06-03").items()}
+    full = {name: df.drop("mart_updated_at").collect() for name, df in jobs.build_marts(spark, lake, "2024-02-02", "2024-06-03", full_refresh=True).items()}
+    assert {n: sorted(r, key=repr) for n, r in daily.items()} == {n: sorted(r, key=repr) for n, r in full.items()}
+    assert second["orders"]["silver_count"] == 1 and {r.order_id for r in io.read_table(spark, lake.silver("orders")).collect()} == {"o1"}
