@@ -20,12 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import keep_table
-from .bpe import MEMO_CHARS, Odd
+from .bpe import MEMO_CHARS
 from .columns import field, pick
 
 #: Pieces per group (memory of one task) and dealings at most.
 GROUP_ITEMS = 131_072
 ROUNDS = 3
+#: Marks that the split pattern takes off a word.
+MARKS = frozenset(",.;:!?")
 #: Bits of a sequence number that count sequences within a group.
 WITHIN = 1 << 36
 
@@ -40,7 +42,9 @@ class SpacedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.chars = 0
+        self.marks = dict(zip(MARKS, self.raw(list(MARKS))))
 
     def raw(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -49,21 +53,30 @@ class SpacedEncoder:
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         parts = [t.split(" ") for t in texts]
-        if self.chars > MEMO_CHARS:
-            self.known, self.chars = {}, 0
-        new = list(set().union(*[p[1:] for p in parts]) - self.known.keys())
+        firsts = [p.pop(0) for p in parts]
+        if self.chars > MEMO_CHARS:  # the full memory stays as the old one: what is met again moves on
+            self.old, self.known, self.chars = self.known, {}, 0
+        known, old = self.known, self.old
+        held = [list(map(known.get, p)) for p in parts]
+        new = {c for p, ids in zip(parts, held) if None in ids for c, i in zip(p, ids) if i is None}
+        again = {c for c in new if c in old}
+        known.update({c: old[c] for c in again})
+        new -= again
+        # a word and the mark behind it are split anyway: the word alone is known more often
+        marked = [c for c in new if c[-1:] in MARKS and c[:-1].isalpha()]
+        new.difference_update(marked)
+        new.update([w for w in {c[:-1] for c in marked} if w not in known])
         good = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        self.known.update(zip(good, self.raw([" " + c for c in good])))
-        self.chars += sum(map(len, good)) + 24 * len(good)
-        firsts = self.raw([p[0] for p in parts])
+        known.update(zip(good, self.raw([" " + c for c in good])))
+        known.update([(c, known[c[:-1]] + self.marks[c[-1]]) for c in marked])
+        self.chars += sum(map(len, good)) + sum(map(len, marked)) + 24 * (len(good) + len(marked) + len(again))
         out = []
-        for text, part, first in zip(texts, parts, firsts):
-            try:
-                if len(part) > 1 and (not part[0] or part[0][-1].isspace()):
-                    raise Odd
-                out.append(first + b"".join(map(self.known.__getitem__, part[1:])))
-            except (Odd, KeyError):
-                out.append(self.raw([text])[0])
+        for text, first, begin, p, ids in zip(texts, firsts, self.raw(firsts), parts, held):
+            if None in ids:
+                ids = [i or known.get(c) for c, i in zip(p, ids)]
+            # white space next to a space: the pattern may join them
+            odd = None in ids or (p and (not first or first[-1].isspace()))
+            out.append(self.raw([text])[0] if odd else begin + b"".join(ids))
         return out
 
 
