@@ -59,13 +59,14 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int, ridge: float) -> Mod
 
     def cells(part):
         x = np.unpackbits(np.stack([c for _, c in part]), axis=1).astype(np.float32)
-        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+        x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+        return x
 
     z = cells(chosen)
     kz = z @ z.T
     normal, target = ridge * kz.astype(np.float64), np.zeros((len(chosen), len(languages)))
-    for at in range(0, len(rows), 256):
-        part = rows[at:at + 256]
+    for at in range(0, len(rows), BATCH_ROWS):  # few rows at a time: the driver holds the landmarks and little else
+        part = rows[at:at + BATCH_ROWS]
         k = (cells(part) @ z.T).astype(np.float64)
         y = np.where(np.array([[lang == other for other in languages] for lang, _ in part]), 1.0, -1.0)
         normal += k.T @ k
