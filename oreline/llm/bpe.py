@@ -43,8 +43,9 @@ class ByteBpe:
         self.size = [len(b) for b in self.bytes]
         self.automaton = ahocorasick.Automaton()
         for text, i in self.rank.items():
-            self.automaton.add_word(text, (i, len(text)))
+            self.automaton.add_word(text, i)
         self.automaton.make_automaton()
+        self.widest = max(self.size)
         #: the longest token that is a proper prefix of a token, -1 for none
         self.shorter = [self._longest_proper_prefix(b.decode("latin-1")) for b in self.bytes]
         self.agrees: dict[int, bool] = {}
@@ -77,19 +78,26 @@ class ByteBpe:
                 ranks[at] = rank(parts[at] + parts[at + 1], never)
         return True
 
+    def longest(self, text: str, at: int) -> int:
+        """The longest token at a place: the automaton tells how far token prefixes reach, the last whole token on that way counts."""
+        ahead = text[at:at + self.widest]
+        n = self.automaton.longest_prefix(ahead)
+        token = self.rank.get(ahead[:n])
+        while token is None:
+            n -= 1
+            token = self.rank.get(ahead[:n])
+        return token
+
     def piece(self, raw: bytes) -> list[int]:
         """Ids of one piece that the split pattern made."""
         text = raw.decode("latin-1")
         whole = self.rank.get(text)
         if whole is not None:
             return [whole]
-        size, shorter, agrees, vocabulary, n = self.size, self.shorter, self.agrees, len(self.bytes), len(text)
-        longest = [0] * n
-        for end, (token, length) in self.automaton.iter(text):
-            longest[end - length + 1] = token  # matches that end later are longer
+        size, shorter, agrees, vocabulary, n, longest = self.size, self.shorter, self.agrees, len(self.bytes), len(text), self.longest
         ids: list[int] = []
         closed: set[int] = set()
-        at, last, token = 0, -1, longest[0]
+        at, last, token = 0, -1, longest(text, 0)
         while True:
             end = at + size[token]
             fits = end not in closed
@@ -101,7 +109,7 @@ class ByteBpe:
                 ids.append(token)
                 if end == n:
                     return ids
-                at, last, token = end, token, longest[end]
+                at, last, token = end, token, longest(text, end)
                 continue
             token = shorter[token]
             while token < 0:  # nothing fits here
@@ -114,7 +122,8 @@ class ByteBpe:
 
 class TextBpe:
     """Whole texts to ids. Texts are cut at single spaces first, since no piece of the pattern reaches over one: what stands
-    between two of them is encoded once and remembered."""
+    between two of them is encoded once and remembered. Memory has two generations: when the young one is full it becomes the old one, and
+    what is met again moves on, so frequent words stay."""
 
     def __init__(self, bpe: ByteBpe, pattern: str):
         import regex
@@ -129,25 +138,27 @@ class TextBpe:
 
     def plain(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers, piece by piece."""
-        return b"".join([self.piece(p) for p in self.find(text)])
+        return b"".join([self.bare(p) if p[0] != " " or p[1:2].isspace() or p[-1].isspace() else self.spaced[p[1:]] for p in self.find(text)])
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.spaced.get(piece[1:]) if piece[0] == " " else self.known.get(piece)
+    def bare(self, piece: str) -> bytes:
+        """Ids of a piece that no space comes before."""
+        ids = self.known.get(piece)
         if ids is None:
-            ids = array("i", self.bpe.piece(piece.encode())).tobytes()
+            ids = self.fresh(piece)
             if len(piece) <= 64:
-                self.note(piece)
-                if piece[0] != " ":
-                    self.known[piece] = ids
-                elif len(piece) > 1 and not piece[1].isspace():
-                    self.spaced[piece[1:]] = ids
+                self.note(len(piece))
+                self.known[piece] = ids
         return ids
 
-    def note(self, piece: str) -> None:
-        self.chars += len(piece) + 24
+    def fresh(self, piece: str) -> bytes:
+        return array("i", self.bpe.piece(piece.encode())).tobytes()
+
+    def note(self, chars: int) -> None:
+        self.chars += chars + 24
         if self.chars > MEMO_CHARS:
             self.chars = 0
             self.known.clear()
+            self.spaced.old = dict(self.spaced)
             self.spaced.clear()
 
     def encode(self, text: str) -> bytes:
@@ -176,16 +187,24 @@ class _Spaced(dict):
     def __init__(self, owner: TextBpe):
         super().__init__()
         self.owner = owner
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         owner = self.owner
-        if chunk.isalpha():
-            return owner.piece(" " + chunk)
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise Odd  # white space next to the space: the pattern may join them
-        ids = owner.plain(" " + chunk)
-        if len(chunk) <= 64 and chunk not in self:
-            owner.note(chunk)
+        ids = self.old.get(chunk)
+        if ids is None:
+            word = chunk[:-1]
+            if chunk.isalpha():
+                ids = owner.fresh(" " + chunk)  # letters are one piece
+            elif word.isalpha() and chunk[-1] in ",.;:!?":
+                ids = self[word] + owner.bare(chunk[-1])
+            elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                raise Odd  # white space next to the space: the pattern may join them
+            else:
+                first, *rest = owner.find(" " + chunk)  # no space is left within the rest
+                ids = (self[first[1:]] if rest else owner.fresh(first)) + b"".join(map(owner.bare, rest))
+        if len(chunk) <= 64:
+            owner.note(len(chunk))
             self[chunk] = ids
         return ids
 
