@@ -42,7 +42,7 @@ def cell_counts(texts: DataFrame, text_col: str) -> np.ndarray:
                     terms = terms_of(text)
                     if len(known) > 400_000:
                         known.clear()
-                    for t in terms - known.keys():
+                    for t in [t for t in terms if t not in known]:
                         known[t] = xxhash.xxh3_64_intdigest(t) % CELLS
                     cells = np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
                     held[np.unique(cells)] += 1
@@ -88,7 +88,7 @@ class Fingerprints:
         terms = terms_of(text)
         if len(self.known) > 400_000:
             self.known.clear()
-        for t in terms - self.known.keys():
+        for t in [t for t in terms if t not in self.known]:
             self.known[t] = self.lexicons(t)
         kept: list[list[bytes]] = [[] for _ in range(SIZES * EACH)]
         known = self.known
