@@ -57,11 +57,22 @@ prior written permission."""),
 following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
 following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
 following disclaimer in the documentation and/or other materials provided with the distribution."""),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("Unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
 use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
 non-commercial, and by any means."""),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "This work is licensed under a Creative Commons CC0 1.0 Universal License."),
+    ("CC0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication"),
+    ("CC0-1.0", "This work is marked with CC0 1.0 Universal."),
+    ("CC0-1.0", "http://creativecommons.org/publicdomain/zero/1.0/"),
 ]
+_TERMS = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+for _kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+    for _version, _reach in (("4.0", "International"), ("3.0", "Unported")):
+        _long = f"{'-'.join(_TERMS[t] for t in _kind.split('-'))} {_version} {_reach}"
+        TEMPLATES += [(f"CC-{_kind}-{_version}", _text) for _text in (
+            f"Licensed under CC {_kind} {_version}.", f"This work is licensed under a Creative Commons {_long} License.",
+            f"Creative Commons {_long} License", f"{_long} (CC {_kind} {_version})", f"http://creativecommons.org/licenses/{_kind.lower()}/{_version}/")]
 
 _WORD = re.compile(r"[a-z0-9]+")
 _SPELLING = {"licence": "license", "licences": "licenses", "licenced": "licensed", "sublicence": "sublicense", "https": "http"}

@@ -1,4 +1,5 @@
 import random
+import re
 
 from hypothesis import given, settings, strategies as st
 
@@ -48,3 +49,28 @@ def test_rows(spark):
         (1, [("MIT", 7, 37)]), (1, [("MIT", 7, 37)]), (None, [("Apache-2.0", 2, len(text) - 1)]), (2, []), (3, []),
         (4, [("MIT", len(LONG) + 1, len(LONG) + len(MIT))]), (5, [])], key=repr)
     assert licenses.scan(documents(spark, [])).collect() == []
+
+
+def test_creative_commons_family_tells_its_members_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.9)
+    names = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+             "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+    for short, long in names.items():
+        for line in (f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons {long} 4.0 International License.",
+                     f"Available under the Creative Commons {long} 4.0 International License", f"{long} 4.0 International (CC {short} 4.0)",
+                     f"See https://creativecommons.org/licenses/{short.lower()}/4.0/."):
+            assert {n for n, _, _, _ in scanner.find(f"Prose before. {line} Prose after.")} == {f"CC-{short}-4.0"}, line
+    for line in ("Licensed under CC0 1.0.", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication", "https://creativecommons.org/publicdomain/zero/1.0/"):
+        assert [n for n, _, _, _ in scanner.find(line)] == ["CC0-1.0"], line
+
+
+def test_every_licence_line_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet", "/root/testdata/sf0.1/documents.parquet").select("text").collect()
+    scanner, seen = licenses.Scanner(licenses.TEMPLATES, 0.9), set()
+    for (text,) in docs:
+        lines = list(re.finditer("(?m)^(?:.* )?(?:Licensed|licensed|Released) under .*$", text or ""))
+        found = scanner.find(text) if lines else []
+        for m in lines:
+            assert any(m.start() <= start and end <= m.end() for _, start, end, _ in found), m.group()
+            seen |= {(m.group(), name) for name, start, end, _ in found if m.start() <= start and end <= m.end()}
+    assert ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0") in seen and len(seen) == 4
