@@ -1,14 +1,16 @@
 """Licence scan: normalised text compared with licence templates by the Dice coefficient of word bigrams.
 
-A template's bigrams are looked up in the text; a window as long as the template is compared only if it can reach the threshold: with
-b template bigrams a window of w bigrams needs at least t (w + b) / 2 common ones, so w lies between t b / (2 - t) and (2 - t) b / t, and
-windows with fewer hits are never formed. What remains is compared in full.
+A template's bigrams are looked up in the text; windows are formed only where they can reach the threshold: with b distinct template
+bigrams a window of w distinct bigrams needs at least t (w + b) / 2 common ones, so w lies between t b / (2 - t) and (2 - t) b / t.
+From every hit, all windows up to that many distinct bigrams are compared, so inserted words and left-out ones are found alike.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import OrderedDict
+from heapq import heapify, heappop, heapreplace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -102,30 +104,35 @@ class Scanner:
                 self.sets.append(bigrams)
 
     def find(self, text: str) -> list[tuple[str, int, int, float]]:
-        """(name, start, end, dice), in order, without overlap: of overlapping matches the longer template wins, then the better one."""
+        """(name, start, end, dice), in order, without overlap: of overlapping matches of one template the better one wins, of
+        those of several templates the one that holds more bigrams of its own."""
         words = normalised(text)
         plain = [w for w, _, _ in words]
         bigrams = list(zip(plain, plain[1:]))
-        hits: dict[int, list[int]] = {}
-        for at in [i for i, b in enumerate(bigrams) if b in self.by_bigram]:
-            for t in self.by_bigram[bigrams[at]]:
-                hits.setdefault(t, []).append(at)
-        found = []
-        for t, places in hits.items():
-            (name, length), template = self.names[t], self.sets[t]
-            least = self.threshold / (2 - self.threshold) * len(template)  # common bigrams that the smallest window needs
-            if len(places) < least:
-                continue
-            for i, start in enumerate(places):
-                near = places[i:bisect_left(places, start + length)]
-                if len(near) < least:
-                    continue
-                best = max((self.dice(bigrams[start:end], template), -end) for end in {near[-1] + 1, min(len(bigrams), start + length)})
-                if best[0] >= self.threshold:
-                    found.append((length, best[0], start, -best[1], name))
+        hits: dict[int, set] = {}
+        for g in set(bigrams) & self.by_bigram.keys():
+            for t in self.by_bigram[g]:
+                hits.setdefault(t, set()).add(g)
+        found, heads = [], []
+        for t, common in hits.items():
+            # common bigrams that the smallest window needs
+            if len(common) >= self.threshold / (2 - self.threshold) * len(self.sets[t]) - 1e-9:
+                if own := self.windows(bigrams, self.sets[t], self.names[t][1]):
+                    # best of the template last; its turn comes by how many common bigrams it has
+                    found.append((self.names[t][0], sorted(own, key=lambda f: (f[1], -f[2]))))
+        for at, (name, own) in enumerate(found):
+            heads.append((-own[-1][0], -own[-1][1], own[-1][2], name, at))
+        heapify(heads)
         kept: list[tuple[int, int, str, float]] = []
         taken: list[tuple[int, int]] = []
-        for _, dice, start, end, name in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[4])):
+        while heads:
+            *_, name, of = heads[0]
+            own = found[of][1]
+            _, dice, start, end = own.pop()
+            if own:
+                heapreplace(heads, (-own[-1][0], -own[-1][1], own[-1][2], name, of))
+            else:
+                heappop(heads)
             at = bisect_left(taken, (start, 0))
             if (at < len(taken) and taken[at][0] <= end) or (at and taken[at - 1][1] >= start):
                 continue
@@ -133,6 +140,40 @@ class Scanner:
             kept.append((start, end, name, dice))
         return [(name, words[a][1], words[b][2], dice) for a, b, name, dice in sorted(kept)]
 
+    def windows(self, bigrams: list, template: set, length: int) -> list[tuple[int, float, int, int]]:
+        """(common bigrams, dice, start, end) of the best window from every hit, where it reaches the threshold. It ends with the bigrams that
+        only repeat its own, as far as the template's length."""
+        least = self.threshold / (2 - self.threshold) * len(template) - 1e-9
+        most = int((2 - self.threshold) / self.threshold * len(template) + 1e-9)
+        ahead: OrderedDict = OrderedDict()  # the next distinct bigrams and their first places, the nearest one last
+        near, out = 0, []
+        for start in range(len(bigrams) - 1, -1, -1):
+            own = bigrams[start]
+            near += own in template and own not in ahead
+            ahead[own] = start
+            ahead.move_to_end(own)
+            if len(ahead) > most:
+                near -= ahead.popitem(last=False)[0] in template
+            if near < least or own not in template:
+                continue
+            common, best = 0, (0.0, 0, 0)
+            for size, (g, place) in enumerate(reversed(ahead.items()), 1):
+                if g in template:
+                    common += 1
+                    if (dice := 2 * common / (size + len(template))) > best[0]:
+                        best = (dice, common, place + 1)
+                    if common == near:
+                        break
+            if best[0] >= self.threshold:
+                end, own = best[2], None
+                while end < min(start + length, len(bigrams)) and bigrams[end] in template:
+                    own = own or set(bigrams[start:end])
+                    if bigrams[end] not in own:
+                        break
+                    end += 1
+                out.append((best[1], best[0], start, end))
+        return out
+
     @staticmethod
     def dice(window: list, template: set) -> float:
         own = set(window)

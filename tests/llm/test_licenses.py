@@ -74,3 +74,41 @@ def test_every_licence_line_of_the_given_documents(spark):
             assert any(m.start() <= start and end <= m.end() for _, start, end, _ in found), m.group()
             seen |= {(m.group(), name) for name, start, end, _ in found if m.start() <= start and end <= m.end()}
     assert ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0") in seen and len(seen) == 4
+
+
+def best_of_all(text, template):
+    """Best coefficient of any window whatever its length."""
+    words, own = ([w for w, _, _ in licenses.normalised(x)] for x in (text, template))
+    bigrams, wanted = list(zip(words, words[1:])), set(zip(own, own[1:]))
+    return max([licenses.Scanner.dice(bigrams[i:j], wanted) for i in range(len(bigrams)) for j in range(i + 1, len(bigrams) + 1)], default=0.0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("a b c d e f g h".split()), min_size=2, max_size=14), st.lists(st.integers(0, 40), max_size=8),
+       st.lists(st.sampled_from("a b c x y z".split()), min_size=1, max_size=4), st.sampled_from([0.6, 0.75, 0.8, 0.9]))
+def test_windows_of_every_length(template, places, inserted, threshold):
+    words = list(template)
+    for at in places:  # runs put in, words left out
+        at %= len(words) + 1
+        words = words[:at] + inserted + words[at:] if len(places) % 2 or at % 2 else words[:at] + words[at + 1:] or list(template)
+    text = "x " + " ".join(words) + " y"
+    found, best = licenses.Scanner([("x", " ".join(template))], threshold).find(text), best_of_all(text, " ".join(template))
+    assert bool(found) == (best >= threshold) and max([f[3] for f in found], default=best) == best
+
+
+def test_inserted_run_and_shortened_text():
+    words = MIT.split()
+    for text in (words[:60] + ["inserted"] * 2 + [f"w{i}" for i in range(14)] + words[60:], words[:-18] + "some more words of the text and of the work in the end".split()):
+        text = "Before it. " + " ".join(text) + " After it."
+        (name, start, end, dice), = licenses.Scanner(licenses.TEMPLATES, 0.9).find(text)
+        assert name == "MIT" and text[start:].startswith("Permission") and dice >= 0.9
+
+
+def test_every_template_is_found_as_itself():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.9)
+    for name, text in licenses.TEMPLATES:
+        assert [(n, d) for n, _, _, d in scanner.find(text)] == [(name, 1.0)], text
+
+
+def test_repeated_template_stays_fast():
+    assert len(licenses.Scanner(licenses.TEMPLATES, 0.9).find(f"{MIT} -- here it is again: " * 40)) == 40
