@@ -5,21 +5,30 @@ distinct terms of that band, sorted; each randomised lexicon keeps a part of the
 The lexicons keep 1/2, 1/4, 1/8 ... of the band, several of each size, so that short and long texts both have parts that survive an
 edit. Likeness is the share of equal parts at the size where it is largest.
 
-Document frequencies are counted over the whole corpus in a table of fixed size (terms hashed to ``CELLS`` cells), so what every task
-needs to know, one bit per cell, does not grow with the vocabulary.
+Document frequencies are counted per term over the whole corpus. What every task needs to know of the band is a blocked Bloom filter
+sized from the counted vocabulary, ``BITS`` bits for each term of the band: all terms of the band are in it, and of the others fewer than
+one in a thousand, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..session import keep_table
+
 #: Cells of the frequency table; sizes of randomised lexicons (halves of halves) and lexicons of each size (32 bits of a draw each).
 CELLS, SIZES, EACH = 1 << 20, 12, 4
+#: The filter: bits for each term, bits set for each term, bits of a block. Wrongly inside: (1 - exp(-PROBES / BITS)) ** PROBES = 0.0006.
+BITS, PROBES, BLOCK = 16, 8, 1 << 16
+#: Distinct terms counted in a Python worker before they are handed on; longer terms are counted by a digest of 256 bits.
+FLUSH_TERMS, LONG_TERM = 400_000, 64
 #: The band: normalised inverse document frequency, log(N / df) / log(N), between these.
 LOW, HIGH = 0.3, 0.95
 EMPTY = "0" * 8
@@ -29,8 +38,58 @@ def terms_of(text: str) -> set[bytes]:
     return set(text.lower().encode("utf-8", "surrogatepass").split())
 
 
+def key_of(term: bytes) -> bytes:
+    return term if len(term) <= LONG_TERM else hashlib.blake2b(term, digest_size=32).digest()
+
+
+def term_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """(key, n): how many rows hold each term, counted within tasks first."""
+    def counted(batches):
+        held: Counter = Counter()
+
+        def flushed():
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["key", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                text = text.as_py()
+                if text:
+                    held.update({t if len(t) <= LONG_TERM else key_of(t) for t in terms_of(text)})
+                    if len(held) > FLUSH_TERMS:
+                        yield flushed()
+                        held.clear()
+        yield flushed()
+
+    return texts.select(texts[f"`{text_col}`"].cast("string")).mapInArrow(counted, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def places(digests: np.ndarray) -> np.ndarray:
+    """Bits of a block that each 64-bit digest sets, one row a digest."""
+    d = digests.astype(np.int64).view(np.uint64)
+    first, step = d >> np.uint64(48), d >> np.uint64(32) & np.uint64(0xFFFF) | np.uint64(1)
+    return (first[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None] & np.uint64(BLOCK - 1)).astype(np.int64)
+
+
+def packed_terms(digests: DataFrame) -> bytes:
+    """The filter of a stored column of digests: blocks are filled in tasks, their bytes collected."""
+    blocks = max(1, -(-digests.count() * BITS // BLOCK))
+
+    @F.arrow_udf("binary")
+    def filled(lists: pa.Array) -> pa.Array:
+        out = []
+        for held in lists:
+            bits = np.zeros(BLOCK, np.uint8)
+            bits[places(held.values.to_numpy()).ravel()] = 1
+            out.append(np.packbits(bits).tobytes())
+        return pa.array(out, pa.binary())
+
+    grouped = digests.groupBy(F.pmod("digest", F.lit(blocks)).alias("block")).agg(F.collect_list("digest").alias("digests"))
+    found = {r.block: r.bits for r in grouped.select("block", filled("digests").alias("bits")).collect()}
+    return b"".join([found.get(b, bytes(BLOCK // 8)) for b in range(blocks)])
+
+
 def cell_counts(texts: DataFrame, text_col: str) -> np.ndarray:
-    """Rows per cell: how many rows hold a term of the cell. Counted in tasks, added by cell, CELLS numbers at most returned."""
+    """Rows per cell of a table of fixed size: how many rows hold a term of the cell. A bounded overview; the lexicon counts terms."""
     def counted(batches):
         import xxhash
         known: dict[bytes, int] = {}
@@ -61,17 +120,35 @@ def band(counts: np.ndarray, total: int, low: float = LOW, high: float = HIGH) -
     return np.packbits((counts > 0) & (idf >= low) & (idf <= high)).tobytes()
 
 
-class Fingerprints:
+class TermFilter:
+    """Looks keys up in what ``packed_terms`` made."""
+
+    def __init__(self, packed: bytes):
+        self.packed, self.blocks = packed, len(packed) * 8 // BLOCK
+
+    def inside(self, key: bytes) -> bool:
+        import xxhash
+        digest = xxhash.xxh64_intdigest(key, seed=42)  # Spark's xxhash64, whose remainder is that of the signed number
+        base = (digest - (digest >> 63 << 64)) % self.blocks * BLOCK
+        first, step = digest >> 48, digest >> 32 & 0xFFFF | 1
+        for probe in range(PROBES):
+            at = base + (first + probe * step & BLOCK - 1)
+            if not self.packed[at >> 3] >> (7 - (at & 7)) & 1:
+                return False
+        return True
+
+
+class Fingerprints(TermFilter):
     """Fingerprints by one band; remembers what it knows of a term."""
 
     def __init__(self, packed: bytes):
-        self.inside = np.unpackbits(np.frombuffer(packed, np.uint8))
+        super().__init__(packed)
         self.known: dict[bytes, tuple[int, ...]] = {}
 
     def lexicons(self, term: bytes) -> tuple[int, ...]:
         """Numbers of the randomised lexicons that keep the term; none outside the band."""
         import xxhash
-        if not self.inside[xxhash.xxh3_64_intdigest(term) % CELLS]:
+        if not self.inside(key_of(term)):
             return ()
         draw = xxhash.xxh3_128_intdigest(term, seed=7)
         out = []
@@ -120,14 +197,17 @@ def likeness(a: str, b: str) -> float:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: float = HIGH) -> bytes:
-    """The band of a corpus; null texts count as documents without terms."""
-    return band(cell_counts(docs, text_col), docs.count(), low, high)
+    """The band of a corpus, as a filter; null texts count as documents without terms."""
+    total = max(docs.count(), 2)
+    idf = F.log(F.lit(total) / F.col("n")) / math.log(total)
+    kept = term_counts(docs, text_col).where((idf >= low) & (idf <= high)).select(F.xxhash64("key").alias("digest"))
+    return packed_terms(keep_table(kept, "band"))
 
 
 def fingerprints(docs: DataFrame, packed: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint) of every whole text, in place. A null text counts as empty; equal texts have equal fingerprints, repeated
     rows and null ids are kept as they are, other columns are not carried."""
-    shared = docs.sparkSession.sparkContext.broadcast(packed)  # CELLS bits
+    shared = docs.sparkSession.sparkContext.broadcast(packed)  # BITS bits for each term of the band
 
     @F.arrow_udf("string")
     def made(texts: pa.Array) -> pa.Array:
@@ -170,7 +250,7 @@ def edit_probe(docs: DataFrame, packed: bytes, id_col: str = "doc_id", text_col:
     id, that of the last document by those of the first. Null texts count as empty; a single document is its own next one.
     """
     laid = with_next(docs, id_col, text_col).select("part", "last", "id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(packed)  # CELLS bits
+    shared = docs.sparkSession.sparkContext.broadcast(packed)  # BITS bits for each term of the band
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType()]
     schema = T.StructType([T.StructField(id_col, laid.schema["id"].dataType), *[T.StructField(n, t) for n, t in zip(names[1:], kinds)]])

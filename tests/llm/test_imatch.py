@@ -79,3 +79,26 @@ def test_odd_tables(spark):
     assert len(imatch.edit_probe(nulls, imatch.lexicon(nulls)).collect()) == 2
     prints = imatch.fingerprints(odd, imatch.lexicon(odd)).collect()
     assert len({r.fingerprint for r in prints if r.doc_id is None}) == 1 and len(prints) == 6
+
+
+def test_band_is_decided_per_term(spark):
+    import xxhash
+    cell = xxhash.xxh3_64_intdigest(b"word1") % imatch.CELLS
+    rare = next(t for i in range(100_000_000) if xxhash.xxh3_64_intdigest(t := b"rare%d" % i) % imatch.CELLS == cell)
+    long = "L" * 500
+    rows = [(i, f"common word{i % 10} single{i}" + (f" {long}" if i % 10 == 3 else "")) for i in range(200)] + [(200, rare.decode())]
+    own = imatch.Fingerprints(imatch.lexicon(documents(spark, rows)))
+    want = Counter(t for _, text in rows for t in imatch.terms_of(text))
+    assert {t for t in want if own.inside(imatch.key_of(t))} == {t for t, n in want.items() if 0.3 <= math.log(201 / n) / math.log(201) <= 0.95}
+    assert own.inside(b"word1") and own.inside(imatch.key_of(long.lower().encode())) and not own.inside(rare)
+
+
+def test_filter_of_many_terms(spark):
+    import xxhash
+    digests = spark.range(100_000).selectExpr("xxhash64(cast(concat('in', id) AS binary)) AS digest")
+    packed = imatch.packed_terms(digests)
+    own = imatch.Fingerprints(packed)
+    assert own.blocks > 20 and len(packed) * 8 < 1.1 * 100_000 * imatch.BITS
+    assert all(own.inside(b"in%d" % i) for i in range(0, 100_000, 7))
+    assert sum(own.inside(b"out%d" % i) for i in range(100_000)) < 100
+    assert xxhash.xxh64_intdigest(b"in5", seed=42) == spark.sql("SELECT xxhash64(cast('in5' AS binary)) AS d").first().d % 2 ** 64
