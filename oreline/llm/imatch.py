@@ -70,9 +70,9 @@ def places(digests: np.ndarray) -> np.ndarray:
     return (first[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None] & np.uint64(BLOCK - 1)).astype(np.int64)
 
 
-def packed_terms(digests: DataFrame) -> bytes:
+def packed_terms(digests: DataFrame, bits_each: int = BITS) -> bytes:
     """The filter of a stored column of digests: blocks are filled in tasks, their bytes collected."""
-    blocks = max(1, -(-digests.count() * BITS // BLOCK))
+    blocks = max(1, -(-digests.count() * bits_each // BLOCK))
 
     @F.arrow_udf("binary")
     def filled(lists: pa.Array) -> pa.Array:

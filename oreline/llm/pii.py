@@ -1,9 +1,9 @@
 """Personal data: patterns, and terms that reveal protected entities by how they occur together in the corpus.
 
-Base spans are e-mail addresses, IP addresses, card and phone numbers. Every distinct value found is a protected entity. A term near
-an entity reveals it as far as meeting the term tells that the entity is there: the pointwise mutual information of both over all
-documents, as a share of the entity's own information content. Terms whose share reaches ``disclosure`` are generalised (to their
-kind: a name, a number, a word) or removed, like the entities themselves.
+Base spans are e-mail addresses, IP addresses, card and phone numbers. Every distinct value found is a protected entity. A term of a
+document that holds an entity reveals it as far as meeting the term tells that the entity is there: the pointwise mutual information
+of both over all documents, as a share of the entity's own information content. Terms whose share reaches ``disclosure`` are generalised
+(to their kind: a name, a number, a word) or removed wherever they stand, in any document, like the entities themselves.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
@@ -18,12 +19,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import keep_table
 from .columns import field, pick
+from .imatch import TermFilter, packed_terms
 
 KINDS = ("email", "ip", "card", "phone")
-#: Terms before and after an entity that are looked at; share of its information; documents a pair must be in.
+#: Terms before and after an entity that are near it; share of its information; documents a pair must be in.
 WINDOW, DISCLOSURE, SUPPORT = 6, 0.9, 2
 #: Distinct terms counted in a Python worker before they are handed on.
 FLUSH_TERMS = 200_000
+#: Bits of the filter for each disclosing term: of other terms, common ones too, fewer than one in a million passes.
+FILTER_BITS = 48
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # a local part ends at the @ and is taken back from there: the same matches without a search from every letter
@@ -79,9 +83,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(kind, a, b) for kind, sign, find in _FINDERS if sign in text for a, b in find(text)]
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the terms around each span that overlap no span."""
-    out = []
+def outside(spans: list[tuple[str, int, int]]):
+    """Whether a place overlaps no span."""
     merged: list[list[int]] = []
     for a, b in sorted((a, b) for _, a, b in spans):
         if merged and a <= merged[-1][1]:
@@ -94,6 +97,21 @@ def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
         at = bisect_left(starts, b)
         return at == 0 or merged[at - 1][1] <= a
 
+    return free
+
+
+def terms_in(text: str, spans: list[tuple[str, int, int]]):
+    """(term, start, end) for every term of two characters or more that overlaps no span."""
+    free = outside(spans)
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        if b - a > 1 and free(a, b):
+            yield m.group().lower(), a, b
+
+
+def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) for the terms around each span that overlap no span."""
+    out, free = [], outside(spans)
     for kind, start, end in spans:
         entity = f"{kind}:{text[start:end].lower()}"
         reach = 64
@@ -109,29 +127,35 @@ def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str,
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, base, near) per row: h is the text's hash; base spans; terms near them."""
-    rows = pick(docs, **{id_col: id_col, "text_": text_col}).withColumn("text_", F.coalesce(F.col("text_").cast("string"), F.lit("")))
-    rows = rows.select(id_col, F.xxhash64("text_").alias("h"), "text_")
+    """(id, h, base, entities, words) per row: h is the text's hash; base spans; distinct entities; distinct terms if there is an entity."""
+    rows = hashed(docs, id_col, text_col)
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    near = T.ArrayType(T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()),
-                                     T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     base_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    strings = pa.list_(pa.string())
 
     def scanned(batches):
         for batch in batches:
-            base, around = [], []
+            base, entities, words = [], [], []
             for text in batch.column(2):
                 text = text.as_py()
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                around.append([{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in near_terms(text, spans)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(base, base_type), pa.array(around, near_type)], names=[id_col, "h", "base", "near"])
+                entities.append(list({f"{k}:{text[a:b].lower()}" for k, a, b in spans}))
+                words.append(list({t for t, _, _ in terms_in(text, spans)}) if spans else [])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(base, base_type), pa.array(entities, strings), pa.array(words, strings)],
+                                             names=[id_col, "h", "base", "entities", "words"])
 
-    schema = T.StructType([field(rows, id_col), T.StructField("h", T.LongType()), T.StructField("base", span), T.StructField("near", near)])
+    listed = T.ArrayType(T.StringType())
+    schema = T.StructType([field(rows, id_col), T.StructField("h", T.LongType()), T.StructField("base", span), T.StructField("entities", listed), T.StructField("words", listed)])
     return rows.mapInArrow(scanned, schema)
 
 
+def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, text_) with null texts as empty ones."""
+    rows = pick(docs, **{id_col: id_col, "text_": text_col}).withColumn("text_", F.coalesce(F.col("text_").cast("string"), F.lit("")))
+    return rows.select(id_col, F.xxhash64("text_").alias("h"), "text_")
+
+
 def term_documents(docs: DataFrame, text_col: str) -> DataFrame:
     """(term, n): in how many rows each term occurs, counted within tasks first."""
     def counted(batches):
@@ -151,11 +175,18 @@ def term_documents(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def disclosing(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
-    """(entity, term) pairs whose mutual information reaches the share ``disclosure`` of the entity's information."""
-    pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda p: F.struct(p["entity"].alias("entity"), p["term"].alias("term"))))).alias("p")) \
-        .groupBy("p.entity", "p.term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    entities = found.select(F.explode(F.array_distinct(F.transform("near", lambda p: p["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("alone"))
-    counted = pairs.join(entities, "entity").join(term_documents(docs, text_col), "term")
+    """(entity, term) pairs whose mutual information reaches the share ``disclosure`` of the entity's information.
+
+    Pairs are counted over whole documents. Copies of a text are counted as one with their number; an entity or a term of fewer than
+    ``support`` documents has no pair of that many. Counts are summed by (entity, term) within tasks first, so an entity of very many
+    documents is not one task's.
+    """
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("alone")).where(F.col("alone") >= support)
+    texts = found.where(F.size("entities") > 0).groupBy("h").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("words").alias("words"))
+    held = texts.select("copies", "words", F.explode("entities").alias("entity")).join(entities, "entity")
+    pairs = held.select("entity", "alone", "copies", F.explode("words").alias("term")).groupBy("entity", "alone", "term") \
+        .agg(F.sum("copies").alias("both")).where(F.col("both") >= support)
+    counted = pairs.join(term_documents(docs, text_col).where(F.col("n") >= support), "term")
     total = found.agg(F.count("*").alias("total"))
     shared = F.log(F.col("both") * F.col("total") / (F.col("alone") * F.col("n")))
     own = F.log(F.col("total") / F.col("alone"))
@@ -163,18 +194,57 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str, disclosure: flo
         .where((own > 0) & (shared >= disclosure * own)).select("entity", "term")
 
 
+@lru_cache(maxsize=2)
+def by_filter(packed: bytes) -> TermFilter:
+    """One per Python worker and filter."""
+    return TermFilter(packed)
+
+
+def occurrences(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(h, start, end): every place of the stored ``terms`` in all texts, once a text, outside base spans. A filter sized from the
+    terms lets few other places through, the join with the terms drops these."""
+    shared = docs.sparkSession.sparkContext.broadcast(packed_terms(terms.select(F.xxhash64(F.col("term").cast("binary")).alias("digest")), FILTER_BITS))
+
+    def placed(batches):
+        own, known = by_filter(shared.value), {}
+        for batch in batches:
+            out = []
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                if len(known) > 2 * FLUSH_TERMS:
+                    known.clear()
+                places = []
+                for m in _TERM.finditer(text):
+                    term = m.group().lower()
+                    if (inside := known.get(term)) is None:
+                        inside = known[term] = len(term) > 1 and own.inside(term.encode("utf-8", "surrogatepass"))
+                    if inside:
+                        places.append((term, *m.span()))
+                if places:
+                    free = outside(base_spans(text))
+                    out += [(h, t, a, b) for t, a, b in places if b - a > 1 and free(a, b)]
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["h", "term", "start", "end"])
+
+    found = hashed(docs, id_col, text_col).select("h", "text_").mapInArrow(placed, "h long, term string, start long, end long")
+    return found.distinct().join(terms, "term", "left_semi").select("h", "start", "end")
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(id, h, base, terms): per row its base spans and the spans of terms that reveal an entity of it, both by place.
+    """(id, h, base, terms, elsewhere): per row its base spans and the spans of terms that reveal an entity, of this row or another, all by
+    place: ``terms`` in a row that has base spans, ``elsewhere`` in a row that has none.
 
     Null and empty texts have no spans. Equal texts have equal spans, repeated rows stay repeated and a null id stays null; ``h`` is
-    the hash of the text. Only spans and terms near them are shuffled, never texts.
+    the hash of the text. Spans, entities and the distinct terms of rows that hold an entity are shuffled, never texts.
     """
     found = keep_table(scan(docs, id_col, text_col), "entities")
-    listed = found.select("h", F.explode("near").alias("p")).select("h", "p.*").distinct()
-    known = disclosing(found, docs, text_col, disclosure, support)
-    terms = listed.join(known, ["entity", "term"]).groupBy("h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    return found.select(id_col, "h", "base").join(terms, "h", "left") \
-        .withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint>>")))
+    known = keep_table(disclosing(found, docs, text_col, disclosure, support).select("term").distinct(), "terms")
+    marked = occurrences(docs, known, id_col, text_col).groupBy("h").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("marked"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    marks, own = F.coalesce("marked", none), F.size("base") > 0
+    return found.select(id_col, "h", "base").join(marked, "h", "left") \
+        .select(id_col, "h", "base", F.when(own, marks).otherwise(none).alias("terms"), F.when(own, none).otherwise(marks).alias("elsewhere"))
 
 
 def span_text(base: Column, terms: Column | None = None) -> Column:
@@ -188,9 +258,8 @@ def span_text(base: Column, terms: Column | None = None) -> Column:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_terms: bool = False, **options) -> DataFrame:
     """(id, text, base, terms): texts with entities replaced by their kind and revealing terms generalised (to <name> if they start with a
     capital, <number> if they start with a digit, <word> else) or, with ``remove_terms``, removed."""
-    spans = find(docs, id_col, text_col, **options).select("h", "base", "terms").dropDuplicates(["h"])
-    rows = pick(docs, **{id_col: id_col, "text_": text_col}).withColumn("text_", F.coalesce(F.col("text_").cast("string"), F.lit("")))
-    held = rows.withColumn("h", F.xxhash64("text_")).join(spans, "h")
+    spans = find(docs, id_col, text_col, **options).select("h", "base", F.concat("terms", "elsewhere").alias("terms")).dropDuplicates(["h"])
+    held = hashed(docs, id_col, text_col).join(spans, "h")
 
     @F.arrow_udf("string")
     def rewritten(texts: pa.Array, base: pa.Array, terms: pa.Array) -> pa.Array:

@@ -151,5 +151,5 @@ def op10_pii(spark, sf):
 
     return found.select(
         "doc_id", *map(count, pii.KINDS), sha256_hex(pii.span_text(F.col("base"))).alias("base_sha256"),
-        pii.span_text(F.col("base"), F.col("terms")).alias("spans"),
+        pii.span_text(F.col("base"), F.concat("terms", "elsewhere")).alias("spans"),
     )

@@ -84,3 +84,16 @@ def test_sanitised_text(spark):
 def test_near_terms_far_window():
     text = "one two " + "." * 500 + " three a@b.co"
     assert [t for _, t, _, _ in pii.near_terms(text, pii.base_spans(text))] == ["one", "two", "three"]
+
+
+def test_revealing_terms_go_wherever_they_stand(spark):
+    filler = "these are many plain words between the name and the address so that it is far away from it"
+    rows = [(1000 + i, f"{filler} number {i % 7} again") for i in range(300)]
+    for i in range(100, 112, 3):
+        rows += [(i, f"Zorbas {filler} z@sea.org again"), (i + 1, f"z@sea.org again {filler} Zorbas"), (i + 2, f"Zorbas z@sea.org {filler}")]
+    rows += [(200, f"{filler} q@land.org {filler} zorbas"), (201, "Zorbas is elsewhere, ZORBAS"), (201, "Zorbas is elsewhere, ZORBAS"), (None, "mail zorbas@x.org"), (202, None)]
+    text = dict(rows)
+    shown = Counter((r.doc_id, text[r.doc_id][t.start:t.end]) for r in pii.find(documents(spark, rows)).collect() for t in [*r.terms, *r.elsewhere])
+    assert shown == {**{(i, "Zorbas"): 1 for i in range(100, 112)}, (200, "zorbas"): 1, (201, "Zorbas"): 2, (201, "ZORBAS"): 2}
+    masked = Counter(r.text for r in pii.sanitise(documents(spark, rows)).collect())
+    assert masked["<name> is elsewhere, <name>"] == 2 and masked[f"{filler} <email> {filler} <word>"] == 1 and masked["mail <email>"] == 1
