@@ -1,7 +1,7 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of 16 or more characters of the alphabets secrets are written in that holds a digit. A random forest judges it
-by length, character transitions, coverage by dictionary words, the document's path and the neighbouring words. It is trained on
+A candidate is a value assigned to a name of a secret, a published key format, or a run of 16 or more characters of the alphabets
+secrets are written in that holds a digit, without a leading ``NAME=``. A random forest judges it by length, character transitions, coverage by dictionary words, the document's path and the neighbouring words. It is trained on
 labelled findings and then written out as a column expression, so documents are scanned in place: no shuffle, no Python, and the
 rows of a hot source cost what any other rows cost.
 """
@@ -18,15 +18,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 # fixed values: alphabets of secrets, published key formats, words around secrets and around other long strings
 ALPHABET = "A-Za-z0-9_+/=-"
 CANDIDATE = f"(?<![{ALPHABET}])(?=[A-Za-z_+/=-]*[0-9])[{ALPHABET}]{{16,}}"
-FORMATS = [
+#: Formats that only keys have, and lengths of hex digits that checksums have as well.
+KEYS = [
     "AKIA[0-9A-Z]{16}", "gh[opusr]_[A-Za-z0-9]{36}", "glpat-[A-Za-z0-9_-]{20}", "xox[abpr]-[A-Za-z0-9-]{20,}", "sk_live_[A-Za-z0-9]{24,}",
-    "AIza[A-Za-z0-9_-]{35}", "[0-9a-f]{32}", "[0-9a-f]{40}", "[0-9a-f]{64}",
+    "AIza[A-Za-z0-9_-]{35}",
 ]
+FORMATS = [*KEYS, "[0-9a-f]{32}", "[0-9a-f]{40}", "[0-9a-f]{64}"]
 SECRET_WORDS = "(?i)(token|secret|passwd|password|api.?key|access.?key|private.?key|credential|bearer|auth)"
 OTHER_WORDS = "(?i)(commit|sha1|sha256|md5|checksum|digest|etag|uuid|example|sample|dummy|placeholder|changeme)"
 PATH_WORDS = "(?i)(test|spec|example|sample|mock|fixture|doc)"
 UUID = "[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
 MASK = "<secret>"
+_NAMED = "(?i:token|secret|passwd|password|api.?key|access.?key|private.?key|credential|bearer|auth)[A-Za-z0-9_-]{0,16}"
+_KEY, _RUN = f"(?:{'|'.join(KEYS)})(?![A-Za-z0-9_-])", f"(?=[A-Za-z_+/=-]*[0-9])[{ALPHABET}]{{16,}}"
+_NAME, _SIGN = "[A-Za-z_][A-Za-z0-9_-]{0,63}=", "[\"']?\\s{0,4}(?:[:=]{1,2}>?)\\s{0,4}"
+_OPEN = "[^\\s\"'`,;&<>(){}\\[\\]]"
+#: What is judged. Alternatives: a quoted and an open value of a secret's name, a key by its format, a run after NAME=, a run without one.
+VALUE = "|".join([
+    f"(?<=[\"'`])(?<={_NAMED}{_SIGN}[\"'`])[^\\s\"'`]++(?=[\"'`])",
+    f"(?<=[=:>\\s])(?<={_NAMED}{_SIGN})(?![=:>]){_OPEN}*(?![.?:])(?!\\s){_OPEN}",
+    f"(?<![A-Za-z0-9_-]){_KEY}",
+    f"(?<==)(?<=(?<![{ALPHABET}]){_NAME}){_RUN}",
+    f"(?<![{ALPHABET}])(?!{_NAME}(?:{_KEY}|{_RUN}))(?![A-Za-z0-9_-]*{_NAMED}=[^=\\s]){_RUN}",
+])
 
 #: Characters of context on either side (the neighbouring words are taken from them).
 CONTEXT = 48
@@ -40,9 +54,10 @@ FEATURES = [
 ]
 
 
-def candidates(text: Column) -> Column:
-    """array<struct(start, candidate, before, after)> of a text: places in code points from 0, context on both sides."""
-    found, between = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
+def candidates(text: Column, pattern: str = CANDIDATE) -> Column:
+    """array<struct(start, candidate, before, after)> of a text: places in code points from 0, context on both sides. ``pattern`` is
+    ``VALUE`` where candidates are judged; ``CANDIDATE`` gives the plain runs, names included."""
+    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     sides = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda c, gap: F.struct(gap.alias("gap"), c.alias("c")))
     sides = F.zip_with(sides, F.slice(between, F.lit(2), F.size(found)), lambda s, rest: F.struct(
         s["gap"].alias("gap"), s["c"].alias("c"), rest.alias("rest")))
@@ -56,7 +71,7 @@ def candidates(text: Column) -> Column:
 
     # most texts have none: they are read once
     listed = F.aggregate(sides, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found")), step, lambda s: s["found"])
-    return F.when(text.rlike(CANDIDATE), listed).otherwise(empty)
+    return F.when(text.rlike(pattern), listed).otherwise(empty)
 
 
 def dictionary(docs: DataFrame, text_col: str) -> list[str]:
@@ -105,14 +120,21 @@ def features(c: Column, path: Column, words: list[str]) -> Column:
 def rule_label(c: Column) -> Column:
     """1, 0 or null for one element of ``candidates``: the labels used where nobody has labelled findings.
 
-    Secret: a published format that is assigned to a name of a secret. Not one: digits alone, a UUID, words joined by hyphens or
-    underscores, or what follows a word for checksums or examples. Everything else stays without label and is the forest's to judge.
+    Secret: a key by its published format; hex digits or a mixture of letters with digits or signs, 8 or more, that are assigned to a
+    name of a secret. Not one: digits alone, a UUID, words joined by hyphens or underscores, or what follows a word for checksums or
+    examples. Everything else stays without label and is the forest's to judge.
     """
     text, before = c["candidate"], c["before"]
-    format_ = text.rlike(f"^({'|'.join(FORMATS)})$")
-    named = before.rlike(SECRET_WORDS + "[A-Za-z_-]{0,16}[\"']?\\s*[:=]+>?\\s*[\"'`]?$")
-    other = text.rlike("^[0-9=+/_-]+$") | text.rlike(f"^{UUID}$") | text.rlike("^[A-Za-z]+([_/-][A-Za-z0-9]+){2,}$") | before.rlike(OTHER_WORDS + "\\W{0,4}$")
-    return F.when(format_ & named, 1.0).when(other, 0.0)
+    named = before.rlike(SECRET_WORDS + "[A-Za-z0-9_-]{0,16}[\"']?\\s*[:=]+>?\\s*[\"'`]?$")
+    format_, mixed = text.rlike(f"^({'|'.join(FORMATS)})$"), text.rlike("^(?=.*[A-Za-z])(?=.*[0-9$!@#%^*+~?])[^\\s/]{8,}$")
+    joined = text.rlike("^[A-Za-z]+([_/-][A-Za-z0-9]+){2,}$")
+    other = text.rlike("^[0-9=+/_-]+$") | text.rlike(f"^{UUID}$") | joined | before.rlike(OTHER_WORDS + "\\W{0,4}$")
+    return F.when(is_key(c) | (format_ & named), 1.0).when(other, 0.0).when(named & mixed, 1.0)
+
+
+def is_key(c: Column) -> Column:
+    """A key by its published format, unless a word for checksums or examples stands right before it."""
+    return c["candidate"].rlike(f"^({'|'.join(KEYS)})$") & ~c["before"].rlike(OTHER_WORDS + "\\W{0,4}$")
 
 
 @dataclass
@@ -164,26 +186,26 @@ def train(findings: DataFrame, words: list[str], seed: int = 11) -> Forest:
 
 def rule_findings(docs: DataFrame, words: list[str], text_col: str = "text", path_col: str = "source") -> DataFrame:
     """Labelled findings of a corpus by ``rule_label``."""
-    c = docs.select(docs[f"`{path_col}`"].alias("path"), F.explode(candidates(docs[f"`{text_col}`"].cast("string"))).alias("c"))
+    c = docs.select(docs[f"`{path_col}`"].alias("path"), F.explode(candidates(docs[f"`{text_col}`"].cast("string"), VALUE)).alias("c"))
     return c.select(features(F.col("c"), F.col("path"), words).alias("f"), rule_label(F.col("c")).alias("label")).select("f.*", "label")
 
 
 def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", threshold: float = 0.5) -> DataFrame:
     """(id, n_candidates, secrets, redacted, row) per row, in place.
 
-    ``secrets`` lists (start, end, score) in code points for candidates that at least ``threshold`` of the trees call secrets, in
-    order; ``redacted`` is the text with each of them replaced; ``row`` holds the columns of ``docs`` as they were. A null text has no
+    ``secrets`` lists (start, end, score) in code points for candidates that at least ``threshold`` of the trees call secrets or that
+    are keys by their published format, in order; ``redacted`` is the text with each of them replaced; ``row`` holds the columns of ``docs`` as they were. A null text has no
     candidates and stays null; a null path is an empty one; repeated rows and null ids are kept as they are.
     """
     rows = docs.select(docs[f"`{id_col}`"].alias("id_"), docs[f"`{text_col}`"].cast("string").alias("text_"), docs[f"`{path_col}`"].alias("path_"),
                        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,score:double>>")
     judged = F.transform(F.col("found_"), lambda c: F.struct(
-        c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), forest.score(features(c, F.col("path_"), forest.words)).alias("score")))
-    held = rows.withColumn("found_", candidates(F.col("text_"))).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(none))
+        c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), F.when(is_key(c), 1.0).otherwise(forest.score(features(c, F.col("path_"), forest.words))).alias("score")))
+    held = rows.withColumn("found_", candidates(F.col("text_"), VALUE)).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(none))
     kept = F.filter("judged_", lambda c: c["score"] >= threshold)
-    shown = F.zip_with(F.regexp_extract_all("text_", F.lit(CANDIDATE), F.lit(0)), "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
-    mended = F.zip_with(F.split("text_", CANDIDATE, -1), shown, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    shown = F.zip_with(F.regexp_extract_all("text_", F.lit(VALUE), F.lit(0)), "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
+    mended = F.zip_with(F.split("text_", VALUE, -1), shown, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
     return held.select(
         F.col("id_").alias(id_col), F.size("judged_").cast("long").alias("n_candidates"), kept.alias("secrets"),
         F.when(F.size(kept) > 0, F.array_join(mended, "")).otherwise(F.col("text_")).alias("redacted"), "row")

@@ -88,3 +88,33 @@ def test_planted_tokens_of_the_given_table(spark):
     got = {r.doc_id: [(s.start, s.end) for s in r.secrets] for r in S.scan(docs, S.learn(docs)).collect()}
     for r in docs.collect():
         assert got[r.doc_id] == [m.span(1) for m in re.finditer('token = "([0-9a-f]{40})"', r.text)]
+
+
+KEYS = ["AKIA" + "Q7ZX" * 4, "ghp_" + "a1B2" * 9, "glpat-" + "x9_Yz" * 4, "xoxb-" + "12345678901-" * 2 + "abcDEF", "xoxb-abcdefghij-klmnopqrst-uvwxyz",
+        "sk_live_" + "abcd" * 6, "sk_live_" + "a1b2" * 6, "AIza" + "Sy1-_" * 7]
+
+
+def test_values_are_taken_without_their_names(spark):
+    wanted = {f"see {k} here": k for k in KEYS} | {f'x "{k}" y': k for k in KEYS} | {f"{n}={k}": k for k in KEYS for n in ("GITHUB_TOKEN", "x", "MY_NAME")} | {
+        f"https://a.b/?q=1&api_key={HEX}&z": HEX, f"HASH={HEX} x": HEX, 'password = "hunter2!"': "hunter2!", "password: p@ss.word$1, then": "p@ss.word$1",
+        "DB_PASSWORD=Tr0ub4dor&3": "Tr0ub4dor", "secret_key='correcthorsebattery'": "correcthorsebattery", f"plain {HEX}.": HEX, "auth_token=abcdefgh": "abcdefgh",
+        "QUJDREVGR0hJSktMTU5P1234Ug==": "QUJDREVGR0hJSktMTU5P1234Ug=="}
+    got = documents(spark, list(enumerate(wanted))).select("text", S.candidates(F.col("text"), S.VALUE).alias("c")).collect()
+    assert {r.text: [(c.start, c.candidate) for c in r.c] for r in got} == {t: [(t.index(v), v)] for t, v in wanted.items()}
+
+
+def test_published_keys_are_secrets_however_they_stand(spark):
+    forest = S.learn(labelled(spark))
+    texts = [f for k in KEYS for f in (f"see {k} here", f'x = "{k}" y', f"GITHUB_TOKEN={k}", f"u?api_key={k}&z")]
+    found = S.scan(documents(spark, [(i, t, "en", "docs") for i, t in enumerate(texts)]), forest).collect()
+    assert all(S.MASK in r.redacted and not any(k in r.redacted for k in KEYS) for r in found) and len(found) == len(texts)
+    labels = documents(spark, list(enumerate(texts))).select(F.explode(S.candidates(F.col("text"), S.VALUE)).alias("c")).select(S.rule_label(F.col("c")).alias("l")).collect()
+    assert {r.l for r in labels} == {1.0}
+
+
+def test_short_and_open_passwords_are_found(spark):
+    rows = [(i, f'{n} = "{v}"', "en", "src") for i, (n, v) in enumerate((n, f"{v}{j}") for j in range(20) for n in ("password", "api_key") for v in ("hunter2!", "p@ss.word$1", "Tr0ub4dor"))]
+    rows += [(1000 + i, f"paid 4{i:03d}123412341234 commit {HEX} and some-long-name-{i}-of-a-page", "en", "src") for i in range(60)]
+    df = documents(spark, rows)
+    got = {r.doc_id: r.redacted for r in S.scan(df, S.learn(df)).collect()}
+    assert all(got[i] == t.split('"')[0] + '"<secret>"' for i, t, *_ in rows[:120]) and all(S.MASK not in got[i] for i, *_ in rows[120:])
