@@ -32,10 +32,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest id, null ids last,
+    and among rows of one id the one with the smallest text key."""
     adopt(spark)
-    kept = minhash.near_duplicates(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    marked = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").withColumn("text_hash_", F.xxhash64("text"))
+    rows = minhash.grouped(docs, 5, 80, "doc_id", "text")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")).distinct()
+    key = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"))
+    marked = docs.join(kept, (key == kept["kept_key"]) & docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").withColumn("text_hash_", F.xxhash64("text"))
     return marked.dropDuplicates(["doc_id", "text_hash_"]).select(*[docs[f"`{c}`"] for c in docs.columns])
 
 

@@ -199,6 +199,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     Texts with equal sets are one class, so ties and repeated rows share a component; a row whose id is null can be a member
     but never names a component unless all members lack an id. Other columns of ``docs`` are ignored.
     """
+    return grouped(docs, k, percent, id_col, text_col).select(id_col, "n_shingles", "component_id") \
+        .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def grouped(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_shingles, component_id, text_key, component) per row: what ``near_duplicates`` gives, the MD5 of the text, and a name of the
+    component that no other one has, whatever ids repeat."""
     rows = keep_table(sets_by_row(docs, k, id_col, text_col), "shingles")
     classes = keep_table(
         rows.where("cls is not null").groupBy("cls").agg(
@@ -232,7 +239,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     root = classes.select("cls", "least", "node").join(forest.withColumnRenamed("src", "node"), "node", "left").select("cls", "least", label)
     named = root.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_class = root.join(named, "label").select("cls", "component_id")
-    out = rows.select(id_col, "n_shingles", "cls").join(per_class, "cls", "left")
-    component = F.when(F.col("cls").isNull(), F.col(id_col)).otherwise(F.col("component_id"))
-    return out.select(id_col, "n_shingles", component.alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+    per_class = root.join(named, "label").select("cls", "component_id", "label")
+    out = rows.select(id_col, "n_shingles", "text_key", "cls").join(per_class, "cls", "left")
+    alone = F.col("cls").isNull()
+    own = F.concat_ws(":", F.col(id_col).cast("string"), "text_key")
+    return out.select(id_col, "n_shingles", F.when(alone, F.col(id_col)).otherwise(F.col("component_id")).alias("component_id"), "text_key",
+                      F.when(alone, own).otherwise(F.col("label").cast("string")).alias("component"))

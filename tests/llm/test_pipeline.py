@@ -73,3 +73,10 @@ def test_odd_documents(spark):
     empty = documents(spark, [])
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_near_copies_under_one_id(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(1, a), (1, a + " more"), (None, a + " less"), (None, b), (None, b + " more"), (2, b + " less"), (1, "quite another text of seven words")]
+    got = pipeline.drop_near_copies(spark, documents(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.text[:2]) for r in got) == [(1, "a0"), (1, "qu"), (2, "b0")]
