@@ -142,6 +142,7 @@ class Forest:
     """Trees as nested (feature, threshold, left, right) or a leaf's label; ``words`` is the dictionary it was trained with."""
     trees: list
     words: list[str]
+    by_rule: bool = False
 
     def score(self, values: Column) -> Column:
         """Share of trees that call it a secret."""
@@ -170,15 +171,16 @@ def read_tree(text: str):
 
 
 def train(findings: DataFrame, words: list[str], seed: int = 11) -> Forest:
-    """A forest from labelled findings (columns ``FEATURES`` and ``label``, 1 for a secret). Findings of one class only, or none, give
-    the forest that always answers that class (no secret if there is none)."""
+    """A forest from labelled findings (columns ``FEATURES`` and ``label``, 1 for a secret). Where all findings
+    are secrets ``rule_label`` decides; where none is, nothing but a key by its format is one. Larger tables are sampled to
+    ``FINDINGS`` / 2 a class."""
     known = findings.where("label is not null").groupBy("label").count().collect()
     if len(known) < 2:
-        return Forest([float(known[0].label) if known else 0.0], words)
+        return Forest([0.0], words, bool(known) and known[0].label == 1)
     n = sum(r["count"] for r in known)
     sample = findings.where("label is not null")
     if n > FINDINGS:
-        sample = sample.sample(FINDINGS / n, seed)
+        sample = sample.sampleBy("label", {r.label: min(1.0, FINDINGS / 2 / r["count"]) for r in known}, seed)
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, labelCol="label", featuresCol="vector") \
         .fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(sample))
     return Forest([read_tree(t.toDebugString) for t in model.trees], words)
@@ -201,7 +203,7 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
                        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,score:double>>")
     judged = F.transform(F.col("found_"), lambda c: F.struct(
-        c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), F.when(is_key(c), 1.0).otherwise(forest.score(features(c, F.col("path_"), forest.words))).alias("score")))
+        c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), F.when(is_key(c), 1.0).otherwise(F.coalesce(rule_label(c), F.lit(0.0)) if forest.by_rule else forest.score(features(c, F.col("path_"), forest.words))).alias("score")))
     held = rows.withColumn("found_", candidates(F.col("text_"), VALUE)).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(none))
     kept = F.filter("judged_", lambda c: c["score"] >= threshold)
     shown = F.zip_with(F.regexp_extract_all("text_", F.lit(VALUE), F.lit(0)), "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))

@@ -118,3 +118,12 @@ def test_short_and_open_passwords_are_found(spark):
     df = documents(spark, rows)
     got = {r.doc_id: r.redacted for r in S.scan(df, S.learn(df)).collect()}
     assert all(got[i] == t.split('"')[0] + '"<secret>"' for i, t, *_ in rows[:120]) and all(S.MASK not in got[i] for i, *_ in rows[120:])
+
+
+def test_only_secrets_labelled_and_few_among_many(spark, monkeypatch):
+    df = documents(spark, [(1, f'token = "{HEX}"'), (2, f"see {HEX} there")])
+    assert {r.doc_id: len(r.secrets) for r in S.scan(df, S.learn(df)).collect()} == {1: 1, 2: 0}
+    monkeypatch.setattr(S, "FINDINGS", 40)
+    rows = [(i, f"paid 4{i:04d}12341234123 today") for i in range(3000)] + [(9000 + i, f'token = "{HEX}"') for i in range(6)]
+    df = documents(spark, rows)
+    assert {r.doc_id for r in S.scan(df, S.learn(df)).collect() if r.secrets} == {9000 + i for i in range(6)}
