@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, imatch, language, licenses, minhash, neighbours, packing, pii, secret_scan
+from . import bpe, chat, imatch, language, licenses, minhash, neighbours, packing, pii, prefix_trie, secret_scan
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +153,43 @@ def op10_pii(spark, sf):
         "doc_id", *map(count, pii.KINDS), sha256_hex(pii.span_text(F.col("base"))).alias("base_sha256"),
         pii.span_text(F.col("base"), F.concat("terms", "elsewhere")).alias("spans"),
     )
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, sf, "conversations"))))
+
+
+SQL["op11_prefix_trie"] = """
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 100 AS base, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda b: ascii(b)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+  FROM (SELECT DISTINCT c FROM own)
+), turns AS (
+  SELECT v.c, o.pos, o.role, o.text FROM convs v JOIN own o ON o.c = v.base AND o.pos <= v.h
+  UNION ALL
+  SELECT v.c, o.pos, o.role, o.text FROM convs v JOIN own o ON o.c = v.c AND o.pos > v.h
+), placed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS depth, length(text) AS chars, sha256(length(role) || ':' || role || text) AS turn FROM turns
+), prefixes AS (
+  SELECT c, depth, chars, string_agg(turn, '') OVER (PARTITION BY c ORDER BY depth) AS path FROM placed
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), last AS (SELECT c, max(depth) AS depth FROM prefixes GROUP BY 1),
+nodes AS (
+  SELECT p.path, any_value(p.depth) AS depth, min(p.c) AS conv_id, count(*) AS n_convs, any_value(p.chars) AS chars,
+    sha256(coalesce(string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (WHERE p.depth = l.depth), '')) AS ends_sha256
+  FROM prefixes p JOIN last l USING (c) GROUP BY p.path
+), linked AS (
+  SELECT n.*, CASE WHEN depth > 0 THEN left(path, length(path) - 64) END AS up FROM nodes n
+), kids AS (SELECT up, count(*) AS n_children FROM linked WHERE up IS NOT NULL GROUP BY 1),
+sums AS (
+  SELECT a.path, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.chars)::BIGINT AS saved_tokens
+  FROM linked d JOIN prefixes a ON a.c = d.conv_id AND a.depth <= d.depth LEFT JOIN kids k ON k.up = d.path GROUP BY 1
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM linked n JOIN sums s USING (path) LEFT JOIN kids k ON k.up = n.path LEFT JOIN nodes u ON u.path = n.up
+"""
