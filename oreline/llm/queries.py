@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import adopt
-from . import bpe, chat, imatch, language, licenses, minhash, neighbours, packing, pii, prefix_trie, secret_scan
+from . import bpe, cells, chat, imatch, language, licenses, minhash, neighbours, packing, pii, prefix_trie, secret_scan, whitening
 from .columns import sha256_hex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,3 +193,30 @@ sums AS (
 SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
 FROM linked n JOIN sums s USING (path) LEFT JOIN kids k ON k.up = n.path LEFT JOIN nodes u ON u.path = n.up
 """
+
+
+@query
+def op12_embedding_dedup(spark, sf):
+    return cells.near_vectors(table(spark, sf, "embeddings"), 0.98)
+
+
+SQL["op12_embedding_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98::DOUBLE
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x
+), named AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY 1)
+SELECT n.vec_id, coalesce(c.n, 0) AS n_links, n.component_id, n.vec_id = n.component_id AS kept
+FROM named n LEFT JOIN counted c ON c.x = n.vec_id
+"""
+
+
+@query
+def op13_embedding_whitening(spark, sf):
+    return whitening.whitened(table(spark, sf, "embeddings"), 16)
