@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import keep_table
+
 # fixed values: alphabets of secrets, published key formats, words around secrets and around other long strings
 ALPHABET = "A-Za-z0-9_+/=-"
 CANDIDATE = f"(?<![{ALPHABET}])(?=[A-Za-z_+/=-]*[0-9])[{ALPHABET}]{{16,}}"
@@ -29,18 +33,22 @@ OTHER_WORDS = "(?i)(commit|sha1|sha256|md5|checksum|digest|etag|uuid|example|sam
 PATH_WORDS = "(?i)(test|spec|example|sample|mock|fixture|doc)"
 UUID = "[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
 MASK = "<secret>"
-_NAMED = "(?i:token|secret|passwd|password|api.?key|access.?key|private.?key|credential|bearer|auth)[A-Za-z0-9_-]{0,16}"
+_NAMED = "(?=[TtSsPpAaCcBb])(?i:token|secret|passwd|password|api.?key|access.?key|private.?key|credential|bearer|auth)[A-Za-z0-9_-]{0,16}"
 _KEY, _RUN = f"(?:{'|'.join(KEYS)})(?![A-Za-z0-9_-])", f"(?=[A-Za-z_+/=-]*[0-9])[{ALPHABET}]{{16,}}"
-_NAME, _SIGN = "[A-Za-z_][A-Za-z0-9_-]{0,63}=", "[\"']?\\s{0,4}(?:[:=]{1,2}>?)\\s{0,4}"
+_NAME, _SIGN = "[A-Za-z_][A-Za-z0-9_-]{0,63}=", "[\"']?\\s{0,4}[:=]{1,2}>?\\s{0,4}"
 _OPEN = "[^\\s\"'`,;&<>(){}\\[\\]]"
-#: What is judged. Alternatives: a quoted and an open value of a secret's name, a key by its format, a run after NAME=, a run without one.
-VALUE = "|".join([
-    f"(?<=[\"'`])(?<={_NAMED}{_SIGN}[\"'`])[^\\s\"'`]++(?=[\"'`])",
-    f"(?<=[=:>\\s])(?<={_NAMED}{_SIGN})(?![=:>]){_OPEN}*(?![.?:])(?!\\s){_OPEN}",
-    f"(?<![A-Za-z0-9_-]){_KEY}",
-    f"(?<==)(?<=(?<![{ALPHABET}]){_NAME}){_RUN}",
-    f"(?<![{ALPHABET}])(?!{_NAME}(?:{_KEY}|{_RUN}))(?![A-Za-z0-9_-]*{_NAMED}=[^=\\s]){_RUN}",
+_HELD = f"(?![A-Za-z0-9_-]*{_NAMED}(?:=[^=\\s]|{_SIGN}[\"'`]?(?![=:>]){_OPEN}))"
+#: What is judged, read forwards: a secret's name, a sign and a quoted or an open value; a key by its format; a run after NAME=; a run
+#: without one. What stands before a value is in the first ``VALUE_LEADS`` groups.
+NAMED_VALUE = f"({_NAMED}{_SIGN}(?:[\"'`](?=[^\\s\"'`]++[\"'`]))?)(?:(?<=[\"'`])[^\\s\"'`]++|(?![=:>]){_OPEN}*(?![.?:])(?!\\s){_OPEN})"
+BARE_VALUE = "|".join([
+    f"(?=[Agxs])(?<![A-Za-z0-9_-]){_KEY}",
+    f"((?<![{ALPHABET}])(?=[{ALPHABET}]{{18}})(?={_NAME}(?:{_KEY}|{_RUN})){_HELD}{_NAME})(?:{_KEY}|{_RUN})",
+    f"(?<![{ALPHABET}])(?=[{ALPHABET}]{{16}})(?=[A-Za-z_+/=-]*[0-9]){_HELD}[{ALPHABET}]+",
 ])
+VALUE, VALUE_LEADS = f"{NAMED_VALUE}|{BARE_VALUE}", 2
+#: One of these is in every name of a secret, and every value without one is a run of so many characters at least.
+NAME_PARTS, SHORTEST = ("token", "secret", "passw", "key", "credential", "bearer", "auth"), 16
 
 #: Characters of context on either side (the neighbouring words are taken from them).
 CONTEXT = 48
@@ -54,12 +62,32 @@ FEATURES = [
 ]
 
 
+def pieces(text: Column, pattern: str, leads: int) -> tuple[Column, Column, Column]:
+    """(gaps, values, rest) of a text: gaps[i] stands before values[i], rest after the last. ``leads`` groups of the pattern hold what
+    stands before a value and isn't part of it."""
+    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    gaps, values = F.slice(between, F.lit(1), F.size(found)), found
+    for group in range(1, leads + 1):
+        lead = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        gaps, values = F.zip_with(gaps, lead, lambda g, p: F.concat(g, p)), F.zip_with(values, lead, lambda v, p: F.substr(v, F.length(p) + 1))
+    return gaps, values, F.element_at(between, -1)
+
+
+def holds_value(text: Column) -> Column:
+    """Whether ``VALUE`` is found in a text, without reading all of it by the pattern: a value without a name lies within one word
+    between spaces, and a long one; a name has one of a few parts."""
+    bare = F.exists(F.split(text, " "), lambda w: (F.length(w) >= SHORTEST) & w.rlike(BARE_VALUE))
+    small = F.lower(text)
+    parts = [F.contains(small, F.lit(part)) for part in NAME_PARTS]
+    return bare | (reduce(or_, parts) & text.rlike(NAMED_VALUE))
+
+
 def candidates(text: Column, pattern: str = CANDIDATE) -> Column:
     """array<struct(start, candidate, before, after)> of a text: places in code points from 0, context on both sides. ``pattern`` is
     ``VALUE`` where candidates are judged; ``CANDIDATE`` gives the plain runs, names included."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    sides = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda c, gap: F.struct(gap.alias("gap"), c.alias("c")))
-    sides = F.zip_with(sides, F.slice(between, F.lit(2), F.size(found)), lambda s, rest: F.struct(
+    gaps, values, rest = pieces(text, pattern, VALUE_LEADS if pattern == VALUE else 0)
+    sides = F.zip_with(values, gaps, lambda c, gap: F.struct(gap.alias("gap"), c.alias("c")))
+    sides = F.zip_with(sides, F.slice(F.concat(gaps, F.array(rest)), F.lit(2), F.size(values)), lambda s, rest: F.struct(
         s["gap"].alias("gap"), s["c"].alias("c"), rest.alias("rest")))
     empty = F.array().cast("array<struct<start:bigint,candidate:string,before:string,after:string>>")
 
@@ -71,7 +99,7 @@ def candidates(text: Column, pattern: str = CANDIDATE) -> Column:
 
     # most texts have none: they are read once
     listed = F.aggregate(sides, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found")), step, lambda s: s["found"])
-    return F.when(text.rlike(pattern), listed).otherwise(empty)
+    return F.when(holds_value(text) if pattern == VALUE else text.rlike(pattern), listed).otherwise(empty)
 
 
 def dictionary(docs: DataFrame, text_col: str) -> list[str]:
@@ -206,8 +234,9 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
         c["start"].alias("start"), (c["start"] + F.length(c["candidate"])).alias("end"), F.when(is_key(c), 1.0).otherwise(F.coalesce(rule_label(c), F.lit(0.0)) if forest.by_rule else forest.score(features(c, F.col("path_"), forest.words))).alias("score")))
     held = rows.withColumn("found_", candidates(F.col("text_"), VALUE)).withColumn("judged_", F.when(F.size("found_") > 0, judged).otherwise(none))
     kept = F.filter("judged_", lambda c: c["score"] >= threshold)
-    shown = F.zip_with(F.regexp_extract_all("text_", F.lit(VALUE), F.lit(0)), "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
-    mended = F.zip_with(F.split("text_", VALUE, -1), shown, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    gaps, values, rest = pieces(F.col("text_"), VALUE, VALUE_LEADS)
+    shown = F.zip_with(values, "judged_", lambda c, j: F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(c))
+    mended = F.concat(F.zip_with(gaps, shown, lambda gap, c: F.concat(gap, c)), F.array(rest))
     return held.select(
         F.col("id_").alias(id_col), F.size("judged_").cast("long").alias("n_candidates"), kept.alias("secrets"),
         F.when(F.size(kept) > 0, F.array_join(mended, "")).otherwise(F.col("text_")).alias("redacted"), "row")
@@ -216,4 +245,6 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
 def learn(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "text", path_col: str = "source") -> Forest:
     """A forest trained on ``findings`` (columns ``FEATURES`` and ``label``), or on the rule-labelled findings of ``docs`` itself."""
     words = dictionary(docs, text_col)
-    return train(rule_findings(docs, words, text_col, path_col) if findings is None else findings, words)
+    if findings is None:  # stored, as training reads them several times
+        findings = keep_table(rule_findings(docs, words, text_col, path_col).where("label is not null"), "findings")
+    return train(findings, words)

@@ -14,17 +14,17 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 11))
+    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 14))
     assert set(importlib.import_module("oreline.llm.queries").SQL) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op7_chat_format", "op8_minhash_dedup"])
+@pytest.mark.parametrize("name", ["op7_chat_format", "op8_minhash_dedup", "op11_prefix_trie", "op12_embedding_dedup"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
     from checks.compare import compare
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF)[0] == "ok"
 

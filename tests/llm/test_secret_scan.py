@@ -1,5 +1,7 @@
+import random
 import re
 
+import regex
 from pyspark.sql import functions as F
 
 from oreline.llm import secret_scan as S
@@ -127,3 +129,48 @@ def test_only_secrets_labelled_and_few_among_many(spark, monkeypatch):
     rows = [(i, f"paid 4{i:04d}12341234123 today") for i in range(3000)] + [(9000 + i, f'token = "{HEX}"') for i in range(6)]
     df = documents(spark, rows)
     assert {r.doc_id for r in S.scan(df, S.learn(df)).collect() if r.secrets} == {9000 + i for i in range(6)}
+
+
+def values_by_looking_back(text):
+    """(start, value) by the definition, place by place: what stands before a place decides what may begin there."""
+    named = r"(?i:token|secret|passwd|password|api.?key|access.?key|private.?key|credential|bearer|auth)[A-Za-z0-9_-]{0,16}"
+    sign, run = r"[\"']?\s{0,4}[:=]{1,2}>?\s{0,4}", r"(?=[A-Za-z_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}"
+    key = rf"(?:{'|'.join(S.KEYS)})(?![A-Za-z0-9_-])"
+    name = r"(?<![A-Za-z0-9_+/=-])[A-Za-z_][A-Za-z0-9_-]{0,63}="
+    held, open_ = rf"(?![A-Za-z0-9_-]*{named}(?:=[^=\s]|{sign}[\"'`]?(?![=:>])[^\s\"'`,;&<>(){{}}\[\]]))", r"[^\s\"'`,;&<>(){}\[\]]"
+    named_run, no_secret, signed = regex.compile(run), regex.compile(held), regex.compile(named + "[\"']?\\s{1,4}$")
+    after = [
+        (regex.compile(named + sign + "[\"'`]$"), regex.compile("[^\\s\"'`]++(?=[\"'`])")),
+        (regex.compile(named + sign + "$"), regex.compile(rf"(?![=:>]){open_}*(?![.?:])(?!\s){open_}")),
+        (regex.compile("(?<![A-Za-z0-9_-])$"), regex.compile(key)),
+        (regex.compile(name + "$"), named_run),
+        (regex.compile("(?<![A-Za-z0-9_+/=-])$"), regex.compile(rf"(?!{name[len('(?<![A-Za-z0-9_+/=-])'):]}(?:{key}|{run})){held}{run}")),
+    ]
+    found, at, done = [], 0, 0
+    while at < len(text):
+        if text[at] in "=:" and signed.search(text, max(done, at - 120), at):  # a sign is no part of a value
+            at += 1
+            continue
+        for before, value in after:
+            lead = before.search(text, max(done, at - 120), at)
+            if lead and (not lead[0].endswith("=") or value is not named_run or no_secret.match(text, lead.start())) and (m := value.match(text, at)):
+                found.append((at, m.group()))
+                at = done = m.end()  # what belongs to a value is no name for the next
+                break
+        else:
+            at += 1
+    return found
+
+
+PARTS = ["token", "my_secret_key", "API-KEY", "password", "author", "key", "name", "HASH", "commit", "x", " = ", "=", ": ", ":", " ", "\n", ' = "', '"', "'", "`", "==", " => ", ",", "; ", ".",
+         HEX, "hunter2!", "a1b2c3d4e5f6a7b8", "correcthorsebattery", "some-long-name-of-a-page", "1234567890123456", "AKIA" + "Q7ZX" * 4, "ghp_" + "a1B2" * 9, "/", "é", "plain words here"]
+
+
+def test_values_equal_those_found_by_looking_back(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    df = documents(spark, list(enumerate(texts)))
+    got = {r.doc_id: [(c.start, c.candidate) for c in r.c] for r in df.select("doc_id", S.candidates(F.col("text"), S.VALUE).alias("c")).collect()}
+    wrong = [(t, got[i], values_by_looking_back(t)) for i, t in enumerate(texts) if got[i] != values_by_looking_back(t)]
+    assert not wrong, (len(wrong), wrong[:5])

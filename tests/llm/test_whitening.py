@@ -18,7 +18,7 @@ def check(rows, got, k=16):
     """``got`` against numpy's symmetric solver and exact sums."""
     kept = [(i, [math.floor(64 * c) + 1_000_000 for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
     assert len(got) == sum(min(k, rank(kept, len(x))) for _, x in kept)
-    for dim in {len(x) for _, x in kept}:
+    for dim in {len(x) for _, x in kept} - {0}:
         fit = np.array(sorted({tuple(x) for _, x in kept if len(x) == dim}), dtype=object).reshape(-1, dim)
         n, sums = len(fit), fit.sum(axis=0)
         centred = (fit - sums / n).astype(float)
@@ -41,8 +41,10 @@ def check(rows, got, k=16):
 
 
 def rank(kept, dim):
+    if not dim:
+        return 0
     fit = np.array(sorted({tuple(x) for _, x in kept if len(x) == dim}), float).reshape(-1, dim)
-    return int(np.linalg.matrix_rank(fit - fit.mean(axis=0), tol=1e-6)) if dim else 0
+    return int(np.linalg.matrix_rank(fit - fit.mean(axis=0), tol=1e-6))
 
 
 def spread(seed, n, dim):
