@@ -39,8 +39,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
     kept = first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")).distinct()
     key = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"))
-    marked = docs.join(kept, (key == kept["kept_key"]) & docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").withColumn("text_hash_", F.xxhash64("text"))
-    return marked.dropDuplicates(["doc_id", "text_hash_"]).select(*[docs[f"`{c}`"] for c in docs.columns])
+    # the row in a struct of its own: other columns may have any name
+    held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].alias("id_"), key.alias("key_"), F.xxhash64(docs["text"]).alias("hash_"))
+    marked = held.join(kept, (F.col("key_") == F.col("kept_key")) & F.col("id_").eqNullSafe(F.col("kept_id")), "left_semi")
+    return columns_of(docs, {}, marked.dropDuplicates(["id_", "hash_"]))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
