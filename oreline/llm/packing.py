@@ -9,13 +9,16 @@ dealt anew among fewer groups and packed again, as long as this saves sequences.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -26,8 +29,8 @@ from .columns import field, pick
 #: Pieces per group (memory of one task) and dealings at most.
 GROUP_ITEMS = 131_072
 ROUNDS = 3
-#: Marks that the split pattern takes off a word.
-MARKS = frozenset(",.;:!?")
+#: Letters of every Unicode version, before an ASCII character that is none.
+HEAD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\\x00-@[-`{-\\x7f])")
 #: Bits of a sequence number that count sequences within a group.
 WITHIN = 1 << 36
 
@@ -43,41 +46,88 @@ class SpacedEncoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.chars = 0
-        self.marks = dict(zip(MARKS, self.raw(list(MARKS))))
+        vocab = self.tokenizer.get_vocab()
+        space = np.frombuffer(self.raw([" "])[0], "<u4")
+        mark = self.tokenizer.id_to_token(int(space[0])) if len(space) == 1 else None
+        self.begins = np.zeros(max(vocab.values()) + 1, bool)  # tokens that begin with a space
+        self.begins[[i for t, i in vocab.items() if mark and t.startswith(mark)]] = True
 
     def raw(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in coded]
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        parts = [t.split(" ") for t in texts]
-        firsts = [p.pop(0) for p in parts]
+    def spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of a space and each word, encoded as one text: no other space is in it, so each token that begins with one begins a word."""
+        if not words:
+            return []
+        flat = self.raw([" " + " ".join(words)])[0]
+        cuts = (4 * np.flatnonzero(self.begins[np.frombuffer(flat, "<u4")])).tolist()
+        if len(cuts) != len(words):
+            return self.raw([" " + w for w in words])
+        return [flat[a:b] for a, b in zip(cuts, [*cuts[1:], len(flat)])]
+
+    def runs(self, words: list[str]) -> list[bytes | None]:
+        """Ids of a space and each of distinct words; none where white space stands next to the space, as the pattern may join them.
+
+        A word is split behind its first letters, where the pattern splits it anyway: both parts are known more often.
+        """
         if self.chars > MEMO_CHARS:  # the full memory stays as the old one: what is met again moves on
-            self.old, self.known, self.chars = self.known, {}, 0
-        known, old = self.known, self.old
-        held = [list(map(known.get, p)) for p in parts]
-        new = {c for p, ids in zip(parts, held) if None in ids for c, i in zip(p, ids) if i is None}
-        again = {c for c in new if c in old}
-        known.update({c: old[c] for c in again})
-        new -= again
-        # a word and the mark behind it are split anyway: the word alone is known more often
-        marked = [c for c in new if c[-1:] in MARKS and c[:-1].isalpha()]
-        new.difference_update(marked)
-        new.update([w for w in {c[:-1] for c in marked} if w not in known])
-        good = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        known.update(zip(good, self.raw([" " + c for c in good])))
-        known.update([(c, known[c[:-1]] + self.marks[c[-1]]) for c in marked])
-        self.chars += sum(map(len, good)) + sum(map(len, marked)) + 24 * (len(good) + len(marked) + len(again))
-        out = []
-        for text, first, begin, p, ids in zip(texts, firsts, self.raw(firsts), parts, held):
-            if None in ids:
-                ids = [i or known.get(c) for c, i in zip(p, ids)]
-            # white space next to a space: the pattern may join them
-            odd = None in ids or (p and (not first or first[-1].isspace()))
-            out.append(self.raw([text])[0] if odd else begin + b"".join(ids))
-        return out
+            self.old, self.known, self.tails, self.chars = self.known, {}, {}, 0
+        known, old, tails = self.known, self.old, self.tails
+        found = list(map(known.get, words))
+        need, split, more = [], [], set()
+        for w in [w for w, ids in zip(words, found) if ids is None]:
+            if w in old:
+                known[w] = old[w]
+            elif w.isalpha():
+                need.append(w)
+            elif w and not w[0].isspace() and not w[-1].isspace():
+                head = HEAD.match(w)
+                if head:
+                    split.append((w, head[0], w[head.end():]))
+                else:
+                    need.append(w)
+        new = set(need)
+        for _, head, tail in split:
+            if head not in known and head not in new:
+                new.add(head)
+                need.append(head)
+            if tail not in tails:
+                more.add(tail)
+        known.update(zip(need, self.spaced(need)))
+        more = list(more)
+        tails.update(zip(more, self.raw(more) if more else ()))
+        known.update([(w, known[head] + tails[tail]) for w, head, tail in split])
+        self.chars += sum(map(len, need)) + sum(map(len, more)) + sum([len(w) for w, _, _ in split]) + 24 * (len(need) + len(more) + len(split))
+        return [known.get(w) if ids is None else ids for w, ids in zip(words, found)]
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers. Distinct words are looked up; their ids are gathered by place."""
+        parts = pc.split_pattern(texts, " ")
+        begin = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        firsts = [coded.dictionary[i].as_py() for i in at[begin]]
+        runs = self.runs(coded.dictionary.to_pylist())
+        at[begin] = len(runs) + np.arange(len(firsts))
+        odd = np.array([r is None for r in runs] + [False] * len(firsts))[at]
+        sizes = np.diff(np.append(begin, len(at)))
+        strange = np.add.reduceat(odd, begin) > 0
+        strange |= (sizes > 1) & np.array([not f or f[-1].isspace() for f in firsts])
+        runs = [r or b"" for r in runs] + self.raw(firsts)
+        length = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
+        start = np.cumsum(length) - length
+        each = length[at]
+        ends = np.cumsum(each)
+        place = np.repeat(start[at] - (ends - each), each)
+        place += np.arange(len(place))
+        ids = memoryview(np.frombuffer(b"".join(runs), "<u4")[place]).cast("B")
+        cuts = [0, *(4 * ends[begin + sizes - 1]).tolist()]
+        whole = texts.filter(pa.array(strange)).to_pylist()
+        again = iter(self.raw(whole)) if whole else iter(())
+        return [next(again) if s else bytes(ids[a:b]) for s, a, b in zip(strange.tolist(), cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -86,16 +136,15 @@ def spaced_encoder(path: str) -> SpacedEncoder:
     return SpacedEncoder(path)
 
 
-def by_size(texts: list[str], most: int = 1_000_000):
-    """Slices of a batch with about ``most`` characters each, so that long texts do not add up in memory."""
-    at = chars = 0
-    for i, t in enumerate(texts):
-        chars += len(t)
-        if chars >= most:
-            yield texts[at:i + 1]
-            at, chars = i + 1, 0
-    if at < len(texts):
-        yield texts[at:]
+def by_size(texts: pa.Array, most: int = 4_000_000):
+    """Slices of a batch with about ``most`` bytes each, so that long texts do not add up in memory."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def token_lengths(docs: DataFrame, path: str, end_id: int, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -105,11 +154,18 @@ def token_lengths(docs: DataFrame, path: str, end_id: int, size: int, id_col: st
     close = int(end_id).to_bytes(4, "little")
 
     def lengths(batches):
+        gc.disable()  # nothing here is cyclic, and each collection would walk all remembered words
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches):
         encoder = spaced_encoder(path)
         full = -1 - (TaskContext.get().partitionId() << 40)
         for batch in batches:
             n, crcs, fulls = [], [], []
-            for texts in by_size(batch.column(1).to_pylist()):
+            for texts in by_size(batch.column(1)):
                 for ids in encoder.batch(texts):
                     ids = memoryview(ids + close)
                     total = len(ids) // 4

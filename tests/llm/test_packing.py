@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
@@ -113,3 +114,20 @@ def test_exact_fit_is_one_full_piece(spark):
 def test_all_pairs_of_lengths():
     for a, b in itertools.product(range(1, 10), repeat=2):
         assert packing.best_fit(np.array([a, b]), 10)[2] == (1 if a + b <= 10 else 2)
+
+
+def test_spaced_words_equal_the_tokenizer(monkeypatch):
+    rng, encoder = random.Random(9), packing.SpacedEncoder(PATH)
+    parts = [" ", "\n", "a", "B", ",", "é", ".", "12", "  ", "'s", "\r", "ª", "×", "🙂", "word", "-", "\u00a0", "\u0301", "ß", "字", "<|endoftext|>"]
+    texts = ["", " ", "  ", "a  b", " a", "a ", "\n", "a \n b"] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(5000)]
+    for chars in (packing.MEMO_CHARS, 500):  # with a memory that is full again and again
+        monkeypatch.setattr(packing, "MEMO_CHARS", chars)
+        for at in range(0, len(texts), 700):
+            assert encoder.batch(pa.array(texts[at:at + 700])) == encoder.raw(texts[at:at + 700])
+
+
+def test_slices_hold_every_text_once():
+    texts = pa.array(["a" * n for n in (5, 0, 30, 1, 1, 1, 9)])
+    got = [t.to_pylist() for t in packing.by_size(texts, 10)]
+    assert [t for part in got for t in part] == texts.to_pylist() and [len(p) for p in got] == [2, 1, 3, 1]
+    assert list(packing.by_size(pa.array([], pa.string()))) == []
