@@ -901,9 +901,9 @@ def stream_velocity(spark, sf):
     root = scratch_path(spark, "velocity")
     rows = _stream_rows(spark, sf).withColumn("arrival", F.timestamp_add("HOUR", F.pmod(F.crc32(F.col("transaction_id")), F.lit(48)).cast("int"), F.col("transaction_ts")))
     _feed(rows, "arrival", TXN_CUTS, root, lambda stream: stateful.velocity_stream(
-        stream, f"{root}/out", f"{root}/state", f"{root}/ckpt", hours=6, delay_seconds=48 * 3600))
-    stateful.velocity_close(spark, f"{root}/out", f"{root}/state", hours=6)
-    return spark.read.parquet(f"{root}/out").select("transaction_id", "customer_id", "transaction_ts", "txn_velocity_1h")
+        stream, f"{root}/out", f"{root}/ckpt", hours=6, delay_seconds=48 * 3600))
+    stateful.velocity_close(spark, f"{root}/out", f"{root}/ckpt", hours=6)
+    return stateful.velocity_rows(spark, f"{root}/out").select("transaction_id", "customer_id", "transaction_ts", "txn_velocity_1h")
 
 
 @query

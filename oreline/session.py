@@ -20,6 +20,9 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # keyed state on local disk with change logs in the checkpoint, not on the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 RUNTIME_DEFAULTS = (
@@ -28,6 +31,8 @@ RUNTIME_DEFAULTS = (
     "spark.sql.adaptive.enabled",
     "spark.sql.adaptive.skewJoin.enabled",
     "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    "spark.sql.streaming.stateStore.providerClass",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
 )
 
 

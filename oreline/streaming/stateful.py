@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..operators.fraud import per_second_counts, trailing_counts
-from ..sources.snapshots import folder_names, remove
-from ..sources.tables import has_files, upsert_table
+from ..sources.tables import upsert_table
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
@@ -23,67 +25,144 @@ def velocity_windows(df: DataFrame, delay: str = "10 minutes", width: str = "1 h
         .select("customer_id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n")
 
 
-def _state(spark, state: str, epoch: int, name: str) -> DataFrame | None:
-    path = f"{state.rstrip('/')}/epoch={epoch}/{name}"
-    return spark.read.parquet(path) if has_files(spark, path) else None
+def plain(value):
+    """Rows read from state as tuples, as they are written."""
+    return tuple(map(plain, value)) if isinstance(value, tuple) else [plain(v) for v in value] if isinstance(value, list) else value
 
 
-def _with_counts(rows: DataFrame, counts: DataFrame, hours: int) -> DataFrame:
-    second = F.col("transaction_ts").cast("timestamp").cast("long")
-    return rows.withColumn("second", second).join(trailing_counts(counts, hours), ["customer_id", "second"], "left").drop("second")
+class TrailingCounts(StatefulProcessor):
+    """Rows of one customer and slot that wait for the watermark, and the per-second counts they need.
 
+    A slot is as wide as the trailing window. Every row counts in its own slot and in the next one, and waits in its own, so the state of
+    a key covers two windows however long or busy the customer is. It is cleared when the watermark leaves the slot.
+    """
 
-def velocity_stream(stream: DataFrame, out: str, state: str, checkpoint: str, hours: int = 1, delay_seconds: int = 0,
-                    late: str | None = None, available_now: bool = True):
+    def __init__(self, rows: T.StructType, width: int):
+        self.fields, self.width = rows, width
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("second", T.LongType()), T.StructField("row", self.fields)]))
+        self.counts = handle.getValueState("counts", "seconds array<long>, n array<long>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        customer, slot = key
+        mark = timerValues.getCurrentWatermarkInMs()
+        passed = mark // 1000 if mark > 0 else -1 << 62  # 0: there is none yet
+        added, waiting = Counter(), []
+        for r in rows:
+            row = tuple(r.row[name] for name in self.fields.names)
+            if customer is None or slot is None:
+                if r.own:
+                    yield self.out(row, None, False)
+            elif r.second <= passed:
+                if r.own:
+                    yield self.out(row, None, True)
+            else:
+                added[r.second] += r.counts
+                if r.own:
+                    waiting.append((r.second, row))
+        if added:
+            counts = Counter(self.known())
+            counts.update(added)
+            self.store(counts)
+            self.handle.registerTimer((slot + 1) * self.width * 1000)
+        if waiting:
+            self.waiting.appendList(waiting)
+            self.handle.registerTimer(min(second for second, _ in waiting) * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() // 1000
+        counts = self.known()
+        seconds = sorted(counts)
+        sums = [0, *accumulate(counts[s] for s in seconds)]
+        left = []
+        for second, row in map(plain, self.waiting.get()):
+            if second <= passed:
+                yield self.out(row, sums[bisect_right(seconds, second)] - sums[bisect_left(seconds, second - self.width)], False)
+            else:
+                left.append((second, row))
+        if (key[1] + 1) * self.width <= passed:
+            self.waiting.clear()
+            self.counts.clear()
+        elif left:
+            self.waiting.put(left)
+            self.handle.registerTimer(min(second for second, _ in left) * 1000)
+        else:
+            self.waiting.clear()
+
+    def out(self, row, count: int | None, late: bool) -> Row:
+        return Row(**dict(zip(self.fields.names, row)), txn_velocity_1h=count, late=late)
+
+    def known(self) -> dict[int, int]:
+        held = self.counts.get()
+        return {} if held is None else dict(zip(held[0], held[1]))
+
+    def store(self, counts: dict[int, int]) -> None:
+        self.counts.update((list(counts), list(counts.values())))
+
+    def close(self) -> None:
+        pass
+
+
+def velocity_stream(stream: DataFrame, out: str, checkpoint: str, hours: int = 1, delay_seconds: int = 0, available_now: bool = True):
     """Exact trailing count for every transaction, by event time.
 
-    A row waits until the watermark (the newest time seen less ``delay_seconds``) has passed it, so rows may come in any order
-    within the delay. Rows that come after the watermark has passed them go to ``late`` (by default next to ``out``), in one folder per
-    batch, and change no count. State is the waiting rows and the per-second counts that later rows can still need, one folder
-    per batch in shared storage; the last two are kept, and a batch that is replayed writes its own anew.
-    ``velocity_close`` gives out what still waits when a stream has ended.
+    A row waits in keyed state until the watermark (the newest time seen less ``delay_seconds``) has passed it, so rows may come in any
+    order within the delay. Rows that come after the watermark has passed their second change no count; they go to ``late_rows``. A row without
+    time or customer has no count and does not wait. Each batch writes its own folder below ``out``, and a batch that is replayed writes
+    it anew. Read them with ``velocity_rows``; ``velocity_close`` gives out what still waits when a stream has ended.
     """
-    width = hours * 3600
-    late = late or f"{out.rstrip('/')}__late"
+    width, names = hours * 3600, stream.columns
+    # times pass through Python as microseconds, whatever its time zone
+    timed = [f.name for f in stream.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    held = T.StructType([T.StructField(f.name, T.LongType() if f.name in timed else f.dataType) for f in stream.schema.fields])
+    row = F.struct(*[(F.unix_micros(f"`{c}`") if c in timed else F.col(f"`{c}`")).alias(c) for c in names]).alias("row")
+    # the watermark column stays within the row: late rows reach the state and are told apart there
+    second = F.col("transaction_ts").cast("timestamp").cast("long")
+    slot = F.floor(F.col("second") / F.lit(width)).cast("long")
+    keyed = stream.withWatermark("transaction_ts", f"{delay_seconds} seconds").select(
+        row, "customer_id", second.alias("second"), F.col("transaction_id").isNotNull().cast("int").alias("counts"))
+    placed = keyed.withColumn("slots", F.when(F.col("second").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(slot, slot + 1))) \
+        .select("row", "customer_id", "second", "counts", F.posexplode("slots").alias("at", "slot")).withColumn("own", F.col("at") == 0).drop("at")
+    schema = T.StructType([*held.fields, T.StructField("txn_velocity_1h", T.LongType()), T.StructField("late", T.BooleanType())])
+    counted = placed.groupBy("customer_id", "slot").transformWithState(TrailingCounts(held, width), schema, "append", "eventTime") \
+        .withColumns({c: F.timestamp_micros(f"`{c}`") for c in timed})
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("late").parquet(f"{out.rstrip('/')}/epoch={epoch}")
+
+    writer = counted.writeStream.foreachBatch(store).outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
-    def handle(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        here = f"{state.rstrip('/')}/epoch={epoch}"
-        batch.write.mode("overwrite").parquet(f"{here}/incoming")
-        incoming = spark.read.schema(batch.schema).parquet(f"{here}/incoming")
-        second = F.col("transaction_ts").cast("timestamp").cast("long")
-        known, waiting, mark = (_state(spark, state, epoch - 1, name) for name in ("counts", "waiting", "mark"))
-        passed = None if mark is None else mark.first()["newest"]
-        on_time = F.lit(True) if passed is None else second.isNull() | (second > passed - delay_seconds)
-        incoming.where(~on_time).write.mode("overwrite").parquet(f"{late.rstrip('/')}/epoch={epoch}")
-        accepted = incoming.where(on_time)
-        newest = max((x for x in (passed, accepted.agg(F.max(second)).first()[0]) if x is not None), default=None)
-        counts = per_second_counts(accepted)
-        if known is not None:
-            counts = counts.unionByName(known).groupBy("customer_id", "second").agg(F.sum("n").alias("n"))
-        rows = accepted if waiting is None else accepted.unionByName(waiting)
-        ready = second.isNull() if newest is None else second.isNull() | (second <= newest - delay_seconds)
-        _with_counts(rows.where(ready), counts, hours).write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
-        rows.where(~ready).write.mode("overwrite").parquet(f"{here}/waiting")
-        kept = counts if newest is None else counts.where(F.col("second") >= newest - delay_seconds - width)
-        kept.write.mode("overwrite").parquet(f"{here}/counts")
-        if newest is not None:
-            spark.range(1).select(F.lit(newest).cast("long").alias("newest")).write.mode("overwrite").parquet(f"{here}/mark")
-        remove(spark, f"{here}/incoming")
-        remove(spark, f"{state.rstrip('/')}/epoch={epoch - 2}")
 
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+def velocity_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The rows ``velocity_stream`` has given out, with their counts."""
+    return spark.read.parquet(out).where("late = 'false'").drop("epoch", "late")
+
 
+def late_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The rows that came too late to be counted."""
+    return spark.read.parquet(out).where("late = 'true'").drop("epoch", "late", "txn_velocity_1h")
 
-def velocity_close(spark: SparkSession, out: str, state: str, hours: int = 1) -> None:
-    """Give out the rows that wait for a watermark which no further row will move; running it again changes nothing."""
-    epochs = [int(n.removeprefix("epoch=")) for n in folder_names(spark, state) if n.startswith("epoch=")]
-    if not epochs:
-        return
-    waiting, counts = _state(spark, state, max(epochs), "waiting"), _state(spark, state, max(epochs), "counts")
-    if waiting is not None and counts is not None:
-        _with_counts(waiting, counts, hours).write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch=closing")
+
+def velocity_close(spark: SparkSession, out: str, checkpoint: str, hours: int = 1) -> None:
+    """Give out the rows that wait for a watermark which no further row will move, read from the state store of the last batch. Running
+    it again changes nothing."""
+    def held(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+    counts = held("counts").select(F.col("key.customer_id").alias("customer_id"), F.col("key.slot").alias("slot"), F.arrays_zip("value.seconds", "value.n").alias("c")) \
+        .select("customer_id", "slot", F.explode("c").alias("c")).select("customer_id", "slot", F.col("c.seconds").alias("second"), F.col("c.n").alias("n"))
+    width = hours * 3600
+    trailing = Window.partitionBy("customer_id", "slot").orderBy("second").rangeBetween(-width, 0)
+    done = counts.withColumn("txn_velocity_1h", F.sum("n").over(trailing)).where(F.floor(F.col("second") / F.lit(width)) == F.col("slot"))
+    waiting = held("waiting").select(F.col("key.customer_id").alias("customer"), F.col("list_element.second").alias("at"), F.col("list_element.row").alias("row"))
+    rows = waiting.join(done, (F.col("customer") == F.col("customer_id")) & (F.col("at") == F.col("second")), "left") \
+        .select("row.*", "txn_velocity_1h", F.lit(False).alias("late"))
+    given = spark.read.parquet(out).schema
+    rows = rows.withColumns({f.name: F.timestamp_micros(f"`{f.name}`") for f in given.fields if isinstance(f.dataType, T.TimestampType)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("late").parquet(f"{out.rstrip('/')}/epoch=closing")
 
 
 def foreach_upsert(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,

@@ -205,34 +205,48 @@ def test_routing_and_folders(spark):
 
 
 def test_stream_velocity_equals_batch(spark, tmp_path, rows):
-    data = [(f"t{i}", f"c{i % 3}", 1000 * i) for i in range(60)]
-    df = spark.createDataFrame(data, "transaction_id string, customer_id string, s int").withColumn("transaction_ts", F.timestamp_seconds("s")).drop("s")
+    data = [(f"t{i}", f"c{i % 3}", 1000 * i, i * 1.5) for i in range(60)] + [("t60", None, 40500, 1.0), ("t61", "c1", None, None), (None, "c1", 40500, 2.0)]
+    df = spark.createDataFrame(data, "transaction_id string, customer_id string, s int, amount double").withColumn("transaction_ts", F.timestamp_seconds("s")).drop("s")
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
     for low, high in ((0, 20000), (20000, 41000), (41000, 10**9)):
-        part = df.where(F.col("transaction_ts").cast("long").between(low, high - 1))
-        part.write.mode("append").parquet(str(tmp_path / "in"))
-        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"),
-                                 str(tmp_path / "state"), str(tmp_path / "ck")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).select("transaction_id", "txn_velocity_1h")
-    want = fraud.with_signals(df).select("transaction_id", "txn_velocity_1h")
-    assert rows(got) == rows(want)
+        part = df.where(F.coalesce(F.col("transaction_ts").cast("long"), F.lit(0)).between(low, high - 1))
+        part.write.mode("append").parquet(source)
+        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(source), out, checkpoint).awaitTermination()
+    stateful.velocity_close(spark, out, checkpoint)
+    got = stateful.velocity_rows(spark, out).select("transaction_id", "amount", "transaction_ts", "txn_velocity_1h")
+    want = fraud.with_signals(df).select("transaction_id", "amount", "transaction_ts", "txn_velocity_1h")
+    assert rows(got) == rows(want) and stateful.late_rows(spark, out).isEmpty()
 
 
 def test_stream_velocity_out_of_order(spark, tmp_path, rows):
     times = [0, 1000, 5000, 2000, 3000, 4000, 9000, 1500]
     df = spark.createDataFrame([(f"t{i}", "c", t) for i, t in enumerate(times)], "transaction_id string, customer_id string, s int") \
         .withColumn("transaction_ts", F.timestamp_seconds("s")).drop("s")
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
     for part in (["t0", "t1", "t2"], ["t3", "t4", "t5"], ["t6"], ["t7"]):
         df.where(F.col("transaction_id").isin(part)).write.mode("append").parquet(str(tmp_path / "in"))
-        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), out, state, str(tmp_path / "ck"),
-                                 delay_seconds=5000).awaitTermination()
+        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), out, checkpoint, delay_seconds=5000).awaitTermination()
     for _ in range(2):
-        stateful.velocity_close(spark, out, state)
-    got = spark.read.parquet(out).select("transaction_id", "txn_velocity_1h")
+        stateful.velocity_close(spark, out, checkpoint)
+    got = stateful.velocity_rows(spark, out).select("transaction_id", "txn_velocity_1h")
     want = fraud.with_signals(df.where("transaction_id <> 't7'")).select("transaction_id", "txn_velocity_1h")
     assert rows(got) == rows(want)
-    assert rows(spark.read.parquet(f"{out}__late"), "transaction_id") == [("t7",)]
-    assert len(list((tmp_path / "state").iterdir())) == 2
+    assert rows(stateful.late_rows(spark, out), "transaction_id") == [("t7",)]
+
+
+def test_stream_velocity_state_follows_the_watermark(spark, tmp_path):
+    """A customer who never stops: state holds the slots the watermark has not left, not the whole past."""
+    df = spark.range(4000).select(F.concat(F.lit("t"), "id").alias("transaction_id"), F.lit("hot").alias("customer_id"), F.timestamp_seconds(F.col("id") * 60).alias("transaction_ts"))
+    out, checkpoint, held = str(tmp_path / "out"), str(tmp_path / "ck"), []
+    for low in range(0, 4000, 1000):
+        df.where(F.col("transaction_ts").cast("long").between(low * 60, (low + 1000) * 60 - 1)).write.mode("append").parquet(str(tmp_path / "in"))
+        stateful.velocity_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), out, checkpoint, delay_seconds=600).awaitTermination()
+        counts, waiting = (spark.read.format("statestore").option("stateVarName", n).load(checkpoint) for n in ("counts", "waiting"))
+        held.append((counts.agg(F.sum(F.size("value.seconds"))).first()[0], waiting.count()))
+    assert all(seconds <= 3 * 60 and left <= 11 for seconds, left in held)
+    stateful.velocity_close(spark, out, checkpoint)
+    got = {r.transaction_id: r.txn_velocity_1h for r in stateful.velocity_rows(spark, out).collect()}
+    assert got == {f"t{i}": min(i, 60) + 1 for i in range(4000)}
 
 
 def test_dimension_lookup_by_time(spark, rows):
