@@ -23,7 +23,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import keep_table
-from .bpe import MEMO_CHARS
 from .columns import field, pick
 
 #: Pieces per group (memory of one task) and dealings at most.
@@ -31,6 +30,8 @@ GROUP_ITEMS = 131_072
 ROUNDS = 3
 #: Letters of every Unicode version, before an ASCII character that is none.
 HEAD = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\\x00-@[-`{-\\x7f])")
+#: Words encoded at once, bytes of texts looked up at once, characters of remembered words.
+ENCODED, SLICE, MEMO_CHARS = 4096, 1_500_000, 8_000_000
 #: Bits of a sequence number that count sequences within a group.
 WITHIN = 1 << 36
 
@@ -62,6 +63,8 @@ class SpacedEncoder:
         """Ids of a space and each word, encoded as one text: no other space is in it, so each token that begins with one begins a word."""
         if not words:
             return []
+        if len(words) > ENCODED:  # an encoding takes far more memory than its ids
+            return [ids for at in range(0, len(words), ENCODED) for ids in self.spaced(words[at:at + ENCODED])]
         flat = self.raw([" " + " ".join(words)])[0]
         cuts = (4 * np.flatnonzero(self.begins[np.frombuffer(flat, "<u4")])).tolist()
         if len(cuts) != len(words):
@@ -136,7 +139,7 @@ def spaced_encoder(path: str) -> SpacedEncoder:
     return SpacedEncoder(path)
 
 
-def by_size(texts: pa.Array, most: int = 4_000_000):
+def by_size(texts: pa.Array, most: int = SLICE):
     """Slices of a batch with about ``most`` bytes each, so that long texts do not add up in memory."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
