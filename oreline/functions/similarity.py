@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -79,3 +83,61 @@ def jaro_winkler(a: Column, b: Column) -> Column:
     differ = usable & (a != b)
     asked = _jaro_winkler(F.when(differ, a), F.when(differ, b))
     return F.when(usable & (a == b), F.lit(1.0)).when(differ, asked).otherwise(F.lit(0.0))
+
+
+# Keys that similar names share. With m characters matched, Jaro similarity is at most (m / n + m / l + 1) / 3 for lengths n and l, and a
+# common beginning of p characters adds p tenths of what is missing. So a similarity and a beginning ask for a number of shared
+# characters, and sorting characters by rarity, the first few of both names must share as many as one cares to ask for.
+
+#: Below this the prefix bonus does not apply and too few shared characters follow.
+PREFIX_FROM = 0.7
+#: Shared characters a key is made of, and keys per name and length of the other name, at most.
+SHARED, KEYS = 8, 60
+_COMMON = " aeinorstlhdcumpgbykvfwzjxq"  # frequent characters of names first; any order is right
+
+
+def least_jaro(similarity: float, begin: int) -> float:
+    """The smallest Jaro similarity with which names that begin with so many equal characters (four count at most) reach a Jaro-Winkler
+    similarity above ``PREFIX_FROM``."""
+    return max(PREFIX_FROM, (similarity - begin / 10) / (1 - begin / 10))
+
+
+def shared_needed(n: int, other: int, jaro: float) -> int:
+    """Characters two names of these lengths must have in common; more than the shorter has if it can't be."""
+    return max(1, math.ceil((3 * jaro - 1) * n * other / (n + other) - 1e-9))
+
+
+def rare_first(name: str) -> list[str]:
+    """Characters with their occurrence, rarest first: a multiset as a set."""
+    seen: Counter = Counter()
+    marked = []
+    for c in name:
+        seen[c] += 1
+        marked.append((-_COMMON.find(c) if c in _COMMON else -len(_COMMON), -seen[c], c))
+    return [f"{c}{-k}" for _, k, c in sorted(marked)]
+
+
+def keys_of_name(name: str, similarity: float) -> list[str]:
+    """Keys of a name: any other name that is similar enough shares one. Names without characters have none, they are similar to nothing."""
+    n, out, rare = len(name), [], rare_first(name)
+    for begin in range(min(4, n) + 1 if n else 0):
+        jaro = least_jaro(similarity, begin)
+        short = 3 * jaro - 2  # the other length over this one, at least
+        for other in range(max(1, begin, math.ceil(short * n - 1e-9)), math.floor(n / short + 1e-9) + 1):
+            needed = shared_needed(n, other, jaro)
+            if needed > min(n, other):
+                continue
+            longer = max(n, other) - needed
+            shared = max(k for k in range(1, min(needed, SHARED) + 1) if k == 1 or math.comb(longer + k, k) <= KEYS)
+            head = f"{begin}{name[:begin]}:{min(n, other)}:{max(n, other)}:"
+            out += [head + "|".join(c) for c in combinations(rare[:n - needed + shared], shared)]
+    return out
+
+
+def name_keys(name: Column, similarity: float) -> Column:
+    """array<long>: hashes of ``keys_of_name``; none for a NULL name."""
+    @F.pandas_udf("array<string>")
+    def keys(names: pd.Series) -> pd.Series:
+        return names.map(lambda name: keys_of_name(name, similarity) if name else [])
+
+    return F.transform(keys(name), lambda key: F.xxhash64(key))

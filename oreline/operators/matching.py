@@ -21,7 +21,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.similarity import jaro_winkler
+from ..functions.similarity import PREFIX_FROM, jaro_winkler, name_keys
 
 # Weight of each piece of evidence; the sum is the top score.
 EXACT = {"email": 5, "phone": 4, "soundex": 2, "postal": 1, "country": 1}
@@ -31,6 +31,9 @@ MATCH_THRESHOLD = 0.75
 AGE_UNKNOWN = 99
 AGE_TOLERANCE = 2
 
+#: Profiles of a group from which on names are compared by shared keys instead of all with all.
+LEAST_GROUP = 4096
+
 # Blocking keys by name, the field each one equals, and its strength.
 BLOCKS = {"block_key_1": "k1", "block_key_2": "email", "block_key_3": "phone"}
 STRENGTH = {"block_key_1": 1, "block_key_2": 3, "block_key_3": 2}
@@ -140,26 +143,63 @@ def _with_signature_keys(df: DataFrame, signatures: list[tuple[str, ...]], side:
         .where("_entry.key is not null").select("*", "_entry.sig", "_entry.key").drop("_entry")
 
 
+def name_need(threshold: float, weights: Weights, agreed: Iterable[str]) -> float:
+    """Name similarity a pair needs if it agrees on exactly these fields."""
+    pool = {**weights.exact, **weights.fuzzy}
+    return (threshold * weights.max_score - sum(pool[c] for c in set(agreed) if c in pool)) / pool["name"] if pool["name"] else 0.0
+
+
+def split_signatures(threshold: float, weights: Weights) -> tuple[list[tuple[str, ...]], list[tuple[str, ...]], float]:
+    """(strong, weak, need): field sets whose agreement leaves little to the name, those that leave much, and the similarity of the
+    names that every pair without a strong set needs at least."""
+    fields = [c for c in {**weights.exact, **weights.fuzzy} if c != "name"]
+    sets = [frozenset(c) for size in range(len(fields) + 1) for c in combinations(fields, size)]
+    needs = {c: name_need(threshold, weights, c) for c in sets}
+    strict = [n for n in needs.values() if PREFIX_FROM < n <= 1 + 1e-9]
+    if not strict:
+        return threshold_signatures(threshold, weights), [], 0.0
+    blocked = {c | {block} for c, n in needs.items() if n <= PREFIX_FROM for block in BLOCKS.values()}
+    order = ["email", "phone", "k1", "name", "soundex", "postal", "country", "age"]
+    smallest = sorted((tuple(sorted(c, key=order.index)) for c in blocked if not any(other < c for other in blocked)), key=lambda c: (len(c), c))
+    return smallest, [c for c in threshold_signatures(threshold, weights) if c not in smallest], min(strict) - 1e-6
+
+
 def candidate_pairs(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weights: Weights = Weights(),
-                    skip_certain: bool = False) -> DataFrame:
+                    skip_certain: bool = False, least_group: int | None = None) -> DataFrame:
     """Profile pairs of different sources that are blocked together and can reach ``threshold``.
 
     One equi-join on (signature, key). A pair is made under the first signature it satisfies only, so
     no distinct is needed. ``threshold=0`` gives plain blocking on the three keys; ``skip_certain``
     leaves out, inside the join, the pairs that ``certain_links`` stands for.
+
+    With ``least_group``, where a signature leaves much to the name, profiles of a group of that size or more meet only if their names
+    share a key of ``name_keys``, as all names that are similar enough do: most pairs that can't match for their names are never made.
     """
-    signatures = threshold_signatures(threshold, weights)
-    left, right = _sides(nodes)
-    left = _with_signature_keys(left, signatures, "_a", spread=True)
-    right = _with_signature_keys(right, signatures, "_b").withColumnsRenamed({"sig": "_sig", "key": "_key"})
-    on = [F.col("sig") == F.col("_sig"), F.col("key") == F.col("_key"), F.col("id_a") < F.col("id_b"),
-          F.col("source_a") != F.col("source_b")]
+    strong, weak, need = (threshold_signatures(threshold, weights), [], 0.0) if least_group is None else split_signatures(threshold, weights)
+    signatures = [*strong, *weak]
+    sides = _sides(nodes)
+    left, right = _with_signature_keys(sides[0], signatures, "_a", spread=True), _with_signature_keys(sides[1], signatures, "_b")
+    rest: list[Column] = []
     for position in range(1, len(signatures)):
         earlier = [~_close(s) for s in signatures[:position]]
-        on.append((F.col("sig") != position) | reduce(and_, earlier))
+        rest.append((F.col("sig") != position) | reduce(and_, earlier))
     if skip_certain:
-        on += [~_agree(s) for s in threshold_signatures(threshold, weights, certain=True)]
-    return with_block_sources(left.join(right, reduce(and_, on)).drop("sig", "key", "_sig", "_key"))
+        rest += [~_agree(s) for s in threshold_signatures(threshold, weights, certain=True)]
+    across = (F.col("id_a") < F.col("id_b")) & (F.col("source_a") != F.col("source_b"))
+    if not weak:
+        return with_block_sources(left.join(right, ["sig", "key"]).where(reduce(and_, rest, across)).drop("sig", "key"))
+
+    crowded = right.where(F.col("sig") >= len(strong)).groupBy("sig", "key").agg(F.count("*").alias("_n")) \
+        .where(F.col("_n") >= least_group).select("sig", "key", F.lit(True).alias("_crowded"))
+    left, right = (side.join(crowded, ["sig", "key"], "left") for side in (left, right))
+    usual = left.where("_crowded is null").drop("_crowded").join(right.where("_crowded is null").drop("_crowded"), ["sig", "key"]) \
+        .where(reduce(and_, rest, across)).drop("sig", "key")
+    # of a crowded group only ids and hashed keys meet; a pair may share several
+    met_a, met_b = (side.where("_crowded").select("sig", "key", f"id_{x}", f"source_{x}", F.explode(name_keys(F.col(f"name_{x}"), need)).alias("_shared"))
+                    for side, x in ((left, "a"), (right, "b")))
+    pairs = met_a.join(met_b, ["sig", "key", "_shared"]).where(across).select("sig", "id_a", "id_b").distinct()
+    close = pairs.join(sides[0], "id_a").join(sides[1], "id_b").where(reduce(and_, rest)).drop("sig")
+    return with_block_sources(usual.unionByName(close))
 
 
 def certain_links(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weights: Weights = Weights()) -> DataFrame:

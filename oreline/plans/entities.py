@@ -16,14 +16,15 @@ from ..session import keep_table
 ENTITY_PREFIX = "ent_"
 
 
-def match_links(customers: DataFrame, threshold: float = M.MATCH_THRESHOLD, weights: M.Weights = M.Weights()) -> DataFrame:
+def match_links(customers: DataFrame, threshold: float = M.MATCH_THRESHOLD, weights: M.Weights = M.Weights(),
+                least_group: int = M.LEAST_GROUP) -> DataFrame:
     """Scored profile pairs that match and together connect every entity.
 
     All uncertain matches are here, and of the certain ones as many as connect the same profiles.
     """
     # read several times below: kept as a table rather than grouped again for each join
     nodes = keep_table(M.profiles(M.with_profile_key(customers)), "profiles")
-    open_pairs = M.candidate_pairs(nodes, threshold, weights, skip_certain=True)
+    open_pairs = M.candidate_pairs(nodes, threshold, weights, skip_certain=True, least_group=least_group)
     sure = M.certain_links(nodes, threshold, weights)
     return M.matched(M.score_pairs(sure.unionByName(open_pairs), threshold, weights))
 

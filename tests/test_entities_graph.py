@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from oreline.functions.similarity import jaro_winkler_batch
+from oreline.functions.similarity import jaro_winkler_batch, keys_of_name
 from oreline.operators import matching as M
 from oreline.operators.components import connected_components
 from oreline.operators.pagerank import pagerank, undirected
@@ -96,6 +96,67 @@ def test_entities_equal_brute_force(spark, threshold):
     assert ratio.candidate_pairs == len(scored)
 
 
+def call_centre(n, seed=7):
+    """One e-mail, one phone and one country for everybody; names, postal codes and ages differ."""
+    rnd = random.Random(seed)
+    firsts = ["maria", "john", "wei", "fatima", "olga", "juan", "priya", "kwame", "yuki", "ahmed", "chloe", "sven", "ines", "tariq", "zoe", "bogdan"]
+    lasts = ["smith", "garcia", "mueller", "okafor", "novak", "chen", "rossi", "dubois", "haddad", "kowalski", "jensen", "silva", "obrien", "nguyen", "fischer", "moreau"]
+    out = []
+    for i in range(n):
+        name = f"{rnd.choice(firsts)} {rnd.choice('abcdefghijklmnoprstvw')} {rnd.choice(lasts)}{rnd.choice(['', 'ova', 'son', 'ez'])}"
+        at = rnd.randrange(len(name))
+        name = name[:at] + rnd.choice(["", "x", name[at] * 2]) + name[at + 1:] if rnd.random() < 0.5 else name
+        out.append((f"id{i:04}", ["app", "pay"][i % 2], name, "desk@x.org", "555", None, f"P{i}", None, None, "US"))
+    return out
+
+
+def test_call_centre_pairs_follow_similar_names(spark):
+    data = call_centre(400)
+    nodes = M.profiles(M.with_profile_key(frame(spark, data)))
+    every = M.candidate_pairs(nodes, skip_certain=True)
+    few = M.candidate_pairs(nodes, skip_certain=True, least_group=64)
+    pairs, made = every.count(), few.count()
+    want = {(r.id_a, r.id_b) for r in M.matched(M.score_pairs(every)).collect()}
+    got = [(r.id_a, r.id_b) for r in M.matched(M.score_pairs(few)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    assert made <= len(want) + pairs / 20, (pairs, made, len(want))
+
+
+@pytest.mark.parametrize("threshold, least_group", [(0.75, 2), (0.6, 5)])
+def test_entities_by_shared_name_keys_equal_brute_force(spark, threshold, least_group):
+    data = people(5, 200) + [(f"cc{i}", *row[1:]) for i, row in enumerate(call_centre(60))]
+    expected = closure([d[0] for d in data], [(a, b) for a, b, p in brute_pairs(data) if p >= threshold])
+    df = frame(spark, data)
+    links = entities.match_links(df, threshold, least_group=least_group)
+    assert {r.customer_id: r.component for r in entities.resolve(df, "2024-01-01", threshold, links=links).collect()} == expected
+    assert entities.matched_pair_count(df, links, threshold).first()[0] == sum(p >= threshold for *_, p in brute_pairs(data))
+
+
+@pytest.mark.parametrize("similarity", [0.72, 0.8, 11 / 12, 0.95])
+def test_similar_names_share_a_key(similarity):
+    rnd = random.Random(2)
+    letters = "abcdeinorst zé"
+    names = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 15))) for _ in range(4000)]
+    others = []
+    for name in names:
+        chars = list(name)
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(chars) + 1)
+            kind = rnd.randrange(3)
+            if kind == 0 and len(chars) > 1:
+                chars.pop(min(at, len(chars) - 1))
+            elif kind == 1:
+                chars.insert(at, rnd.choice(letters))
+            elif len(chars) > 1:
+                at = min(at, len(chars) - 2)
+                chars[at], chars[at + 1] = chars[at + 1], chars[at]
+        others.append("".join(chars))
+    close = jaro_winkler_batch(pd.Series(names), pd.Series(others)) >= similarity
+    assert close.sum() > 500
+    assert all(set(keys_of_name(a, similarity)) & set(keys_of_name(b, similarity)) for a, b, c in zip(names, others, close) if c)
+    assert keys_of_name("", similarity) == []
+
+
 def test_certain_links_stay_linear(spark):
     """A group that agrees on every exact field gives one link per profile, not all pairs."""
     data = [(f"id{i:04}", ["app", "pay"][i % 2], f"name {i}", "hot", "hot", "N000", "P1", "namP1", i, "US") for i in range(300)]
