@@ -513,6 +513,11 @@ add("transactions_compat", "SELECT transaction_id, txn_count_30d, flag_intl_high
     + _flagged("(SELECT * FROM x_ct WHERE ok3)", "x_bl", True)
     + ") QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingest_ts DESC NULLS LAST) = 1")
 add("fraud_baseline", "SELECT * FROM x_bl", "avg_amount_30d stddev_amount_30d")
+add("fraud_baseline_from_days", """SELECT customer_id, CAST(total AS DOUBLE) / k AS avg_amount_30d,
+ CASE WHEN k > 1 THEN sqrt(CAST(k * squares - total * total AS DOUBLE) / (CAST(k AS DOUBLE) * (k - 1))) END AS stddev_amount_30d, n AS txn_count_30d
+FROM (SELECT customer_id, count(*) AS n, count(amount) AS k, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total,
+  CAST(sum(CAST(amount AS DECIMAL(9,2)) * CAST(amount AS DECIMAL(9,2))) AS DECIMAL(18,4)) AS squares
+ FROM x_ht WHERE transaction_ts >= TIMESTAMP '2023-12-29' AND transaction_ts < TIMESTAMP '2024-01-28' GROUP BY 1)""", "avg_amount_30d stddev_amount_30d")
 add("txn_velocity", f"SELECT DISTINCT customer_id, CAST(epoch(transaction_ts) AS BIGINT) AS second, {_velocity(6 * 3600)} AS txn_velocity_1h FROM x_ht")
 add("transactions_run_metrics", """
 SELECT *, round(flagged_count / raw_count * 100, 2) AS flag_rate_pct FROM (
@@ -602,6 +607,9 @@ FROM x_md GROUP BY 1""", "monthly_revenue new_customer_rate_pct", "month")
 add("monthly_active_customers", "SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(DISTINCT customer_id) AS active_customers FROM x_go GROUP BY 1",
     "", "month")
 
+add("monthly_active_rollup", "SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(DISTINCT customer_id) AS active_customers FROM x_go GROUP BY 1",
+    "", "month")
+
 # ---- entity resolution ----------------------------------------------------------------------------
 
 add("er_source_systems", "SELECT DISTINCT source_system FROM x_sc")
@@ -624,6 +632,7 @@ add("er_candidate_pairs", f"SELECT id_a, id_b, n_a, n_b, block_sources, block_st
 add("er_scored_pairs", f"SELECT {_SCORES} FROM x_scored WHERE {_REACHABLE}", _SCORE_NUM)
 add("er_matches", f"""SELECT {_SCORES} FROM x_scored WHERE is_match AND (NOT ({_SURE}) OR (id_a, id_b) IN (SELECT (id_a, id_b) FROM x_sure))""", _SCORE_NUM)
 add("er_components", "SELECT id, coalesce(component, id) AS component FROM x_node LEFT JOIN x_comp_lo USING (id)")
+add("er_components_two_days", "SELECT id, coalesce(component, id) AS component FROM x_node LEFT JOIN x_comp_lo USING (id)")
 add("er_resolved", "SELECT * FROM x_emap", "er_confidence", "er_run_date er_updated_at")
 add("er_metrics", f"""SELECT *, total_customers * total_customers / 2.0 / nullif(candidate_pairs, 0) AS reduction_factor,
  CAST((SELECT sum(n_a * n_b) FROM x_scored WHERE is_match) AS BIGINT) AS matched_pairs,
@@ -739,6 +748,19 @@ add("order_calendar", f"""SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_sk,
  'Q' || CAST({_FQ.format(d='d')} AS VARCHAR) AS fiscal_label FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)""", "", "full_date")
 add("dim_customer", "SELECT * FROM d_cust", "", "registration_ts valid_from valid_to")
 add("dim_merchant", "SELECT * FROM d_merch", "", "valid_from valid_to")
+_PATHS = """l AS (SELECT * FROM (SELECT o_orderkey AS link, lag(o_custkey) OVER (PARTITION BY date_trunc('month', o_orderdate) ORDER BY o_orderdate, o_orderkey) AS src,
+  o_custkey AS dst FROM orders WHERE o_orderpriority = '1-URGENT') WHERE src IS NOT NULL),
+steps AS (SELECT src AS a, dst AS b, link FROM l UNION ALL SELECT dst, src, link FROM l WHERE src <> dst),
+p(start, node, hops, used) AS (SELECT c_custkey, c_custkey, 0, CAST([] AS BIGINT[]) FROM customer
+  UNION ALL SELECT start, b, hops + 1, list_append(used, link) FROM p JOIN steps ON a = node WHERE hops < 3 AND NOT list_contains(used, link))"""
+add("customer_paths", f"WITH RECURSIVE {_PATHS} SELECT start, hops, count(*) AS n_paths, count(DISTINCT node) AS n_ends FROM p WHERE hops > 0 GROUP BY 1, 2")
+add("customers_reached", f"""WITH RECURSIVE {_PATHS} SELECT start, hops, count(*) AS n_reached FROM (SELECT start, node, min(hops) AS hops FROM p WHERE node <> start GROUP BY 1, 2)
+ GROUP BY 1, 2""")
+add("orders_as_of", """WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS placed_ts FROM orders),
+v AS (SELECT c_custkey, CAST(DATE '1995-06-01' + CAST(c_custkey * 17 % 500 + i * 600 AS INT) AS TIMESTAMP) AS since, c_mktsegment || '-' || i AS segment
+  FROM customer, (SELECT unnest([0, 1, 2]) AS i)),
+w AS (SELECT o_orderpriority AS p, max(placed_ts) AS since, count(*) AS level FROM o GROUP BY o_orderpriority, date_trunc('month', placed_ts))
+SELECT o.*, v.segment, w.level FROM o ASOF LEFT JOIN v ON o_custkey = c_custkey AND placed_ts >= v.since ASOF LEFT JOIN w ON o_orderpriority = p AND placed_ts >= w.since""", "", "placed_ts")
 add("fact_orders", "SELECT * FROM f_orders", _MONEY_O, "order_ts loaded_at")
 add("fact_transactions", "SELECT * FROM f_txns", "amount", "transaction_ts loaded_at")
 add("orders_by_fiscal_quarter", f"""SELECT {_FY.format(d='order_date')} AS fiscal_year, {_FQ.format(d='order_date')} AS fiscal_quarter, count(*) AS orders,

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from oreline import schemas as S
 from oreline.functions import calendar as cal, normalise as norm
-from oreline.operators import filters, fraud, matching as M, merge, quality as Q, validate as V, windows
-from oreline.operators.components import connected_components
+from oreline.operators import asof, bitmaps, filters, fraud, matching as M, merge, paths, quality as Q, validate as V, windows
+from oreline.operators.components import connected_components, extend_components, merge_components
 from oreline.operators.dedupe import latest_per_key
 from oreline.operators.pagerank import pagerank, undirected
 from oreline.plans import entities, graph as G, marts, serving, silver, star, views
-from oreline.session import adopt, scratch_path
+from oreline.session import adopt, keep_table, scratch_path
 from oreline.sources import manifest, publish, tables as io
 from oreline.streaming import landing, stateful
 
@@ -239,6 +239,19 @@ def fraud_baseline(spark, sf):
     return fraud.baseline(txn_history(spark, sf), X.BASELINE_AS_OF)
 
 
+LATE_BASELINE = "2024-01-28"
+
+
+@query
+def fraud_baseline_from_days(spark, sf):
+    """Customers' days stored once, one row in seven arriving later; thirty days merged for a date near the end."""
+    late = F.pmod(F.crc32(F.col("transaction_id")), F.lit(7)) == 0
+    history = txn_history(spark, sf)
+    stored = keep_table(fraud.daily_partials(history.where(~late)), "days")
+    stored = keep_table(fraud.merged_partials(stored, fraud.daily_partials(history.where(late))), "days")
+    return fraud.baseline_from_partials(stored, LATE_BASELINE)
+
+
 @query
 def txn_velocity(spark, sf):
     return fraud.velocity_table(txn_history(spark, sf), hours=6)
@@ -429,6 +442,16 @@ def monthly_active_customers(spark, sf):
     return views.exact_active_customers(g_orders(spark, sf))
 
 
+@query
+def monthly_active_rollup(spark, sf):
+    """Months from daily bitmaps over dense customer numbers."""
+    orders = g_orders(spark, sf).where("customer_id is not null")
+    numbered = orders.select("order_date", "customer_id").join(bitmaps.dense_numbers(orders, "customer_id"), "customer_id")
+    daily = keep_table(bitmaps.distinct_bitmaps(numbered, ["order_date"]), "bitmaps")
+    months = bitmaps.merged_bitmaps(daily, [F.date_trunc("month", "order_date").cast("date").alias("month")])
+    return bitmaps.distinct_counts(months, ["month"], "active_customers")
+
+
 # ---- entity resolution ----------------------------------------------------------------------------
 
 @query
@@ -477,6 +500,19 @@ def er_components(spark, sf):
     return connected_components(nodes, links.select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")))
 
 
+@query
+def er_components_two_days(spark, sf):
+    """Components of the first day's links, then of the second day's by relabelling what these touch."""
+    nodes = keep_table(_nodes(spark, sf).select("id"), "nodes")
+    links = keep_table(entities.match_links(er_customers(spark, sf), LOW_THRESHOLD).select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")), "links")
+    first_day = F.pmod(F.crc32(F.concat("src", "dst")), F.lit(5)) < 3
+    known = keep_table(connected_components(nodes.where(F.pmod(F.crc32("id"), F.lit(4)) > 0), links.where(first_day)), "components")
+    linked = links.where(first_day).select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    today = links.where(~first_day).unionByName(links.where(first_day).join(linked.join(known, "id", "left_anti"), F.col("id").isin(F.col("src"), F.col("dst")), "left_semi"))
+    whole = merge_components(known, extend_components(known, today))
+    return nodes.join(whole, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
 @query
 def er_resolved(spark, sf):
     return entities.resolve(er_customers(spark, sf), X.ORDERS_AS_OF)
@@ -639,8 +675,41 @@ def search_customers(spark, sf):
     return G.search_customers(people, ["Garcia", "jose", "org"])
 
 
+def urgent_links(spark, sf):
+    """Customers whose urgent orders follow each other within a month."""
+    orders = X.tables(spark, sf)["orders"].where("o_orderpriority = '1-URGENT'")
+    within = Window.partitionBy(F.date_trunc("month", "o_orderdate")).orderBy("o_orderdate", "o_orderkey")
+    return orders.select(F.lag("o_custkey").over(within).alias("src"), F.col("o_custkey").alias("dst"))
+
+
+@query
+def customer_paths(spark, sf):
+    people = X.tables(spark, sf)["customer"].select(F.col("c_custkey").alias("id"))
+    return paths.link_paths(urgent_links(spark, sf), people, 3).groupBy("start", "hops").agg(
+        F.count("*").alias("n_paths"), F.count_distinct("end").alias("n_ends"))
+
+
+@query
+def customers_reached(spark, sf):
+    people = X.tables(spark, sf)["customer"].select(F.col("c_custkey").alias("id"))
+    return paths.reached(urgent_links(spark, sf), people, 3).groupBy("start", "hops").agg(F.count("*").alias("n_reached"))
+
+
 # ---- star schema ----------------------------------------------------------------------------------
 
+@query
+def orders_as_of(spark, sf):
+    """Orders with their customer's version of three, and the list price level of their priority, which few keys share."""
+    t = X.tables(spark, sf)
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("placed_ts"))
+    version = t["customer"].select("c_custkey", "c_mktsegment", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("i"))
+    begin = F.date_add(F.lit("1995-06-01").cast("date"), (F.col("c_custkey") * 17 % 500 + F.col("i") * 600).cast("int")).cast("timestamp")
+    people = version.select(F.col("c_custkey").alias("o_custkey"), begin.alias("since"), F.concat_ws("-", "c_mktsegment", "i").alias("segment"))
+    levels = orders.groupBy("o_orderpriority", F.date_trunc("month", "placed_ts").alias("month")).agg(F.max("placed_ts").alias("since"), F.count("*").alias("level"))
+    done = asof.asof_join(orders, people, "o_custkey", "placed_ts", "since", ["segment"])
+    return asof.asof_join(done, levels, "o_orderpriority", "placed_ts", "since", ["level"])
+
+
 @query
 def order_calendar(spark, sf):
     days = X.tables(spark, sf)["orders"].select(F.to_date("o_orderdate").alias("full_date")).distinct()

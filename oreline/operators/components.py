@@ -49,3 +49,28 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     forest = star_forest(edges.select("src", "dst")).select(F.col("src").alias("id"), F.col("dst").alias("component"))
     return vertices.select("id").distinct().join(forest, "id", "left") \
         .select("id", F.coalesce("component", "id").alias("component"))
+
+
+def extend_components(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component, previous): what new ``edges`` (src, dst) change in ``known`` (id, component).
+
+    Only ids that are new or whose component gets a smaller name are given. The new edges are looked up in the stored
+    components and joined among component names, so the work follows the new edges, and the rounds never touch stored members;
+    those of renamed components are found by one join. Applied to ``known``, the result equals components of all edges.
+    """
+    new = edges.where("src is not null and dst is not null").select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    placed = cut_lineage(new.join(known, "id", "left").select("id", F.col("component").alias("previous"), F.coalesce("component", "id").alias("at")))
+    between = edges.join(placed.select(F.col("id").alias("src"), F.col("at").alias("_src")), "src") \
+        .join(placed.select(F.col("id").alias("dst"), F.col("at").alias("_dst")), "dst") \
+        .select(F.col("_src").alias("src"), F.col("_dst").alias("dst"))
+    forest = star_forest(between).select(F.col("src").alias("at"), F.col("dst").alias("renamed"))
+    # an id that nobody knew can be a component's name only for itself, so members are looked up by old names
+    members = known.join(forest, F.col("component") == F.col("at")).select("id", F.col("renamed").alias("component"), F.col("component").alias("previous"))
+    fresh = placed.where("previous is null").join(forest, "at", "left").select("id", F.coalesce("renamed", "id").alias("component"), "previous")
+    return members.unionByName(fresh)
+
+
+def merge_components(known: DataFrame, changed: DataFrame) -> DataFrame:
+    """``known`` (id, component) after the changes of ``extend_components``."""
+    now = changed.select("id", F.col("component").alias("_now"))
+    return known.join(now, "id", "full").select("id", F.coalesce("_now", "component").alias("component"))

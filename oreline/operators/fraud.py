@@ -74,6 +74,38 @@ def baseline(history: DataFrame, as_of: AsOf, days: int = 30, bounded: bool = Tr
     )
 
 
+def daily_partials(history: DataFrame) -> DataFrame:
+    """(customer_id, day, n, total, squares): what a baseline needs of a customer's day, exact and mergeable."""
+    money = F.col("amount").cast("decimal(18,2)")
+    return history.where("transaction_ts is not null").groupBy("customer_id", F.to_date("transaction_ts").alias("day")).agg(
+        F.count("*").alias("n"), F.count("amount").alias("amounts"), F.sum(money).cast("decimal(28,2)").alias("total"),
+        F.sum((money * money).cast("decimal(36,4)")).cast("decimal(38,4)").alias("squares"))
+
+
+def merged_partials(stored: DataFrame, more: DataFrame) -> DataFrame:
+    """Partials of all days; late rows of a stored day add to it."""
+    return stored.unionByName(more).groupBy("customer_id", "day").agg(
+        F.sum("n").alias("n"), F.sum("amounts").alias("amounts"), F.sum("total").cast("decimal(28,2)").alias("total"),
+        F.sum("squares").cast("decimal(38,4)").alias("squares"))
+
+
+def baseline_from_partials(partials: DataFrame, as_of: AsOf, days: int = 30, bounded: bool = True) -> DataFrame:
+    """``baseline`` from stored days: a run reads one row per customer and day of the window. Sums are decimals, so neither the order of
+    rows nor the number of tasks shows in the deviation."""
+    window = partials.where(F.col("day") >= F.date_sub(at_date(as_of), days))
+    if bounded:
+        window = window.where(F.col("day") < at_date(as_of))
+    sums = window.groupBy("customer_id").agg(
+        F.sum("n").alias("n"), F.sum("amounts").alias("k"), F.sum("total").cast("decimal(38,2)").alias("total"), F.sum("squares").cast("decimal(38,4)").alias("squares"))
+    k, total = F.col("k"), F.col("total")
+    # k * squares - total * total is the exact k * (k - 1) fold of the variance
+    spread = (k.cast("decimal(18,0)") * F.col("squares")).cast("decimal(38,4)") - (total * total).cast("decimal(38,4)")
+    return sums.select(
+        "customer_id", F.try_divide(total.cast("double"), k.cast("double")).alias("avg_amount_30d"),
+        F.when(k > 1, F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / (k.cast("double") * (k - 1).cast("double")))).alias("stddev_amount_30d"),
+        F.col("n").alias("txn_count_30d"))
+
+
 def with_signals(txns: DataFrame, base: DataFrame | None = None, hours: int = 1) -> DataFrame:
     """Attach velocity and baseline to each transaction in one shuffle of the transactions.
 

@@ -94,7 +94,9 @@ def check_references(spark: SparkSession, sql: str, tables: Collection[str]) ->
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
     own = {name.strip().lower() for names in re.findall(r"CTE \[(.*?)\]", plan) for name in names.split(",")}
     read = {name.lower() for name in re.findall(r"UnresolvedRelation \[(.*?)\]", plan)}
-    outside = read - own - {t.lower() for t in tables}
+    # a name of a WITH counts in its own scope only: one that a view or table outside has as well could stand for either
+    shadowing = {name for name in own - {t.lower() for t in tables} if spark.catalog.tableExists(name)}
+    outside = (read - own - {t.lower() for t in tables}) | shadowing
     if outside or re.search("UnresolvedTableValuedFunction|UnresolvedTVF|UnresolvedIdentifier|TableFunction", plan):
         raise ValueError(f"only the given tables may be read: {sorted(outside)}")
     text = re.sub(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).upper()

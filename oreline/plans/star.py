@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import AsOf, fiscal_quarter, fiscal_year
+from ..operators.asof import asof_join
 from ..operators.merge import scd2_apply, surrogate_key
 from ..schemas import MONEY
 
@@ -99,11 +100,8 @@ def lookup_sk(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str, first
         since = F.when(F.col("valid_from") == F.col("_first"), F.lit("0001-01-01").cast("timestamp")).otherwise(since)
     else:
         versions = dim.select(key, "valid_from", "valid_to", sk)
-    spans = versions.select(F.col(key).alias("_key"), since.alias("_since"), F.col("valid_to").alias("_until"), sk)
-    at = F.col(ts)
-    valid = (F.col(key) == F.col("_key")) & (at >= F.col("_since")) & (F.col("_until").isNull() | (at < F.col("_until")))
-    return fact.join(spans, valid, "left").drop("_key", "_since", "_until") \
-        .withColumn(sk, F.coalesce(sk, F.lit(UNKNOWN_SK)))
+    spans = versions.select(key, since.alias("_since"), F.col("valid_to").alias("_until"), sk)
+    return asof_join(fact, spans, key, ts, "_since", [sk], "_until").withColumn(sk, F.coalesce(sk, F.lit(UNKNOWN_SK)))
 
 
 def payment_sk(code: str) -> Column:
