@@ -55,6 +55,9 @@ class SpacedEncoder:
         self.begins = np.zeros(max(vocab.values()) + 1, bool)  # tokens that begin with a space
         self.begins[[i for t, i in vocab.items() if mark and t.startswith(mark)]] = True
 
+    def forget(self) -> None:
+        self.known, self.old, self.tails, self.chars = {}, {}, {}, 0
+
     def raw(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in coded]
@@ -162,6 +165,7 @@ def token_lengths(docs: DataFrame, path: str, end_id: int, size: int, id_col: st
             yield from encoded(batches)
         finally:
             gc.enable()
+            spaced_encoder(path).forget()  # the worker's next task may be of another stage
 
     def encoded(batches):
         encoder = spaced_encoder(path)
