@@ -864,3 +864,18 @@ r AS (SELECT a.*, e.domain IS NOT NULL AS done, row_number() OVER (PARTITION BY
 SELECT path, execution_date, domain, CASE WHEN reason IS NULL AND NOT done AND rn = 1 THEN 'processed' ELSE 'skipped' END AS status,
  CASE WHEN reason IS NOT NULL THEN reason WHEN done OR rn > 1 THEN 'already_processed' END AS reason FROM r""")
 add("work_summary", "SELECT count(CASE WHEN reason IS NULL THEN 1 END) AS processed, count(CASE WHEN reason IS NOT NULL THEN 1 END) AS skipped FROM a_manifest")
+
+
+def _quarantined(domain: str, checked: str, cut: str) -> str:
+    return (f"SELECT 'quarantine_{domain}', CASE WHEN ingest_ts < TIMESTAMP '{cut}' THEN '2001-07-18' ELSE '2001-07-19' END, CAST(count(*) AS VARCHAR) "
+            f"FROM {checked} WHERE NOT ok GROUP BY 2")
+
+
+add("daily_run", f"""SELECT 'order' AS part, order_id AS key, order_status AS value FROM x_so
+UNION ALL SELECT 'customer', customer_id, resolved_entity_id FROM x_emap
+UNION ALL SELECT 'entity', customer_id, CAST(cluster_size AS VARCHAR) FROM x_emap
+UNION ALL SELECT 'metrics', customer_id, CAST(total_orders AS VARCHAR) FROM x_mo
+UNION ALL SELECT 'transaction', customer_id, CAST(count(DISTINCT transaction_id) AS VARCHAR) FROM x_ht GROUP BY customer_id
+UNION ALL {_quarantined("orders", "x_co", "1998-06-01")}
+UNION ALL {_quarantined("transactions", "x_ct", "2024-01-15")}
+UNION ALL {_quarantined("customers", "x_cc", "2001-07-01 12:00:00")}""")

@@ -215,8 +215,8 @@ def now_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 def replace_part(spark: SparkSession, path: str, rows: DataFrame, name: str) -> None:
     """Make ``rows`` the whole of the folder called ``name``, whatever it held before."""
     now = snapshots.latest(spark, path)
-    write, _ = snapshots.write_parts(rows, path, (), named=name)
-    parts = {**(now.parts if now else {}), name: {"writes": [write], "values": {"name": name}}}
+    write, names = snapshots.write_parts(rows, path, (), named=name)  # no folder is made for no rows
+    parts = {**(now.parts if now else {}), name: {"writes": [write] if names else [], "values": {"name": name}}}
     snapshots.commit(spark, path, snapshots.Snapshot(now.number + 1 if now else 1, rows.schema, parts, now.notes if now else {}))
 
 
