@@ -12,7 +12,6 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -22,8 +21,8 @@ from .columns import field, pick
 from .imatch import TermFilter, packed_terms
 
 KINDS = ("email", "ip", "card", "phone")
-#: Terms before and after an entity that are near it; share of its information; documents a pair must be in.
-WINDOW, DISCLOSURE, SUPPORT = 6, 0.9, 2
+#: Share of an entity's information that a term must give; different texts a pair must be in.
+DISCLOSURE, SUPPORT = 0.9, 2
 #: Distinct terms counted in a Python worker before they are handed on.
 FLUSH_TERMS = 200_000
 #: Bits of the filter for each disclosing term: of other terms, common ones too, fewer than one in a million passes.
@@ -109,23 +108,6 @@ def terms_in(text: str, spans: list[tuple[str, int, int]]):
             yield m.group().lower(), a, b
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the terms around each span that overlap no span."""
-    out, free = [], outside(spans)
-    for kind, start, end in spans:
-        entity = f"{kind}:{text[start:end].lower()}"
-        reach = 64
-        while True:  # further back until the window is full; a term that the cut may have split does not count
-            begin = max(0, start - reach)
-            left = [m.span() for m in _TERM.finditer(text, begin, start) if m.start() > begin or begin == 0]
-            if len(left) >= WINDOW or begin == 0:
-                break
-            reach *= 4
-        right = [m.span() for m in islice(_TERM.finditer(text, end), WINDOW)]
-        out += [(entity, text[a:b].lower(), a, b) for a, b in left[-WINDOW:] + right if b - a > 1 and free(a, b)]
-    return out
-
-
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, h, base, entities, words) per row: h is the text's hash; base spans; distinct entities; distinct terms if there is an entity."""
     rows = hashed(docs, id_col, text_col)
@@ -177,19 +159,19 @@ def term_documents(docs: DataFrame, text_col: str) -> DataFrame:
 def disclosing(found: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
     """(entity, term) pairs whose mutual information reaches the share ``disclosure`` of the entity's information.
 
-    Pairs are counted over whole documents. Copies of a text are counted as one with their number; an entity or a term of fewer than
-    ``support`` documents has no pair of that many. Counts are summed by (entity, term) within tasks first, so an entity of very many
+    Pairs are counted over whole documents and over different texts: copies of a text say no more than the text, so an entity and a
+    term need ``support`` different texts that hold both. The term's own share is that of all rows, which is no smaller for
+    copied text. Pairs are summed within tasks first and meet the entities' and terms' counts as counts, so an entity of very many
     documents is not one task's.
     """
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("alone")).where(F.col("alone") >= support)
-    texts = found.where(F.size("entities") > 0).groupBy("h").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("words").alias("words"))
-    held = texts.select("copies", "words", F.explode("entities").alias("entity")).join(entities, "entity")
-    pairs = held.select("entity", "alone", "copies", F.explode("words").alias("term")).groupBy("entity", "alone", "term") \
-        .agg(F.sum("copies").alias("both")).where(F.col("both") >= support)
-    counted = pairs.join(term_documents(docs, text_col).where(F.col("n") >= support), "term")
-    total = found.agg(F.count("*").alias("total"))
+    texts = keep_table(found.where(F.size("entities") > 0).groupBy("h").agg(F.first("entities").alias("entities"), F.first("words").alias("words")), "texts")
+    entities = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("alone")).where(F.col("alone") >= support)
+    pairs = texts.select(F.explode("entities").alias("entity"), "words").select("entity", F.explode("words").alias("term")) \
+        .groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    counted = pairs.join(entities, "entity").join(term_documents(docs, text_col).where(F.col("n") >= support), "term")
+    total = found.agg(F.count("*").alias("total"), F.count_distinct("h").alias("texts"))
     shared = F.log(F.col("both") * F.col("total") / (F.col("alone") * F.col("n")))
-    own = F.log(F.col("total") / F.col("alone"))
+    own = F.log(F.col("texts") / F.col("alone"))
     return counted.withColumn("one", F.lit(1)).join(F.broadcast(total.withColumn("one", F.lit(1))), "one") \
         .where((own > 0) & (shared >= disclosure * own)).select("entity", "term")
 

@@ -46,24 +46,25 @@ def test_long_runs_stay_linear():
 
 def test_terms_reveal_by_information(spark):
     rows = [(i, f"the quick note about nothing number {i % 7}") for i in range(60)]
-    rows += [(100 + i, "the captain Zorbas wrote from z@sea.org about the quick note") for i in range(3)]
+    rows += [(100 + i, f"the captain Zorbas wrote from z@sea.org about the quick note number {i}") for i in range(3)]
+    rows += [(110 + i, "our Ararat hotline is h@desk.org for the quick note") for i in range(5)]  # one page, five times
     rows += [(200, "the quick note of q@land.org"), (201, "Zorbas is elsewhere the")]
     got = {r.doc_id: r for r in pii.find(documents(spark, rows), disclosure=0.9, support=2).collect()}
-    text = rows[60][1]
-    shown = [text[t.start:t.end] for t in got[100].terms]
-    # brute force: documents with the term, with the entity, with both
-    words = [set(m.lower() for m in pii._TERM.findall(t)) for _, t in rows]
-    n = len(rows)
-    want = []
-    for m in pii._TERM.finditer(text):
-        term = m.group().lower()
-        near = [(a, b) for _, _, a, b in pii.near_terms(text, pii.base_spans(text))]
-        if m.span() in near:
-            alone, total = 3, sum(term in w for w in words)
-            if math.log(3 * n / (alone * total)) >= 0.9 * math.log(n / alone):
+    # brute force over different texts: those with the address, and of these those with the term; the term's share is that of all rows
+    texts, n = {t for _, t in rows}, len(rows)
+    words = {t: {m.lower() for m in pii._TERM.findall(t)} for t in texts}
+    for i, text in ((100, rows[60][1]), (110, rows[63][1])):
+        entity = pii.base_spans(text)[0]
+        holding = [t for t in texts if text[entity[1]:entity[2]] in t]
+        want = []
+        for m in pii._TERM.finditer(text):
+            both, total = sum(m.group().lower() in words[t] for t in holding), sum(m.group().lower() in words[t] for _, t in rows)
+            inside = entity[1] <= m.start() < entity[2]
+            if both >= 2 and len(m.group()) > 1 and not inside and math.log(both * n / (len(holding) * total)) >= 0.9 * math.log(len(texts) / len(holding)):
                 want.append(m.group())
-    assert shown == want and "Zorbas" in want and "the" not in want
-    assert got[200].terms == [] and got[201].terms == [] and got[0].base == []
+        assert [text[t.start:t.end] for t in got[i].terms] == want
+        assert ("Zorbas" in want and "captain" in want and "the" not in want) if i == 100 else want == []
+    assert got[200].terms == [] and got[0].base == []
 
 
 def test_rows(spark):
@@ -74,18 +75,13 @@ def test_rows(spark):
 
 
 def test_sanitised_text(spark):
-    rows = [(i, "Captain Zorbas a@b.co mail") for i in range(3)] + [(10 + i, f"other mail {i}") for i in range(40)] + [(None, None)]
+    rows = [(0, "Captain Zorbas a@b.co mail"), (1, "Captain Zorbas a@b.co mail other"), (2, "mail a@b.co Captain Zorbas")] + [(10 + i, f"other mail {i}") for i in range(40)] + [(None, None)]
     got = Counter((r.doc_id, r.text) for r in pii.sanitise(documents(spark, rows)).collect())
     assert got[(0, "<name> <name> <email> mail")] == 1 and got[(10, "other mail 0")] == 1 and got[(None, "")] == 1 and sum(got.values()) == len(rows)
     removed = {r.doc_id: r.text for r in pii.sanitise(documents(spark, rows), remove_terms=True).collect()}
     assert removed[0] == "  <email> mail"
 
 
-def test_near_terms_far_window():
-    text = "one two " + "." * 500 + " three a@b.co"
-    assert [t for _, t, _, _ in pii.near_terms(text, pii.base_spans(text))] == ["one", "two", "three"]
-
-
 def test_revealing_terms_go_wherever_they_stand(spark):
     filler = "these are many plain words between the name and the address so that it is far away from it"
     rows = [(1000 + i, f"{filler} number {i % 7} again") for i in range(300)]
