@@ -14,9 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.calendar import AsOf, at_date
+from ..operators.bitmaps import dense_numbers, distinct_bitmaps, distinct_counts, merged_bitmaps
 from ..operators.filters import project_present, top_k
 from ..operators.pagerank import pagerank, undirected
 from ..operators import quality as Q
+from ..session import keep_table
 
 
 @dataclass(frozen=True)
@@ -300,34 +302,37 @@ def fraud_rings(g: Graph, as_of: AsOf, min_shared: int = 3, k: int = 50, days: i
                 F.col("merchant_category").alias("category"), "shared_risk_events")
 
 
+#: Most frequent products whose pairs are counted first, and largest baskets that are looked up instead of paired, at most.
+FREQUENT, LARGEST = 256, 1000
+
+
 def product_affinity(contains: DataFrame, products: DataFrame | None = None, min_count: int = 10, k: int = 100) -> DataFrame:
     """The k product pairs bought together in most orders, at least ``min_count``.
 
-    Products in fewer than ``min_count`` orders cannot be in such a pair and go first. The pairs of the
-    ``min_count`` - 1 largest baskets are not made: a
-    pair found only there is too rare, and one found elsewhere gets these baskets added by looking up
-    which of them hold both products.
+    The pairs of the ``FREQUENT`` most frequent products are counted first; the k-th best of them is a floor the k best of all reach. A
+    product in fewer orders than the floor cannot be in such a pair and goes, however long the baskets are. Of the baskets left,
+    up to ``LARGEST`` of the largest (fewer than the floor) are not paired: a pair found only there is too rare, and one found
+    elsewhere gets these baskets added by looking up which of them hold both products.
     """
-    lines = contains.select("order_id", "product_id").distinct()
-    common = lines.groupBy("product_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
-    kept = lines.join(common.select("product_id"), "product_id", "left_semi")
+    lines = keep_table(contains.select("order_id", "product_id").distinct(), "lines")
+    counts = keep_table(lines.groupBy("product_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_count), "counts")
+    frequent = F.broadcast(top_k(counts, [F.desc("n"), F.asc("product_id")], FREQUENT).select("product_id"))
+    first = _pairs(lines.join(frequent, "product_id", "left_semi")).where(F.col("n") >= min_count)
+    reached = top_k(first.select("n"), [F.desc("n")], k).agg(F.count("*").alias("pairs"), F.min("n").alias("least")).first()
+    floor = max(min_count, reached["least"]) if reached["pairs"] == k else min_count
+    kept = keep_table(lines.join(counts.where(F.col("n") >= floor).select("product_id"), "product_id", "left_semi"), "kept")
     sizes = kept.groupBy("order_id").agg(F.count("*").alias("n"))
-    # at most min_count - 1 rows, so broadcasting it is safe
-    huge = F.broadcast(top_k(sizes, [F.desc("n"), F.asc("order_id")],
-                             max(min_count - 1, 0)).select("order_id"))
-    usual = kept.join(huge, "order_id", "left_anti")
-    left = usual.select("order_id", F.col("product_id").alias("product_1"))
-    right = usual.select("order_id", F.col("product_id").alias("product_2"))
-    pairs = left.join(right, "order_id").where("product_1 < product_2") \
-        .groupBy("product_1", "product_2").agg(F.count("*").alias("n"))
-    # of a product, the large baskets that hold it: at most min_count - 1 ids
+    # at most LARGEST rows, so broadcasting it is safe
+    huge = F.broadcast(top_k(sizes, [F.desc("n"), F.asc("order_id")], min(max(floor - 1, 0), LARGEST)).select("order_id"))
+    pairs = _pairs(kept.join(huge, "order_id", "left_anti"))
+    # of a product, the large baskets that hold it: at most LARGEST ids
     inside = kept.join(huge, "order_id", "left_semi").groupBy("product_id").agg(F.collect_set("order_id").alias("huge"))
     for side in ("1", "2"):
         pairs = pairs.join(inside.select(F.col("product_id").alias(f"product_{side}"),
                                          F.col("huge").alias(f"huge_{side}")), f"product_{side}", "left")
     both = F.coalesce(F.size(F.array_intersect("huge_1", "huge_2")), F.lit(0))
     best = top_k(pairs.withColumn("co_purchases", F.col("n") + F.greatest(both, F.lit(0)))
-                 .where(F.col("co_purchases") >= min_count),
+                 .where(F.col("co_purchases") >= floor),
                  [F.desc("co_purchases"), F.asc("product_1"), F.asc("product_2")], k) \
         .select("product_1", "product_2", "co_purchases")
     if products is None:
@@ -338,6 +343,13 @@ def product_affinity(contains: DataFrame, products: DataFrame | None = None, min
     return best.select("product_1", "product_1_name", "product_2", "product_2_name", "co_purchases")
 
 
+def _pairs(lines: DataFrame) -> DataFrame:
+    """(product_1, product_2, n): orders that hold both."""
+    left = lines.select("order_id", F.col("product_id").alias("product_1"))
+    right = lines.select("order_id", F.col("product_id").alias("product_2"))
+    return left.join(right, "order_id").where("product_1 < product_2").groupBy("product_1", "product_2").agg(F.count("*").alias("n"))
+
+
 def _customer_merchants(g: Graph) -> DataFrame:
     """(customer_id, merchant_id, n): orders of a customer paid to a merchant."""
     return g.placed.join(g.paid_via, "order_id").groupBy("customer_id", "merchant_id").agg(F.count("*").alias("n"))
@@ -363,11 +375,13 @@ def churn_contagion(g: Graph, as_of: AsOf, min_churned: int = 2, k: int = 100, d
     """Recent customers who share merchants with several churned ones: the k of highest value.
 
     Whether a customer has ``min_churned`` churned neighbours shows from the ``min_churned`` smallest
-    churned ids of each of its merchants. The full count is then made for the k reported only.
+    churned ids of each of its merchants. The full count is then made for the k reported only, by joining the merchants' bitmaps of
+    churned customers: a hot merchant is a few kilobytes, not its churned customers once per reported one. The
+    customer-merchant edges are stored once.
     """
-    cm = _customer_merchants(g).select("customer_id", "merchant_id")
-    lost = cm.join(g.customers.where(F.col("churn_status") == churned_status).select("customer_id"),
-                   "customer_id", "left_semi").withColumnRenamed("customer_id", "churned_id")
+    cm = keep_table(_customer_merchants(g).select("customer_id", "merchant_id"), "visits")
+    churned = g.customers.where(F.col("churn_status") == churned_status).select(F.col("customer_id").alias("churned_id"))
+    lost = keep_table(cm.join(churned, cm["customer_id"] == churned["churned_id"]).select("churned_id", "merchant_id"), "lost")
     recent = F.col("last_order_date") >= F.date_sub(at_date(as_of), days)
     active = g.customers.where((F.col("churn_status") == at_risk_status) & recent) \
         .select("customer_id", "ltv_tier", "total_spend", "estimated_ltv")
@@ -376,11 +390,12 @@ def churn_contagion(g: Graph, as_of: AsOf, min_churned: int = 2, k: int = 100, d
     visits = cm.join(active.select("customer_id"), "customer_id", "left_semi")
     enough = visits.join(sample, "merchant_id").select("customer_id", "churned_id").distinct() \
         .groupBy("customer_id").agg(F.count("*").alias("seen")).where(F.col("seen") >= min_churned)
-    chosen = top_k(active.join(enough.select("customer_id"), "customer_id", "left_semi"),
-                   [F.desc("estimated_ltv"), F.asc("customer_id")], k)
-    full = visits.join(F.broadcast(chosen.select("customer_id")), "customer_id", "left_semi").join(lost, "merchant_id") \
-        .select("customer_id", "churned_id").distinct() \
-        .groupBy("customer_id").agg(F.count("*").alias("churned_in_network"))
+    chosen = keep_table(top_k(active.join(enough.select("customer_id"), "customer_id", "left_semi"),
+                              [F.desc("estimated_ltv"), F.asc("customer_id")], k), "chosen")
+    numbered = lost.join(dense_numbers(lost, "churned_id"), "churned_id")
+    met = visits.join(F.broadcast(chosen.select("customer_id")), "customer_id", "left_semi")
+    # k customers' merchants, each with a bitmap per 32,768 churned customers
+    full = distinct_counts(merged_bitmaps(met.join(distinct_bitmaps(numbered, ["merchant_id"]), "merchant_id"), ["customer_id"]), ["customer_id"], "churned_in_network")
     return chosen.join(full, "customer_id").select("customer_id", "ltv_tier", "total_spend", "churned_in_network")
 
 
