@@ -22,6 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import PREFIX_FROM, jaro_winkler, name_keys
+from ..session import is_blank, keep_table
 
 # Weight of each piece of evidence; the sum is the top score.
 EXACT = {"email": 5, "phone": 4, "soundex": 2, "postal": 1, "country": 1}
@@ -189,8 +190,10 @@ def candidate_pairs(nodes: DataFrame, threshold: float = MATCH_THRESHOLD, weight
     if not weak:
         return with_block_sources(left.join(right, ["sig", "key"]).where(reduce(and_, rest, across)).drop("sig", "key"))
 
-    crowded = right.where(F.col("sig") >= len(strong)).groupBy("sig", "key").agg(F.count("*").alias("_n")) \
-        .where(F.col("_n") >= least_group).select("sig", "key", F.lit(True).alias("_crowded"))
+    crowded = keep_table(right.where(F.col("sig") >= len(strong)).groupBy("sig", "key").agg(F.count("*").alias("_n"))
+                         .where(F.col("_n") >= least_group).select("sig", "key", F.lit(True).alias("_crowded")), "crowded")
+    if is_blank(crowded):
+        return candidate_pairs(nodes, threshold, weights, skip_certain)
     left, right = (side.join(crowded, ["sig", "key"], "left") for side in (left, right))
     usual = left.where("_crowded is null").drop("_crowded").join(right.where("_crowded is null").drop("_crowded"), ["sig", "key"]) \
         .where(reduce(and_, rest, across)).drop("sig", "key")

@@ -14,7 +14,7 @@ from ..functions.parse import CORRUPT, as_text, decode_events
 from ..operators.merge import insert_new, upsert
 from ..session import keep_table
 from . import snapshots
-from .snapshots import filesystem as _hadoop, remove as _remove
+from .snapshots import filesystem as _hadoop
 
 
 class MissingData(Exception):
