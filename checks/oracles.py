@@ -734,7 +734,8 @@ add("influential_customers", "SELECT customer_id, full_name AS name, ltv_tier, p
 add("location_graph", """WITH p AS (SELECT customer_id, concat_ws('|', country, city_norm) AS k FROM x_sc WHERE country IS NOT NULL OR city_norm IS NOT NULL)
 SELECT 'locations' AS part, (SELECT count(*) FROM (SELECT k FROM p UNION SELECT 'N' || CAST(s_nationkey AS VARCHAR) FROM supplier)) AS n
 UNION ALL SELECT 'lives_in', count(*) FROM p UNION ALL SELECT 'located_in', count(*) FROM supplier""")
-add("search_customers", """SELECT customer_id, full_name_norm AS full_name, email_normalised, hits FROM (
+for _name in ("search_customers", "search_customers_indexed"):
+    add(_name, """SELECT customer_id, full_name_norm AS full_name, email_normalised, hits FROM (
  SELECT *, len(list_intersect(regexp_split_to_array(lower(concat_ws(' ', full_name_norm, email_normalised)), '[^\\p{L}\\p{N}]+'), ['garcia', 'jose', 'org'])) AS hits
  FROM x_sc) WHERE hits > 0""")
 

@@ -676,6 +676,14 @@ def search_customers(spark, sf):
     return G.search_customers(people, ["Garcia", "jose", "org"])
 
 
+@query
+def search_customers_indexed(spark, sf):
+    people = s_customers(spark, sf).select("customer_id", F.col("full_name_norm").alias("full_name"), "email_normalised")
+    path = scratch_path(spark, "terms")
+    G.store_search_index(people, path, 64)
+    return G.search_index(people, path, ["Garcia", "jose", "org"], 64)
+
+
 def urgent_links(spark, sf):
     """Customers whose urgent orders follow each other within a month."""
     orders = X.tables(spark, sf)["orders"].where("o_orderpriority = '1-URGENT'")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators import asof, bitmaps, fraud, paths
 from oreline.operators.components import connected_components, extend_components, merge_components
-from oreline.plans import serving
+from oreline.plans import graph as G, serving
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -140,3 +140,16 @@ def test_guarded_sql_refuses_a_name_defined_in_another_scope(spark):
         assert serving.safe_sql(spark, "WITH own AS (SELECT x + 1 AS y FROM customers) SELECT y FROM own", given).first().y == 2
     finally:
         spark.catalog.dropTempView("secret")
+
+
+def test_search_by_the_stored_index_reads_the_asked_words_only(spark, tmp_path, rows):
+    people = [(f"c{i}", f"ann {'lee' if i % 3 else 'roy'} w{i}", f"user{i}@x.org" if i % 5 else None) for i in range(300)] + [("none", None, None), ("odd", "  Ünal-ann ", "")]
+    df = spark.createDataFrame(people, "customer_id string, full_name string, email_normalised string")
+    path = str(tmp_path / "terms")
+    for _ in range(2):  # stored anew: the same
+        G.store_search_index(df, path, 32)
+    for terms in (["Roy", "w7"], ["ann", "ANN", "org"], ["ünal"], ["nobody"], []):
+        got = G.search_index(df, path, terms, 32)
+        assert rows(got, "customer_id", "hits") == rows(G.search_customers(df, terms), "customer_id", "hits")
+    plan = G.search_index(df, path, ["w7"], 32)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
