@@ -681,7 +681,9 @@ def _suite(parts: list[str]) -> str:
 
 add("graph_constraints", _suite(
     [_unique(t, _VERTICES[t], k, "product_id" if t == "products" else None) for t, k in _KEYS.items()]
-    + [_failing("customers", "x_emap", "resolved_entity_id", "not_null", "resolved_entity_id IS NULL")]))
+    + [_unique("locations", "(SELECT concat_ws('|', country, city_norm) AS location_key FROM x_sc WHERE country IS NOT NULL OR city_norm IS NOT NULL "
+               "UNION SELECT 'N' || CAST(s_nationkey AS VARCHAR) FROM supplier)", "location_key"),
+       _failing("customers", "x_emap", "resolved_entity_id", "not_null", "resolved_entity_id IS NULL")]))
 add("same_as_edges", f"SELECT component AS id_a, customer_id AS id_b, er_confidence AS confidence FROM {_STAR}", "confidence")
 add("same_as_edges_cross_source", """WITH RECURSIVE links AS (
  SELECT a.customer_id AS x, b.customer_id AS y, a.resolved_entity_id AS e FROM x_emap a

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -565,7 +566,9 @@ def graph_load_counts(spark, sf):
 
 @query
 def graph_constraints(spark, sf):
-    return G.graph_constraints(whole_graph(spark, sf))
+    """All seven: the locations of customers and merchants are loaded as well."""
+    spots = location_parts(spark, sf)
+    return G.graph_constraints(replace(whole_graph(spark, sf), locations=spots.locations, lives_in=spots.lives_in, located_in=spots.located_in))
 
 
 @query
@@ -661,13 +664,17 @@ def influential_customers(spark, sf):
     return G.influential_customers(order_network(spark, sf), k=50)
 
 
-@query
-def location_graph(spark, sf):
+def location_parts(spark, sf):
     people = s_customers(spark, sf).select("customer_id", "country", F.col("city_norm").alias("city"))
     shops = X.tables(spark, sf)["supplier"].select(
         F.col("s_suppkey").alias("merchant_id"), F.concat(F.lit("N"), "s_nationkey").alias("country"),
         F.lit(None).cast("string").alias("city"))
-    return G.load_counts(G.location_graph(people, shops))
+    return G.location_graph(people, shops)
+
+
+@query
+def location_graph(spark, sf):
+    return G.load_counts(location_parts(spark, sf))
 
 
 @query
