@@ -14,6 +14,7 @@ import os
 import re
 import zlib
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,7 @@ class SpacedEncoder:
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.met: set[str] = set()
         self.chars = 0
         vocab = self.tokenizer.get_vocab()
         space = np.frombuffer(self.raw([" "])[0], "<u4")
@@ -56,7 +58,10 @@ class SpacedEncoder:
         self.begins[[i for t, i in vocab.items() if mark and t.startswith(mark)]] = True
 
     def forget(self) -> None:
-        self.known, self.old, self.tails, self.chars = {}, {}, {}, 0
+        """Keep only words that were met again: the next task may be of another stage, but if it is of this one, it meets them too."""
+        known, old = self.known, self.old
+        self.old = {w: ids for w in self.met if (ids := known.get(w) or old.get(w))}
+        self.known, self.tails, self.met, self.chars = {}, {}, set(), 0
 
     def raw(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -80,13 +85,15 @@ class SpacedEncoder:
         A word is split behind its first letters, where the pattern splits it anyway: both parts are known more often.
         """
         if self.chars > MEMO_CHARS:  # the full memory stays as the old one: what is met again moves on
-            self.old, self.known, self.tails, self.chars = self.known, {}, {}, 0
+            self.old, self.known, self.tails, self.met, self.chars = self.known, {}, {}, set(), 0
         known, old, tails = self.known, self.old, self.tails
         found = list(map(known.get, words))
+        self.met.update(compress(words, found))
         need, split, more = [], [], set()
         for w in [w for w, ids in zip(words, found) if ids is None]:
             if w in old:
                 known[w] = old[w]
+                self.met.add(w)
             elif w.isalpha():
                 need.append(w)
             elif w and not w[0].isspace() and not w[-1].isspace():
