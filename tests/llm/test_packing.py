@@ -126,6 +126,19 @@ def test_spaced_words_equal_the_tokenizer(monkeypatch):
             assert encoder.batch(pa.array(texts[at:at + 700])) == encoder.raw(texts[at:at + 700])
 
 
+def test_fast_merges_give_the_tokenizers_ids():
+    encoder = packing.SpacedEncoder(PATH)
+    assert encoder.fast is not None
+    rng = random.Random(12)
+    words = ["".join(chr(rng.choice([rng.randrange(97, 123), rng.randrange(33, 0x250), rng.randrange(0x250, 0xD000)])) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    words = [w for w in words if not any(c.isspace() for c in w)]
+    quick = encoder.spaced(words)
+    encoder.fast = None
+    assert quick == encoder.raw([" " + w for w in words]) == encoder.spaced(words)
+    other = Tokenizer.from_file(P.path("word_bpe_49k.json"))  # another kind of file: no short cut
+    assert packing.same_merges(other) is None
+
+
 def test_slices_hold_every_text_once():
     texts = pa.array(["a" * n for n in (5, 0, 30, 1, 1, 1, 9)])
     got = [t.to_pylist() for t in packing.by_size(texts, 10)]
