@@ -165,8 +165,10 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str, disclosure: flo
     documents is not one task's.
     """
     texts = keep_table(found.where(F.size("entities") > 0).groupBy("h").agg(F.first("entities").alias("entities"), F.first("words").alias("words")), "texts")
-    entities = texts.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("alone")).where(F.col("alone") >= support)
-    pairs = texts.select(F.explode("entities").alias("entity"), "words").select("entity", F.explode("words").alias("term")) \
+    held = texts.select("h", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("alone")).where(F.col("alone") >= support)
+    # ids of texts meet their entities, and only then, by text, the terms
+    pairs = held.join(entities.select("entity"), "entity").join(texts.select("h", "words"), "h").select("entity", F.explode("words").alias("term")) \
         .groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     counted = pairs.join(entities, "entity").join(term_documents(docs, text_col).where(F.col("n") >= support), "term")
     total = found.agg(F.count("*").alias("total"), F.count_distinct("h").alias("texts"))
