@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Sequence
-from itertools import accumulate
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..sources.tables import upsert_table
 
+#: Buckets of customers in which streaming velocity keeps its state.
+BUCKETS = 64
+
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """First delivery of each key; state is kept for ``delay`` of event time."""
@@ -31,35 +33,39 @@ def plain(value):
 
 
 class TrailingCounts(StatefulProcessor):
-    """Rows of one customer and slot that wait for the watermark, and the per-second counts they need.
+    """Rows of one bucket of customers and one slot that wait for the watermark, and the per-second counts they need.
 
     A slot is as wide as the trailing window. Every row counts in its own slot and in the next one, and waits in its own, so the state of
-    a key covers two windows however long or busy the customer is. It is cleared when the watermark leaves the slot.
+    a key covers two windows however long or busy a customer is. It is cleared when the watermark leaves the slot. A key holds many
+    customers because a call to the state costs far more than a row does.
     """
 
     def __init__(self, rows: T.StructType, width: int):
         self.fields, self.width = rows, width
+        self.customer = rows.names.index("customer_id")
 
     def init(self, handle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", T.StructType([T.StructField("second", T.LongType()), T.StructField("row", self.fields)]))
-        self.counts = handle.getValueState("counts", "seconds array<long>, n array<long>")
+        self.counts = handle.getValueState("counts", T.StructType([
+            T.StructField("customers", T.ArrayType(self.fields["customer_id"].dataType)), T.StructField("seconds", T.ArrayType(T.LongType())),
+            T.StructField("n", T.ArrayType(T.LongType()))]))
 
     def handleInputRows(self, key, rows, timerValues):
-        customer, slot = key
+        slot = key[1]
         mark = timerValues.getCurrentWatermarkInMs()
         passed = mark // 1000 if mark > 0 else -1 << 62  # 0: there is none yet
         added, waiting = Counter(), []
         for r in rows:
             row = tuple(r.row[name] for name in self.fields.names)
-            if customer is None or slot is None:
+            if r.customer_id is None or slot is None:
                 if r.own:
                     yield self.out(row, None, False)
             elif r.second <= passed:
                 if r.own:
                     yield self.out(row, None, True)
             else:
-                added[r.second] += r.counts
+                added[r.customer_id, r.second] += r.counts
                 if r.own:
                     waiting.append((r.second, row))
         if added:
@@ -73,13 +79,15 @@ class TrailingCounts(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs() // 1000
-        counts = self.known()
-        seconds = sorted(counts)
-        sums = [0, *accumulate(counts[s] for s in seconds)]
+        seconds, sums = defaultdict(list), defaultdict(lambda: [0])
+        for (customer, second), n in sorted(self.known().items()):
+            seconds[customer].append(second)
+            sums[customer].append(sums[customer][-1] + n)
         left = []
         for second, row in map(plain, self.waiting.get()):
             if second <= passed:
-                yield self.out(row, sums[bisect_right(seconds, second)] - sums[bisect_left(seconds, second - self.width)], False)
+                at, upto = seconds[row[self.customer]], sums[row[self.customer]]
+                yield self.out(row, upto[bisect_right(at, second)] - upto[bisect_left(at, second - self.width)], False)
             else:
                 left.append((second, row))
         if (key[1] + 1) * self.width <= passed:
@@ -94,24 +102,26 @@ class TrailingCounts(StatefulProcessor):
     def out(self, row, count: int | None, late: bool) -> Row:
         return Row(**dict(zip(self.fields.names, row)), txn_velocity_1h=count, late=late)
 
-    def known(self) -> dict[int, int]:
+    def known(self) -> dict[tuple, int]:
         held = self.counts.get()
-        return {} if held is None else dict(zip(held[0], held[1]))
+        return {} if held is None else dict(zip(zip(held[0], held[1]), held[2]))
 
-    def store(self, counts: dict[int, int]) -> None:
-        self.counts.update((list(counts), list(counts.values())))
+    def store(self, counts: dict[tuple, int]) -> None:
+        self.counts.update(([customer for customer, _ in counts], [second for _, second in counts], list(counts.values())))
 
     def close(self) -> None:
         pass
 
 
-def velocity_stream(stream: DataFrame, out: str, checkpoint: str, hours: int = 1, delay_seconds: int = 0, available_now: bool = True):
+def velocity_stream(stream: DataFrame, out: str, checkpoint: str, hours: int = 1, delay_seconds: int = 0, available_now: bool = True,
+                    buckets: int = BUCKETS):
     """Exact trailing count for every transaction, by event time.
 
     A row waits in keyed state until the watermark (the newest time seen less ``delay_seconds``) has passed it, so rows may come in any
     order within the delay. Rows that come after the watermark has passed their second change no count; they go to ``late_rows``. A row without
     time or customer has no count and does not wait. Each batch writes its own folder below ``out``, and a batch that is replayed writes
     it anew. Read them with ``velocity_rows``; ``velocity_close`` gives out what still waits when a stream has ended.
+    State is kept by bucket of customers and slot; a checkpoint keeps the number of ``buckets`` it began with.
     """
     width, names = hours * 3600, stream.columns
     # times pass through Python as microseconds, whatever its time zone
@@ -124,9 +134,9 @@ def velocity_stream(stream: DataFrame, out: str, checkpoint: str, hours: int = 1
     keyed = stream.withWatermark("transaction_ts", f"{delay_seconds} seconds").select(
         row, "customer_id", second.alias("second"), F.col("transaction_id").isNotNull().cast("int").alias("counts"))
     placed = keyed.withColumn("slots", F.when(F.col("second").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(slot, slot + 1))) \
-        .select("row", "customer_id", "second", "counts", F.posexplode("slots").alias("at", "slot")).withColumn("own", F.col("at") == 0).drop("at")
+        .select("row", "customer_id", "second", "counts", F.posexplode("slots").alias("at", "slot")).withColumns({"own": F.col("at") == 0, "bucket": F.pmod(F.xxhash64("customer_id"), F.lit(buckets))}).drop("at")
     schema = T.StructType([*held.fields, T.StructField("txn_velocity_1h", T.LongType()), T.StructField("late", T.BooleanType())])
-    counted = placed.groupBy("customer_id", "slot").transformWithState(TrailingCounts(held, width), schema, "append", "eventTime") \
+    counted = placed.groupBy("bucket", "slot").transformWithState(TrailingCounts(held, width), schema, "append", "eventTime") \
         .withColumns({c: F.timestamp_micros(f"`{c}`") for c in timed})
 
     def store(batch: DataFrame, epoch: int) -> None:
@@ -152,12 +162,12 @@ def velocity_close(spark: SparkSession, out: str, checkpoint: str, hours: int =
     def held(name: str) -> DataFrame:
         return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
 
-    counts = held("counts").select(F.col("key.customer_id").alias("customer_id"), F.col("key.slot").alias("slot"), F.arrays_zip("value.seconds", "value.n").alias("c")) \
-        .select("customer_id", "slot", F.explode("c").alias("c")).select("customer_id", "slot", F.col("c.seconds").alias("second"), F.col("c.n").alias("n"))
+    counts = held("counts").select(F.col("key.slot").alias("slot"), F.explode(F.arrays_zip("value.customers", "value.seconds", "value.n")).alias("c")) \
+        .select(F.col("c.customers").alias("customer_id"), "slot", F.col("c.seconds").alias("second"), F.col("c.n").alias("n"))
     width = hours * 3600
     trailing = Window.partitionBy("customer_id", "slot").orderBy("second").rangeBetween(-width, 0)
     done = counts.withColumn("txn_velocity_1h", F.sum("n").over(trailing)).where(F.floor(F.col("second") / F.lit(width)) == F.col("slot"))
-    waiting = held("waiting").select(F.col("key.customer_id").alias("customer"), F.col("list_element.second").alias("at"), F.col("list_element.row").alias("row"))
+    waiting = held("waiting").select(F.col("list_element.row.customer_id").alias("customer"), F.col("list_element.second").alias("at"), F.col("list_element.row").alias("row"))
     rows = waiting.join(done, (F.col("customer") == F.col("customer_id")) & (F.col("at") == F.col("second")), "left") \
         .select("row.*", "txn_velocity_1h", F.lit(False).alias("late"))
     given = spark.read.parquet(out).schema
