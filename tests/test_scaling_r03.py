@@ -89,3 +89,22 @@ def test_pagerank_finds_its_edges_once(spark):
     edges = spark.range(0, 10, 1, 1).select(counted.asNondeterministic()(F.col("id")).alias("src"), ((F.col("id") + 1) % 10).alias("dst"))
     P.pagerank(edges, iterations=1).collect()
     assert met.value == 10
+
+
+def test_only_profiles_met_in_another_source_are_paired(spark, rows):
+    from oreline.operators import matching as M
+    from tests.test_entities_graph import frame, people
+
+    alone = [(f"x{i:03}", "app", "ann lee", f"x{i}@x.org", f"9{i}", "L000", "A1", "annA1", 20, "US") for i in range(200)]
+    lost = [("n1", None, "ann lee", "m1", "p1", "L000", "A1", "annA1", 20, "US"), ("n1", "app", "zed", "m1", "p1", "R000", "B2", "zedB2", 40, "GB")]
+    nodes = M.profiles(M.with_profile_key(frame(spark, [*people(n=60), *lost, *alone])))
+    live = M.live_profiles(nodes)
+    kept = {r.id for r in live.collect()}
+    assert kept and not any(i.startswith("x") for i in kept)
+    entries = M._with_signature_keys(live, M.threshold_signatures(0.75), sets=M.shared_sets(0.75))
+    assert not entries.where("id like 'x%'").count() and "live" not in entries.columns
+    for threshold in (0.75, 0.6, 0.0):
+        every = nodes.withColumn("live", F.array(*[F.lit(i) for i in range(len(M.shared_sets(threshold)))]))
+        for made in (M.candidate_pairs, M.certain_links):
+            # with every set live nothing is left out
+            assert rows(made(M.live_profiles(nodes, threshold), threshold)) == rows(made(every, threshold))
