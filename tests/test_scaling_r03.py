@@ -108,3 +108,23 @@ def test_only_profiles_met_in_another_source_are_paired(spark, rows):
         for made in (M.candidate_pairs, M.certain_links):
             # with every set live nothing is left out
             assert rows(made(M.live_profiles(nodes, threshold), threshold)) == rows(made(every, threshold))
+
+
+def test_a_fact_that_is_joined_is_found_once_by_the_next_join(spark, rows):
+    from oreline.operators.asof import asof_join
+
+    met = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(v):
+        met.add(1)
+        return v
+
+    at = F.timestamp_seconds(F.col("id") * 86_400)
+    stg = spark.range(0, 40, 1, 1).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("k"), F.when(F.col("id") % 5 > 0, at).alias("ts"))
+    versions = spark.range(0, 3, 1, 1).select(F.col("id").alias("k"), F.timestamp_seconds(F.lit(10 * 86_400)).alias("since"), (F.col("id") * 10).alias("v"))
+    costly = stg.withColumn("seen", counted.asNondeterministic()(F.col("id")))
+    found = rows(asof_join(costly, versions, "k", "ts", "since", ["v"], times=stg), "id", "v")
+    assert met.value == 40
+    assert found == sorted(((i, i % 3 * 10 if i % 4 and i % 5 and i >= 10 else None) for i in range(40)), key=repr)
+    assert found == rows(asof_join(stg, versions, "k", "ts", "since", ["v"]), "id", "v")
