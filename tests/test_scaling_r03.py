@@ -128,3 +128,18 @@ def test_a_fact_that_is_joined_is_found_once_by_the_next_join(spark, rows):
     assert met.value == 40
     assert found == sorted(((i, i % 3 * 10 if i % 4 and i % 5 and i >= 10 else None) for i in range(40)), key=repr)
     assert found == rows(asof_join(stg, versions, "k", "ts", "since", ["v"]), "id", "v")
+
+
+def test_names_that_meet_again_are_compared_once(monkeypatch):
+    import pandas as pd
+
+    from oreline.functions import similarity as S
+
+    left = pd.Series(["ana müller", "anna muller", None, "", "ana müller", "x"] * 500)
+    right = pd.Series(["anna muller", "ana müller", "ana müller", "x", "anna muller", "x"] * 500)
+    compared, kept = [], S._block
+    monkeypatch.setattr(S, "_block", lambda a, b: compared.append(len(a)) or kept(a, b))
+    got = S.jaro_winkler_batch(left, right)
+    assert sum(compared) == 3
+    assert list(got) == [float(S.jaro_winkler_batch(left[i:i + 1], right[i:i + 1])[0]) for i in range(6)] * 500
+    assert S.jaro_winkler_batch(left[:0], right[:0]).empty
