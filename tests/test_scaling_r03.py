@@ -2,11 +2,13 @@
 
 import contextlib
 import io
+import re
 
 from pyspark.sql import functions as F
 
 from oreline.operators.components import unplaced_links
-from oreline.operators import pagerank as P
+from oreline.operators import fraud, pagerank as P
+from oreline.operators.dedupe import latest_per_key
 from oreline.plans import graph as G
 from oreline.session import adopt, shuffles_for, spread
 from oreline.streaming import stateful
@@ -143,3 +145,21 @@ def test_names_that_meet_again_are_compared_once(monkeypatch):
     assert sum(compared) == 3
     assert list(got) == [float(S.jaro_winkler_batch(left[i:i + 1], right[i:i + 1])[0]) for i in range(6)] * 500
     assert S.jaro_winkler_batch(left[:0], right[:0]).empty
+
+
+def test_whole_rows_are_sorted_by_a_hash_of_their_key(spark, rows):
+    df = spark.createDataFrame([("txn_1", 1, "x"), ("txn_1", 2, "y"), ("txn_2", None, "z"), (None, 5, "a"), (None, 4, "b")], "k string, t int, v string")
+    out = latest_per_key(df, ["k"], "t")
+    assert rows(out) == sorted([("txn_1", 2, "y"), ("txn_2", None, "z"), (None, 5, "a")], key=repr)
+    assert re.search(r"Sort \[_w\d+#\d+L ASC NULLS FIRST, k#", plan_of(out))
+
+
+def test_whole_rows_meet_their_signals_unsorted(spark, rows):
+    df = spark.createDataFrame([("t1", "c", 10, 1.0), ("t2", "c", 20, 2.0), ("t2", "c", 20, 2.0), ("t3", None, 20, 2.0), ("t4", "d", None, 2.0)],
+                               "transaction_id string, customer_id string, s long, amount double") \
+        .select("transaction_id", "customer_id", F.timestamp_seconds("s").alias("transaction_ts"), "amount")
+    base = spark.createDataFrame([("c", 1.5, 0.5, 3)], "customer_id string, avg_amount_30d double, stddev_amount_30d double, txn_count_30d long")
+    out = fraud.with_signals(df, base)
+    assert rows(out, "transaction_id", "txn_velocity_1h", "txn_count_30d") == sorted(
+        [("t1", 1, 3), ("t2", 3, 3), ("t2", 3, 3), ("t3", None, None), ("t4", None, None)], key=repr)
+    assert re.search(r"ShuffledHashJoin \[customer_id#\d+, second#\d+L\]", plan_of(out))
