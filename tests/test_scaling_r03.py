@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from oreline.functions import parse
 from oreline.operators.components import unplaced_links
 from oreline.operators import fraud, pagerank as P
 from oreline.operators.dedupe import latest_per_key
@@ -163,3 +164,20 @@ def test_whole_rows_meet_their_signals_unsorted(spark, rows):
     assert rows(out, "transaction_id", "txn_velocity_1h", "txn_count_30d") == sorted(
         [("t1", 1, 3), ("t2", 3, 3), ("t2", 3, 3), ("t3", None, None), ("t4", None, None)], key=repr)
     assert re.search(r"ShuffledHashJoin \[customer_id#\d+, second#\d+L\]", plan_of(out))
+
+
+def test_plain_times_are_parsed_without_a_formatter(spark):
+    texts = ["2024-01-01", "2024-01-01 10:11:12", "2024-02-30 10:11:12", " 024-01-01 00:00:00", "2024-01-01 00:00:1 ", "2024-01-01 00:00:5Z", "2024-01-01 24:00:00",
+             "2024-01-01 23:59:60", "0000-01-01 00:00:00", "abcd-ef-gh ij:kl:mn", "2024-01-01 +1:00:00", "2024-03-31 02:30:00", "2024-01-0Z", "1582-10-10", "bad", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    text = F.col("t")
+    by_layout = F.coalesce(*[F.when(parse._may_fit(text, x), F.try_to_timestamp(text, F.lit(x))) for x in parse.ORDER_LAYOUTS], F.try_to_timestamp(text))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for where in ("UTC", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", where)
+            made = df.select("t", parse.parse_ts("t", parse.ORDER_LAYOUTS).alias("got"), by_layout.alias("want"))
+            assert made.where(~F.col("got").eqNullSafe(F.col("want"))).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert re.search(r"CASE WHEN .*length\(t#\d+\) = 19.* THEN (try_)?(to_timestamp|gettimestamp|cast)\(t#\d+", plan_of(df.select(parse.parse_ts("t", parse.ORDER_LAYOUTS))))
