@@ -4,9 +4,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from oreline.operators import matching as M
+from oreline.operators import matching as M, pagerank as P
 from oreline.plans import entities, marts
+from oreline.session import shared_dir
 from oreline.sources import tables as io
+from oreline.sources.snapshots import folder_names
 from tests.test_scaling_r03 import plan_of
 
 
@@ -78,3 +80,45 @@ def test_customer_metrics_count_kinds_without_copies_of_their_rows(spark, rows):
         assert rows(made, "customer_id", "total_txn_count", "active_days", "distinct_devices", "most_recent_device", "refund_count", "max_risk_score") == sorted(
             [("c", 4, 2, 2, device, 1, 1), (None, 1, 1, 0, None, 0, 1)], key=repr)
         assert "Expand" not in plan_of(made)
+
+
+def plain_ranks(edges, rounds, d=0.85):
+    links = {(a, b) for a, b in edges if a is not None}
+    out = {a: sum(x == a for x, _ in links) for a, _ in links}
+    nodes = {x for e in edges for x in e if x is not None} | {b for _, b in links}
+    score = dict.fromkeys(nodes, 1 - d)
+    for _ in range(rounds):
+        score = {n: 1 - d + sum(score[a] * d / out[a] for a, b in links if b == n) for n in nodes}
+    return score
+
+
+def test_pagerank_in_turns_with_hubs_salts_and_unknown_ends(spark, monkeypatch):
+    key = P._key
+    # without salt the even nodes share a key
+    monkeypatch.setattr(P, "_key", lambda name, salt: key(name, salt) if salt else F.when(F.col(name).cast("int") % 2 == 0, F.lit(1).cast("long")).otherwise(key(name, 0)))
+    edges = [(str(i), str(j)) for i in range(12) for j in range(12) if (i * 7 + j * 5) % 4 == 0] + [("1", "2"), ("1", "2"), ("3", "3"), ("4", None), (None, "40"), (None, None)]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    for together, at_a_time, cut_every in ((10_000, 10_000, 1), (2, 10, 1), (2, 10_000, 3)):
+        monkeypatch.setattr(P, "TOGETHER", together)
+        monkeypatch.setattr(P, "AT_A_TIME", at_a_time)
+        got = {r.id: r.score for r in P.pagerank(df, iterations=4, cut_every=cut_every).collect()}
+        want = plain_ranks(edges, 4)
+        assert got.keys() == want.keys() and None in got
+        assert all(abs(got[n] - want[n]) < 1e-9 for n in want)
+
+
+def test_pagerank_leaves_its_scores_only(spark):
+    folder = f"{shared_dir(spark)}/oreline"
+    kept = lambda: {n for n in folder_names(spark, folder) if n.startswith("pagerank")}
+    before, tables = kept(), spark.catalog.listTables()
+    edges = spark.range(0, 30, 1, 2).select((F.col("id") % 7).alias("src"), (F.col("id") % 5).alias("dst"))
+    scores = P.pagerank(edges, iterations=2)
+    assert len(kept() - before) == 1 and spark.catalog.listTables() == tables
+    assert scores.count() == 7 and scores.schema["id"].dataType.simpleString() == "bigint"
+
+
+def test_shuffles_of_earlier_rounds_are_freed(spark, monkeypatch):
+    freed = []
+    monkeypatch.setattr(P, "free_shuffles", lambda s: freed.append(1))
+    P.pagerank(spark.range(8).select(F.col("id").alias("src"), ((F.col("id") + 1) % 8).alias("dst")), iterations=5)
+    assert len(freed) >= 5
